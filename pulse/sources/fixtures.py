@@ -180,7 +180,7 @@ def raw_details_from_events(events: DataFrame) -> DataFrame:
         "genres": F.array(F.struct(F.lit(1).cast("long").alias("id"), et.alias("name"))),
         "popularity": F.col("value"),
         "vote_count": F.floor(F.col("value") * 10).cast("long"),
-        "vote_average": F.round(F.col("value") / 60, 2),
+        "vote_average": F.col("value") / 60,
     }
     out = []
     for f in schemas.RAW_DETAILS.fields:
