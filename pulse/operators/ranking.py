@@ -20,13 +20,22 @@ partition. The three compositions here keep the work distributed:
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulse.session import checkpointed
+
 DEFAULT_BUCKETS = 256
-SKETCH_ACCURACY = 100_000
+# Rank error of the split sketch is 1/accuracy of the group size; ten times
+# the bucket count keeps every bucket within ~10% of its nominal size.
+ACCURACY_PER_BUCKET = 10
+# Split points are gathered as literals when a plan has at most this many
+# groups (each group contributes fewer than ``buckets`` doubles).
+MAX_LITERAL_GROUPS = 64
 
 
 def _ordered(col: str, ascending: bool) -> Column:
@@ -59,6 +68,33 @@ def _num_buckets(df: DataFrame, buckets: int | None) -> int:
     return max(DEFAULT_BUCKETS, 2 * parts)
 
 
+def _sql_literal(x) -> str:
+    if isinstance(x, float):
+        if math.isnan(x):
+            return "CAST('NaN' AS DOUBLE)"
+        if math.isinf(x):
+            return f"CAST('{'-' if x < 0 else ''}Infinity' AS DOUBLE)"
+        return f"{x!r}D"
+    return repr(x)
+
+
+def _count_below_sql(v: str, splits: list, lo: int, hi: int) -> str:
+    """Number of ``splits`` (sorted) strictly below ``v``: a binary search as nested CASE.
+
+    Plain comparisons, so it stays inside whole-stage codegen (a higher-order
+    ``filter`` lambda would be interpreted row by row). Built as SQL text so
+    the whole tree crosses to the JVM in one call.
+    """
+    if lo >= hi:
+        return str(lo)
+    mid = (lo + hi) // 2
+    return (
+        f"CASE WHEN {v} > {_sql_literal(splits[mid])} "
+        f"THEN {_count_below_sql(v, splits, mid + 1, hi)} "
+        f"ELSE {_count_below_sql(v, splits, lo, mid)} END"
+    )
+
+
 def value_positions(
     df: DataFrame,
     value_col: str,
@@ -78,23 +114,47 @@ def value_positions(
         out = value_positions(df.withColumn("_all", F.lit(0)), value_col, ["_all"], nb)
         return out.drop("_all")
     v = F.col(value_col)
-    distinct = (
+    # Collapsed ties, read three times below (sketch, buckets, positions):
+    # materialized once in the shared checkpoint folder.
+    distinct = checkpointed(
         df.where(v.isNotNull())
         .groupBy(*groups, value_col)
         .agg(F.count(F.lit(1)).alias("_n_eq"))
     )
     fractions = [i / nb for i in range(1, nb)]
-    splits = distinct.groupBy(*groups).agg(
-        F.array_distinct(F.percentile_approx(value_col, fractions, SKETCH_ACCURACY)).alias(
-            "_splits"
-        )
-    )
-    # One row per group (a handful of groups here), each holding < nb doubles.
-    bucketed = (
-        distinct.join(F.broadcast(splits), groups)
-        .withColumn("_bucket", F.size(F.filter(F.col("_splits"), lambda s: s < v)))
-        .drop("_splits")
+    sketch = distinct.groupBy(*groups).agg(
+        F.array_distinct(
+            F.percentile_approx(value_col, fractions, nb * ACCURACY_PER_BUCKET)
+        ).alias("_splits")
     )
+    # The sketch is bounded: fewer than nb doubles per group. With few groups
+    # the split points become literals of a codegen'd binary search.
+    few = sketch.limit(MAX_LITERAL_GROUPS + 1).collect()
+    if len(few) <= MAX_LITERAL_GROUPS:
+        # One branch per group, each with its own small search tree (a single
+        # CASE over all groups would outgrow one generated method). The
+        # branches share the exchange of ``distinct``, which Spark reuses.
+        vq = f"`{value_col}`"
+        branches = []
+        for row in few:
+            match = " AND ".join(f"`{g}` <=> {_sql_literal(row[g])}" for g in groups)
+            splits = list(row["_splits"])
+            branches.append(
+                distinct.where(F.expr(match)).withColumn(
+                    "_bucket", F.expr(_count_below_sql(vq, splits, 0, len(splits)))
+                )
+            )
+        bucketed = (
+            functools.reduce(DataFrame.unionAll, branches)
+            if branches
+            else distinct.withColumn("_bucket", F.lit(0))
+        )
+    else:
+        bucketed = (
+            distinct.join(sketch, groups)
+            .withColumn("_bucket", F.size(F.filter(F.col("_splits"), lambda s: s < v)))
+            .drop("_splits")
+        )
     per_bucket = bucketed.groupBy(*groups, "_bucket").agg(F.sum("_n_eq").alias("_n_bucket"))
     gw = Window.partitionBy(*groups)
     prefix = per_bucket.select(
@@ -179,3 +239,42 @@ def percentile_cont_distributed(
         *groups,
         (F.col("_v_lo") + F.col("_frac") * (F.col("_v_hi") - F.col("_v_lo"))).alias(out_col),
     )
+
+
+MAX_PROBE_VALUES = 1000
+
+
+def percent_rank_of(
+    rows: DataFrame,
+    population: DataFrame,
+    value_col: str,
+    out_col: str,
+) -> DataFrame:
+    """``PERCENT_RANK`` of each of a few ``rows`` within a large ``population``.
+
+    For a top-k result (bounded by its LIMIT) only k positions are needed:
+    the distinct values of ``rows`` become literals of one aggregation over
+    the population that counts, per value, the rows strictly below it
+    (partial aggregation, a single pass, one output row).
+    """
+    probes = sorted(
+        {r[0] for r in rows.select(value_col).distinct().limit(MAX_PROBE_VALUES + 1).collect()}
+        - {None}
+    )
+    if len(probes) > MAX_PROBE_VALUES:
+        raise ValueError("percent_rank_of is for bounded (top-k) inputs")
+    v = F.col(value_col)
+    pop = population.where(v.isNotNull())
+    aggs = [F.count(F.lit(1)).alias("_n")] + [
+        F.count_if(v < F.lit(x)).alias(f"_lt{i}") for i, x in enumerate(probes)
+    ]
+    counts = pop.agg(*aggs).first()
+    n = counts["_n"]
+    mapping = []
+    for i, x in enumerate(probes):
+        pr = 0.0 if n <= 1 else counts[f"_lt{i}"] / (n - 1)
+        mapping += [F.lit(x), F.lit(pr)]
+    if not mapping:
+        return rows.withColumn(out_col, F.lit(None).cast("double"))
+    lookup = F.create_map(*mapping)
+    return rows.withColumn(out_col, F.element_at(lookup, v))

@@ -26,6 +26,7 @@ from pulse.functions.columns import (
 from pulse.operators.momentum import latest_per_movie
 from pulse.operators.ranking import (
     percent_rank_distributed,
+    percent_rank_of,
     percentile_cont_distributed,
     top_k_ranked,
 )
@@ -136,8 +137,13 @@ def top_viral_movies(
     th: Thresholds = DEFAULT_THRESHOLDS,
     with_percentile: bool = True,
 ) -> DataFrame:
-    """Latest score per title, coefficient >= 20, ranked; top 100."""
-    scores = viral_coefficient_scores(metrics, movies, snapshots, with_percentile)
+    """Latest score per title, coefficient >= 20, ranked; top 100.
+
+    The percentile is over every scored row of every date, but only the <= 100
+    returned rows need it, so it is computed for those values only
+    (``ranking.percent_rank_of``) rather than ranking the whole population.
+    """
+    scores = viral_coefficient_scores(metrics, movies, snapshots, with_percentile=False)
     latest = latest_per_movie(scores, "calculation_date").where(
         F.col("viral_coefficient") >= th.top_viral_min_coefficient
     )
@@ -159,9 +165,10 @@ def top_viral_movies(
         F.col("popularity_wow_pct_change").alias("wow_popularity_change"),
     ]
     if with_percentile:
-        cols.append("viral_score_percentile")
+        ranked = percent_rank_of(ranked, scores, "viral_coefficient", "_pr")
+        cols.append((F.col("_pr") * 100).alias("viral_score_percentile"))
     cols.append("viral_rank")
-    return ranked.select(*cols)
+    return ranked.orderBy("viral_rank", "movie_id").select(*cols)
 
 
 def emerging_viral_trends(

@@ -22,7 +22,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -83,3 +82,13 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def checkpointed(df):
+    """Materialize ``df`` in the shared checkpoint folder and cut its lineage.
+
+    Used where a plan reads the same intermediate result several times; the
+    reliable checkpoint survives executor loss (a local checkpoint would not).
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
