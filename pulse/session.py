@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Tables bucketed by movie_id co-partition joins on (movie_id, date) too.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
