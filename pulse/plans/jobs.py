@@ -7,14 +7,17 @@ comes back to the driver. Tables live in a ``Warehouse``:
                                (left unpartitioned: an upsert touches any title)
 * ``movie_daily_snapshots`` -- partitioned by ``snapshot_date``, sorted by ``movie_id``
 * ``movie_metrics_aggregated`` -- partitioned by ``calculation_date``
+* ``movie_snapshot_tail``   -- each title's newest 15 snapshot rows (the look-back)
 
 Metric refresh after loading date D: the titles with a snapshot on or after
 D are the only ones whose derived or aggregated values can change (all
 frames look backward), and the partitions from D on contain exactly those
 titles, so those partitions are recomputed from those titles' histories and
-overwritten whole. A normal daily run touches one partition; a late snapshot
-rewrites the partitions from its date on. Re-running a date replaces its
-metric partition instead of appending duplicates.
+overwritten whole. A normal daily run touches one partition and reads only
+the tail table (O(#titles), independent of how long the history is); a late
+snapshot rewrites the partitions from its date on from full histories and
+rebuilds the tail. Re-running a date replaces its metric partition instead of
+appending duplicates.
 """
 
 from __future__ import annotations
@@ -22,18 +25,19 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from pulse import schemas
 from pulse.config import DEFAULT_THRESHOLDS, Thresholds
 from pulse.operators import ingest
-from pulse.operators.metrics import aggregated_metrics, derived_metrics
+from pulse.operators.metrics import BASE_COLUMNS, aggregated_metrics, derived_metrics
 from pulse.plans.warehouse import Warehouse
 
 MOVIES = "movies"
 SNAPSHOTS = "movie_daily_snapshots"
 METRICS = "movie_metrics_aggregated"
+TAIL = "movie_snapshot_tail"
 
 
 @dataclass
@@ -65,20 +69,35 @@ def load_snapshots(wh: Warehouse, incoming: DataFrame, snapshot_date: _dt.date)
     )
 
 
-def refresh_metrics(wh: Warehouse, from_date: _dt.date, th: Thresholds = DEFAULT_THRESHOLDS) -> dict[str, int]:
-    """Recompute derived and aggregated metrics for every partition from ``from_date`` on."""
-    base = wh.read(SNAPSHOTS, schemas.SNAPSHOTS)
-    d = F.lit(from_date)
-    active = base.where(F.col("snapshot_date") >= d).select("movie_id").distinct()
-    history = base.join(active, "movie_id", "left_semi")
-    metric_rows = aggregated_metrics(history, None, th).where(F.col("calculation_date") >= d)
-    derived_rows = derived_metrics(history, th).where(F.col("snapshot_date") >= d)
-    # Metrics first: both read the snapshot partitions that the second write replaces.
+def build_tail(snapshots: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """Each title's newest ``baseline_lag + 1`` snapshot rows (base columns).
+
+    The longest look-back of any metric is 14 rows, so the 14 rows before a
+    run date plus that date's own row are all a refresh of the newest date
+    needs. The table has at most 15 rows per title, whatever the history
+    length. ``row_number() <= k`` is planned as a partial ``WindowGroupLimit``.
+    """
+    k = th.baseline_lag + 1
+    w = Window.partitionBy("movie_id").orderBy(F.col("snapshot_date").desc())
+    return (
+        snapshots.select(*BASE_COLUMNS)
+        .withColumn("_rn", F.row_number().over(w))
+        .where(F.col("_rn") <= k)
+        .drop("_rn")
+    )
+
+
+def _write_metric_and_derived(wh: Warehouse, metric_rows, derived_rows, before_derived=None):
+    # Metrics first: both read snapshot partitions that the derived write replaces.
     n_metrics = _observed_write(
         metric_rows,
         "metric_rows",
-        lambda x: wh.overwrite_partitions(METRICS, x, ["calculation_date"], ["movie_id"]),
+        lambda x: wh.overwrite_partitions(
+            METRICS, x, ["calculation_date"], ["movie_id"], reads_target=False
+        ),
     )
+    if before_derived is not None:
+        before_derived()
     n_derived = _observed_write(
         derived_rows,
         "derived_rows",
@@ -87,6 +106,50 @@ def refresh_metrics(wh: Warehouse, from_date: _dt.date, th: Thresholds = DEFAULT
     return {"metric_rows": n_metrics, "derived_rows": n_derived}
 
 
+def _refresh_full(wh: Warehouse, from_date: _dt.date, th: Thresholds) -> dict[str, int]:
+    """Every partition from ``from_date`` on, from the full history of the titles in them."""
+    base = wh.read(SNAPSHOTS, schemas.SNAPSHOTS)
+    d = F.lit(from_date)
+    active = base.where(F.col("snapshot_date") >= d).select("movie_id").distinct()
+    history = base.join(active, "movie_id", "left_semi")
+    metric_rows = aggregated_metrics(history, None, th).where(F.col("calculation_date") >= d)
+    derived_rows = derived_metrics(history, th).where(F.col("snapshot_date") >= d)
+    counts = _write_metric_and_derived(wh, metric_rows, derived_rows)
+    wh.replace(TAIL, build_tail(wh.read(SNAPSHOTS), th))
+    return counts
+
+
+def _refresh_from_tail(
+    wh: Warehouse, run_date: _dt.date, tail: DataFrame, th: Thresholds
+) -> dict[str, int]:
+    """The newest partition only, from the tail table: O(#titles), not O(history)."""
+    d = F.lit(run_date)
+    day = wh.read(SNAPSHOTS, schemas.SNAPSHOTS).where(F.col("snapshot_date") == d).select(*BASE_COLUMNS)
+    before = tail.where(F.col("snapshot_date") < d)
+    history = before.join(day.select("movie_id"), "movie_id", "left_semi").unionByName(day)
+    metric_rows = aggregated_metrics(history, None, th).where(F.col("calculation_date") == d)
+    derived_rows = derived_metrics(history, th).where(F.col("snapshot_date") == d)
+    new_tail = build_tail(before.unionByName(day), th)
+    return _write_metric_and_derived(
+        wh, metric_rows, derived_rows, before_derived=lambda: wh.replace(TAIL, new_tail)
+    )
+
+
+def refresh_metrics(wh: Warehouse, from_date: _dt.date, th: Thresholds = DEFAULT_THRESHOLDS) -> dict[str, int]:
+    """Recompute derived and aggregated metrics for every partition from ``from_date`` on.
+
+    When ``from_date`` is the newest snapshot date (the daily case) the tail
+    table supplies the look-back rows; a late date falls back to the titles'
+    full histories and rebuilds the tail.
+    """
+    if wh.exists(TAIL):
+        tail = wh.read(TAIL)
+        newest = tail.agg(F.max("snapshot_date").alias("m")).first()["m"]
+        if newest is None or from_date >= newest:
+            return _refresh_from_tail(wh, from_date, tail, th)
+    return _refresh_full(wh, from_date, th)
+
+
 def run_bootstrap(
     wh: Warehouse,
     raw: DataFrame,
@@ -172,4 +235,7 @@ def seed_warehouse(
         ["snapshot_date"],
         ["movie_id"],
     )
-    wh.replace(METRICS, aggregated_metrics(base_snapshots, None, th), ["calculation_date"], ["movie_id"])
+    # Metrics and tail from the stored snapshots: the base rows are derived once.
+    stored = wh.read(SNAPSHOTS)
+    wh.replace(METRICS, aggregated_metrics(stored, None, th), ["calculation_date"], ["movie_id"])
+    wh.replace(TAIL, build_tail(stored, th))

@@ -93,14 +93,22 @@ class Warehouse:
         rows: DataFrame,
         partition_by: Sequence[str],
         sort_by: Sequence[str] = (),
+        reads_target: bool = True,
     ) -> str:
-        """Replace only the partitions present in ``rows`` (dynamic partition overwrite)."""
+        """Replace only the partitions present in ``rows`` (dynamic partition overwrite).
+
+        When ``rows`` is computed from the target table itself it is staged in
+        the shared checkpoint folder first, so no partition is rewritten by a
+        plan that is still reading it; ``reads_target=False`` skips the stage.
+        """
         target = self.current_path(name)
         if target is None:
             return self.replace(name, rows, partition_by, sort_by)
-        stage = scratch_path(self.spark, f"stage-{name}")
-        rows.write.mode("errorifexists").parquet(stage)
-        staged = self.spark.read.parquet(stage).repartition(*partition_by)
+        if reads_target:
+            stage = scratch_path(self.spark, f"stage-{name}")
+            rows.write.mode("errorifexists").parquet(stage)
+            rows = self.spark.read.parquet(stage)
+        staged = rows.repartition(*partition_by)
         if sort_by:
             staged = staged.sortWithinPartitions(*sort_by)
         (

@@ -102,6 +102,28 @@ def test_late_snapshot_refresh_equals_full_recompute(spark):
     assert same(got_m, want_m)
 
 
+def test_daily_refresh_from_tail_equals_full_recompute(spark):
+    w = wh(spark)
+    hist = daily_series(1, "2024-01-01", range(1, 31), range(10, 310, 10)) + daily_series(
+        2, "2024-01-10", range(40, 20, -1), range(5, 105, 5)
+    ) + daily_series(3, "2024-01-01", [4, 5], [1, 2])
+    jobs.seed_warehouse(w, movies(spark, [(1, "a", None), (2, "b", None), (3, "c", None)]), base_snapshots(spark, hist))
+    assert w.read(jobs.TAIL).groupBy("movie_id").count().agg(F.max("count")).first()[0] == 15
+    new_day = "2024-02-01"
+    new = [(1, new_day, 99.0, 999), (2, new_day, 1.0, 200), (4, new_day, 3.0, 3)]
+    jobs.load_snapshots(w, base_snapshots(spark, new), D(new_day))
+    jobs.refresh_metrics(w, D(new_day))  # newest date: served from the tail
+    full = base_snapshots(spark, hist + new)
+    want_m = aggregated_metrics(full).where(F.col("calculation_date") == D(new_day))
+    got_m = w.read(jobs.METRICS).where(F.col("calculation_date") == D(new_day)).select(*want_m.columns)
+    assert got_m.count() == 3 and same(got_m, want_m)
+    want_s = derived_metrics(full).select(*schemas.column_names(schemas.SNAPSHOTS))
+    got_s = w.read(jobs.SNAPSHOTS).select(*schemas.column_names(schemas.SNAPSHOTS))
+    assert same(got_s, want_s)
+    want_tail = jobs.build_tail(full)
+    assert same(w.read(jobs.TAIL).select(*want_tail.columns), want_tail)
+
+
 def test_bootstrap_takes_top_n(spark):
     w = wh(spark)
     raw = ingest.read_raw_details(spark, land(spark, raw_recs(6, 2)))
