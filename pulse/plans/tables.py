@@ -64,7 +64,7 @@ def fixture_tables(spark: SparkSession, sf_dir: str, th: Thresholds = DEFAULT_TH
 
 # -- stored tables ------------------------------------------------------------
 
-_STORED: dict[tuple[int, str], "Tables"] = {}
+_STORED: dict[tuple[str, str], "Tables"] = {}
 
 
 def _source_signature(spark: SparkSession, sf_dir: str) -> str:
@@ -124,8 +124,14 @@ def materialize(tables: Tables, root: str) -> Tables:
     sn = _write_bucketed(
         tables.snapshots, f"pulse_{tag}_snapshots", f"{root}/snapshots", ["movie_id", "snapshot_date"], n
     )
+    # Metrics from the stored snapshot buckets: the raw facts are aggregated
+    # once, and the per-title windows read co-partitioned buckets.
     mt = _write_bucketed(
-        tables.metrics, f"pulse_{tag}_metrics", f"{root}/metrics", ["movie_id", "calculation_date"], n
+        aggregated_metrics(sn.select(*BASE_COLUMNS), None, tables.th),
+        f"pulse_{tag}_metrics",
+        f"{root}/metrics",
+        ["movie_id", "calculation_date"],
+        n,
     )
     stored = Tables(mv, sn.select(*BASE_COLUMNS), tables.as_of, tables.th)
     stored.__dict__["snapshots"] = sn
@@ -139,7 +145,7 @@ def stored_fixture_tables(
     """Fixture tables written once per session and source folder, then served from storage."""
     from pulse.session import scratch_path
 
-    key = (id(spark.sparkContext), f"{sf_dir}|{_source_signature(spark, sf_dir)}|{th!r}")
+    key = (spark.sparkContext.applicationId, f"{sf_dir}|{_source_signature(spark, sf_dir)}|{th!r}")
     if key not in _STORED:
         _STORED[key] = materialize(fixture_tables(spark, sf_dir, th), scratch_path(spark, "tables"))
     return _STORED[key]
