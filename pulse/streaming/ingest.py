@@ -3,14 +3,13 @@
 ``readStream`` over the landing folder (explicit schema) feeds
 ``foreachBatch``. Every micro-batch:
 
-1. appends its records to an arrivals log, written to the partition
-   ``batch_id=<epoch>`` with dynamic overwrite -- a replayed epoch rewrites the
-   same partition, so the log is exactly-once even though ``foreachBatch``
-   is at-least-once;
-2. upserts into the dimension the latest arrival (by ``arrival_seq``) of each
-   id seen in the batch, taken over the whole log. The result does not depend
-   on the order in which files or epochs are processed, and replays are
-   idempotent.
+1. merges its records into a keep-last state table (the latest raw record of
+   every id, by ``arrival_seq``), written as a new version. Keep-last is a
+   max, so re-applying a replayed epoch (``foreachBatch`` is at-least-once)
+   changes nothing, and the state does not depend on the order in which files
+   or epochs arrive. The state is bounded by the number of ids, not by the
+   number of arrivals;
+2. upserts into the dimension the state rows of the ids seen in the batch.
 
 The query checkpoint lives under the shared checkpoint folder.
 ``trigger(availableNow=True)`` drains what has landed and stops, which is how
@@ -31,24 +30,18 @@ from pulse.plans.warehouse import Warehouse
 from pulse.plans.jobs import MOVIES
 from pulse.session import scratch_path
 
-LOG = "raw_arrivals_log"
+STATE = "raw_latest_state"
 
 
 def _batch_writer(wh: Warehouse, loaded_at: _dt.datetime | None):
-    log_path = f"{wh.root}/{LOG}"
-
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        (
-            batch.withColumn("batch_id", F.lit(int(epoch_id)))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(log_path)
+        state = wh.read(STATE, schemas.RAW_DETAILS)
+        merged = ingest.dedupe_keep_last(
+            state.unionByName(batch.select(*schemas.column_names(schemas.RAW_DETAILS)))
         )
-        spark = batch.sparkSession
-        log = spark.read.schema(schemas.RAW_DETAILS).parquet(log_path)
+        wh.replace(STATE, merged)
         touched = batch.where(F.col("id").isNotNull()).select("id").distinct()
-        latest = ingest.dedupe_keep_last(log.join(touched, "id", "left_semi"))
+        latest = wh.read(STATE).join(touched, "id", "left_semi")
         incoming = ingest.transform_movies(latest, loaded_at)
         existing = wh.read(MOVIES, schemas.MOVIES)
         wh.replace(MOVIES, ingest.upsert_movies(existing, incoming))
