@@ -63,17 +63,45 @@ def duck_rows(con, sql):
     return cols, Counter(tuple(_norm(r[i]) for i in idx) for r in rel.fetchall())
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+def type_mismatches(sdf, con, sql):
+    """Columns whose Spark type does not map to the DuckDB type of the oracle."""
+    rel = con.sql(sql)
+    duck = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    out = []
+    for f in sdf.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if duck.get(f.name) != want:
+            out.append((f.name, f.dataType.simpleString(), duck.get(f.name)))
+    return out
+
+
 def compare(spark, name, fn, sql, sf_dir, con=None):
     con = con or duck_connection(sf_dir)
     t0 = time.time()
-    scols, srows = spark_rows(fn(spark, sf_dir))
+    sdf = fn(spark, sf_dir)
+    types = type_mismatches(sdf, con, sql)
+    scols, srows = spark_rows(sdf)
     t1 = time.time()
     dcols, drows = duck_rows(con, sql)
-    ok_cols = scols == dcols
+    ok_cols = scols == dcols and not types
     n_s, n_d = sum(srows.values()), sum(drows.values())
     ok = ok_cols and srows == drows
     detail = ""
-    if not ok_cols:
+    if types:
+        detail = f"types (column, spark, duck): {types}"
+    elif not ok_cols:
         detail = f"columns spark={scols} duck={dcols}"
     elif srows != drows:
         only_s = list((srows - drows).elements())[:3]
