@@ -141,7 +141,7 @@ def _stream(fx: Fixture) -> DataFrame:
     ingest.land_raw_details(fx.raw_details().repartition(8), landing)
     wh = _fresh_warehouse(fx, "wh-stream")
     wh.replace(jobs.MOVIES, fx.customer_movies())
-    stream_ingest(fx.spark, landing, wh, LOADED_AT, max_files_per_trigger=2)
+    stream_ingest(fx.spark, landing, wh, LOADED_AT, max_files_per_trigger=4)
     return wh.read(jobs.MOVIES).select(*schemas.column_names(schemas.MOVIES))
 
 
@@ -180,10 +180,11 @@ def queries() -> dict[str, Query]:
         ).select("movie_id", "title", "popularity")
     )
     q["changed_entities"] = on_fixture(
-        lambda fx: ingest.dedupe_keep_last(
-            ingest.changed_entities(
-                fx.raw_details(), fx.changes(), RUN_DATE - _dt.timedelta(days=1), RUN_DATE
-            )
+        lambda fx: ingest.changed_entities(
+            ingest.dedupe_keep_last(fx.raw_details()),
+            fx.changes(),
+            RUN_DATE - _dt.timedelta(days=1),
+            RUN_DATE,
         )
     )
     q["tracked_ids"] = on_tables(lambda t: ingest.tracked_ids(t.movies))

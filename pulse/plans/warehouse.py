@@ -17,12 +17,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulse.session import scratch_path
 
 
+def _cluster(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
+    """Lay rows out for a partitioned write.
+
+    Range partitioning on (partition columns, sort columns) gives each writer
+    task a contiguous slice: a date partition is written as a few files
+    clustered by ``movie_id`` instead of one file per input split, and a very
+    large (or hot) date is split across several tasks by ``movie_id`` rather
+    than landing in one task as a hash partitioning on the date would.
+    """
+    keys = list(partition_by) + [c for c in sort_by if c not in partition_by]
+    out = df.repartitionByRange(*keys) if partition_by else df
+    return out.sortWithinPartitions(*keys) if keys else out
+
+
+def _counted(df: DataFrame, counter: Observation | None) -> DataFrame:
+    if counter is None:
+        return df
+    return df.observe(counter, F.count(F.lit(1)).alias("rows"))
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -70,17 +91,17 @@ class Warehouse:
         df: DataFrame,
         partition_by: Sequence[str] = (),
         sort_by: Sequence[str] = (),
+        counter: Observation | None = None,
     ) -> str:
-        """Write ``df`` as the next version of ``name`` (readers switch when it commits)."""
+        """Write ``df`` as the next version of ``name`` (readers switch when it commits).
+
+        ``counter`` counts the written rows during the write itself; it is
+        attached above the clustering exchange, so the sampling pass of the
+        range partitioner does not count rows too.
+        """
         v = self._versions(name)
         path = f"{self.root}/{name}/v={(v[-1] + 1) if v else 1}"
-        out = df
-        if partition_by:
-            # Rows of one partition value go to one writer task, so each date
-            # partition gets one file per task instead of one per input split.
-            out = out.repartition(*partition_by)
-        if sort_by:
-            out = out.sortWithinPartitions(*sort_by)
+        out = _counted(_cluster(df, partition_by, sort_by), counter)
         w = out.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -94,6 +115,7 @@ class Warehouse:
         partition_by: Sequence[str],
         sort_by: Sequence[str] = (),
         reads_target: bool = True,
+        counter: Observation | None = None,
     ) -> str:
         """Replace only the partitions present in ``rows`` (dynamic partition overwrite).
 
@@ -103,14 +125,12 @@ class Warehouse:
         """
         target = self.current_path(name)
         if target is None:
-            return self.replace(name, rows, partition_by, sort_by)
+            return self.replace(name, rows, partition_by, sort_by, counter)
         if reads_target:
             stage = scratch_path(self.spark, f"stage-{name}")
-            rows.write.mode("errorifexists").parquet(stage)
-            rows = self.spark.read.parquet(stage)
-        staged = rows.repartition(*partition_by)
-        if sort_by:
-            staged = staged.sortWithinPartitions(*sort_by)
+            _counted(rows, counter).write.mode("errorifexists").parquet(stage)
+            rows, counter = self.spark.read.parquet(stage), None
+        staged = _counted(_cluster(rows, partition_by, sort_by), counter)
         (
             staged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
