@@ -36,6 +36,30 @@ ACCURACY_PER_BUCKET = 10
 # Split points are gathered as literals when a plan has at most this many
 # groups (each group contributes fewer than ``buckets`` doubles).
 MAX_LITERAL_GROUPS = 64
+# A group this small (non-null values) may be ranked inside one task with
+# Spark's own exact window / aggregate; larger groups take the distributed
+# path. Override with the session setting ``pulse.ranking.singleTaskMaxRows``.
+SINGLE_TASK_MAX_ROWS = 1_000_000
+
+
+def _largest_group(df: DataFrame, value_col: str, groups: list[str], limit: int) -> int | None:
+    """Row count of the largest group, or None when there are too many groups to check."""
+    sizes = df.where(F.col(value_col).isNotNull()).groupBy(*groups).count()
+    rows = sizes.limit(MAX_LITERAL_GROUPS + 1).collect()
+    if len(rows) > MAX_LITERAL_GROUPS:
+        return None
+    return max((r["count"] for r in rows), default=0)
+
+
+def _single_task_ok(df: DataFrame, value_col: str, groups: list[str], limit: int | None) -> bool:
+    if limit is None:
+        limit = int(
+            df.sparkSession.conf.get("pulse.ranking.singleTaskMaxRows", str(SINGLE_TASK_MAX_ROWS))
+        )
+    if limit <= 0:
+        return False
+    largest = _largest_group(df, value_col, groups, limit)
+    return largest is not None and largest <= limit
 
 
 def _ordered(col: str, ascending: bool) -> Column:
@@ -190,13 +214,23 @@ def percent_rank_distributed(
     out_col: str,
     group_cols: Sequence[str] = (),
     buckets: int | None = None,
+    single_task_max_rows: int | None = None,
 ) -> DataFrame:
     """``PERCENT_RANK() OVER (PARTITION BY groups ORDER BY value)`` for non-null values.
 
     ``(rows strictly smaller) / (n - 1)``; 0 for a one-row group; NULL values
-    get NULL (callers here filter them out beforehand).
+    get NULL (callers here filter them out beforehand). Groups under the
+    checked size limit use Spark's window in one task per group; otherwise
+    the distributed positions are used.
     """
     groups = list(group_cols)
+    v = F.col(value_col)
+    if _single_task_ok(df, value_col, groups, single_task_max_rows):
+        w = Window.partitionBy(*groups).orderBy(value_col) if groups else Window.orderBy(value_col)
+        ranked = df.where(v.isNotNull()).withColumn(out_col, F.percent_rank().over(w))
+        return ranked.unionByName(
+            df.where(v.isNull()).withColumn(out_col, F.lit(None).cast("double"))
+        )
     pos = value_positions(df, value_col, groups, buckets)
     pr = F.when(F.col("_n_group") <= 1, F.lit(0.0)).otherwise(
         F.col("_n_less") / (F.col("_n_group") - 1)
@@ -214,13 +248,23 @@ def percentile_cont_distributed(
     out_col: str,
     group_cols: Sequence[str] = (),
     buckets: int | None = None,
+    single_task_max_rows: int | None = None,
 ) -> DataFrame:
     """Exact ``PERCENTILE_CONT(value, fraction)`` per group, without one-task groups.
 
     Returns one row per group that has a non-null value: the interpolation of
-    the values at positions ``floor(f*(n-1))`` and ``ceil(f*(n-1))``.
+    the values at positions ``floor(f*(n-1))`` and ``ceil(f*(n-1))``. Groups
+    under the checked size limit use Spark's exact ``percentile`` aggregate
+    (its final merge holds one group's values in one task); larger groups use
+    the distributed positions.
     """
     groups = list(group_cols)
+    if _single_task_ok(df, value_col, groups, single_task_max_rows):
+        return (
+            df.where(F.col(value_col).isNotNull())
+            .groupBy(*groups)
+            .agg(F.percentile(value_col, float(fraction)).alias(out_col))
+        )
     pos = value_positions(df, value_col, groups, buckets)
     target = F.lit(float(fraction)) * (F.col("_n_group") - 1)
     lo, hi = F.floor(target), F.ceil(target)

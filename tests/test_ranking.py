@@ -28,7 +28,7 @@ def skewed(spark):
 def test_percent_rank_matches_builtin(spark, skewed):
     scored = skewed.where(F.col("v").isNotNull())
     want = scored.withColumn("pr", F.percent_rank().over(Window.orderBy("v")))
-    got = percent_rank_distributed(scored, "v", "pr", buckets=16)
+    got = percent_rank_distributed(scored, "v", "pr", buckets=16, single_task_max_rows=0)
     diff = want.select("movie_id", F.round("pr", 12).alias("pr")).exceptAll(
         got.select("movie_id", F.round("pr", 12).alias("pr"))
     )
@@ -39,7 +39,7 @@ def test_percent_rank_matches_builtin(spark, skewed):
 def test_grouped_percent_rank_matches_builtin(spark, skewed):
     scored = skewed.where(F.col("v").isNotNull())
     want = scored.withColumn("pr", F.percent_rank().over(Window.partitionBy("g").orderBy("v")))
-    got = percent_rank_distributed(scored, "v", "pr", ["g"], buckets=8)
+    got = percent_rank_distributed(scored, "v", "pr", ["g"], buckets=8, single_task_max_rows=0)
     a = want.select("movie_id", F.round("pr", 12).alias("pr"))
     b = got.select("movie_id", F.round("pr", 12).alias("pr"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
@@ -53,7 +53,9 @@ def test_percentile_cont_matches_builtin(spark, skewed, fraction):
     }
     got = {
         r["g"]: r["p"]
-        for r in percentile_cont_distributed(skewed, "v", fraction, "p", ["g"], buckets=8).collect()
+        for r in percentile_cont_distributed(
+            skewed, "v", fraction, "p", ["g"], buckets=8, single_task_max_rows=0
+        ).collect()
     }
     assert got.keys() == want.keys()
     for k in want:
@@ -62,8 +64,21 @@ def test_percentile_cont_matches_builtin(spark, skewed, fraction):
 
 def test_median_single_row_and_even_count(spark):
     df = spark.createDataFrame([("x", 5.0), ("y", 1.0), ("y", 4.0)], "g string, v double")
-    got = {r["g"]: r["m"] for r in percentile_cont_distributed(df, "v", 0.5, "m", ["g"]).collect()}
-    assert got == {"x": 5.0, "y": 2.5}
+    for limit in (0, None):  # distributed path, then the size-checked single-task path
+        got = {
+            r["g"]: r["m"]
+            for r in percentile_cont_distributed(df, "v", 0.5, "m", ["g"], single_task_max_rows=limit).collect()
+        }
+        assert got == {"x": 5.0, "y": 2.5}
+
+
+def test_single_task_path_matches_distributed(spark, skewed):
+    a = percent_rank_distributed(skewed, "v", "pr", buckets=16, single_task_max_rows=0)
+    b = percent_rank_distributed(skewed, "v", "pr", single_task_max_rows=10**6)
+    ra = a.select("movie_id", F.round("pr", 12).alias("pr"))
+    rb = b.select("movie_id", F.round("pr", 12).alias("pr"))
+    assert a.count() == skewed.count() == b.count()
+    assert ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
 
 
 def test_top_k_rank_equals_global_rank(spark, skewed):
