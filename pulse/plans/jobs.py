@@ -142,14 +142,67 @@ def refresh_metrics(wh: Warehouse, from_date: _dt.date, th: Thresholds = DEFAULT
     table supplies the look-back rows; a late date falls back to the titles'
     full histories and rebuilds the tail.
     """
-    if wh.exists(TAIL):
-        tail = wh.read(TAIL)
-        newest = tail.agg(F.max("snapshot_date").alias("m")).first()["m"]
-        if newest is None or from_date >= newest:
-            return _refresh_from_tail(wh, from_date, tail, th)
+    tail = _usable_tail(wh, from_date)
+    if tail is not None:
+        return _refresh_from_tail(wh, from_date, tail, th)
     return _refresh_full(wh, from_date, th)
 
 
+def _usable_tail(wh: Warehouse, run_date: _dt.date) -> DataFrame | None:
+    if not wh.exists(TAIL):
+        return None
+    tail = wh.read(TAIL)
+    newest = tail.agg(F.max("snapshot_date").alias("m")).first()["m"]
+    return tail if newest is None or run_date >= newest else None
+
+
+def load_and_refresh(
+    wh: Warehouse, incoming: DataFrame, run_date: _dt.date, th: Thresholds = DEFAULT_THRESHOLDS
+) -> dict[str, int]:
+    """Upsert one date's snapshots and refresh the metrics, in as few writes as possible.
+
+    On the newest date the upserted rows of that date and the tail are all
+    the metrics need: the day's rows with their derived columns are computed
+    and staged once, the date partition is overwritten from the stage, and
+    the metric partition and the new tail are computed from the stage and the
+    old tail. A late date upserts its partition and takes the full refresh.
+    """
+    tail = _usable_tail(wh, run_date)
+    if tail is None:
+        counts = {"snapshots": load_snapshots(wh, incoming, run_date)}
+        counts.update(_refresh_full(wh, run_date, th))
+        return counts
+    d = F.lit(run_date)
+    existing = wh.read(SNAPSHOTS, schemas.SNAPSHOTS)
+    day = ingest.upsert_snapshots_partition(existing, incoming, run_date).select(*BASE_COLUMNS)
+    before = tail.where(F.col("snapshot_date") < d)
+    history = before.join(day.select("movie_id"), "movie_id", "left_semi").unionByName(day)
+    derived_rows = derived_metrics(history, th).where(F.col("snapshot_date") == d)
+    # The day's rows read the partition they replace: stage them first.
+    stage = wh.stage(derived_rows.select(*schemas.column_names(schemas.SNAPSHOTS)), "day")
+    n_snap = _observed_write(
+        stage,
+        "snapshot_rows",
+        lambda x, c: wh.overwrite_partitions(
+            SNAPSHOTS, x, ["snapshot_date"], ["movie_id"], reads_target=False, counter=c
+        ),
+    )
+    staged_day = stage.select(*BASE_COLUMNS)
+    staged_history = before.join(staged_day.select("movie_id"), "movie_id", "left_semi").unionByName(
+        staged_day
+    )
+    metric_rows = aggregated_metrics(staged_history, None, th).where(F.col("calculation_date") == d)
+    n_metrics = _observed_write(
+        metric_rows,
+        "metric_rows",
+        lambda x, c: wh.overwrite_partitions(
+            METRICS, x, ["calculation_date"], ["movie_id"], reads_target=False, counter=c
+        ),
+    )
+    wh.replace(TAIL, build_tail(before.unionByName(staged_day), th))
+    return {"snapshots": n_snap, "metric_rows": n_metrics, "derived_rows": n_snap}
+
+
 def run_bootstrap(
     wh: Warehouse,
     raw: DataFrame,
@@ -167,10 +220,9 @@ def run_bootstrap(
     chosen = details.join(top, "id", "left_semi")
     rep = JobReport()
     rep.counts["movies"] = load_movies(wh, ingest.transform_movies(chosen, loaded_at))
-    rep.counts["snapshots"] = load_snapshots(
-        wh, ingest.transform_snapshots(chosen, snapshot_date, loaded_at), snapshot_date
+    rep.counts.update(
+        load_and_refresh(wh, ingest.transform_snapshots(chosen, snapshot_date, loaded_at), snapshot_date, th)
     )
-    rep.counts.update(refresh_metrics(wh, snapshot_date, th))
     return rep
 
 
@@ -192,10 +244,9 @@ def run_daily(
     details = ingest.changed_entities(ingest.dedupe_keep_last(raw), changes, start, snapshot_date)
     rep = JobReport()
     rep.counts["movies"] = load_movies(wh, ingest.transform_movies(details, loaded_at))
-    rep.counts["snapshots"] = load_snapshots(
-        wh, ingest.transform_snapshots(details, snapshot_date, loaded_at), snapshot_date
+    rep.counts.update(
+        load_and_refresh(wh, ingest.transform_snapshots(details, snapshot_date, loaded_at), snapshot_date, th)
     )
-    rep.counts.update(refresh_metrics(wh, snapshot_date, th))
     return rep
 
 
@@ -208,18 +259,11 @@ def run_weekly(
 ) -> JobReport:
     """Fresh snapshots for every tracked title (dimension untouched) -> metrics."""
     movies = wh.read(MOVIES, schemas.MOVIES)
-    existing = wh.read(SNAPSHOTS, schemas.SNAPSHOTS)
     tracked = movies.select(F.col("movie_id").alias("id"))
     details = ingest.dedupe_keep_last(raw).join(tracked, "id", "left_semi")
     fresh = ingest.transform_snapshots(details, snapshot_date, loaded_at)
-    part = ingest.upsert_snapshots_partition(existing, fresh, snapshot_date)
     rep = JobReport()
-    rep.counts["snapshots"] = _observed_write(
-        part.select(*schemas.column_names(schemas.SNAPSHOTS)),
-        "snapshot_rows",
-        lambda d, c: wh.overwrite_partitions(SNAPSHOTS, d, ["snapshot_date"], ["movie_id"], counter=c),
-    )
-    rep.counts.update(refresh_metrics(wh, snapshot_date, th))
+    rep.counts.update(load_and_refresh(wh, fresh, snapshot_date, th))
     return rep
 
 

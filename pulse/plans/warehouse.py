@@ -108,6 +108,12 @@ class Warehouse:
         w.parquet(path)
         return path
 
+    def stage(self, rows: DataFrame, name: str) -> DataFrame:
+        """Write ``rows`` once under the shared checkpoint folder and read them back."""
+        path = scratch_path(self.spark, f"stage-{name}")
+        rows.write.mode("errorifexists").parquet(path)
+        return self.spark.read.parquet(path)
+
     def overwrite_partitions(
         self,
         name: str,

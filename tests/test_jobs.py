@@ -3,6 +3,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tests.conftest import D, base_snapshots, daily_series, movies
@@ -102,7 +104,8 @@ def test_late_snapshot_refresh_equals_full_recompute(spark):
     assert same(got_m, want_m)
 
 
-def test_daily_refresh_from_tail_equals_full_recompute(spark):
+@pytest.mark.parametrize("combined", [False, True])
+def test_daily_refresh_from_tail_equals_full_recompute(spark, combined):
     w = wh(spark)
     hist = daily_series(1, "2024-01-01", range(1, 31), range(10, 310, 10)) + daily_series(
         2, "2024-01-10", range(40, 20, -1), range(5, 105, 5)
@@ -111,8 +114,12 @@ def test_daily_refresh_from_tail_equals_full_recompute(spark):
     assert w.read(jobs.TAIL).groupBy("movie_id").count().agg(F.max("count")).first()[0] == 15
     new_day = "2024-02-01"
     new = [(1, new_day, 99.0, 999), (2, new_day, 1.0, 200), (4, new_day, 3.0, 3)]
-    jobs.load_snapshots(w, base_snapshots(spark, new), D(new_day))
-    jobs.refresh_metrics(w, D(new_day))  # newest date: served from the tail
+    if combined:
+        counts = jobs.load_and_refresh(w, base_snapshots(spark, new), D(new_day))
+        assert counts["snapshots"] == 3 and counts["metric_rows"] == 3
+    else:
+        jobs.load_snapshots(w, base_snapshots(spark, new), D(new_day))
+        jobs.refresh_metrics(w, D(new_day))  # newest date: served from the tail
     full = base_snapshots(spark, hist + new)
     want_m = aggregated_metrics(full).where(F.col("calculation_date") == D(new_day))
     got_m = w.read(jobs.METRICS).where(F.col("calculation_date") == D(new_day)).select(*want_m.columns)
