@@ -20,6 +20,8 @@ partition. The three compositions here keep the work distributed:
 
 from __future__ import annotations
 
+import datetime as _dt
+import decimal
 import functools
 import math
 from collections.abc import Sequence
@@ -93,13 +95,28 @@ def _num_buckets(df: DataFrame, buckets: int | None) -> int:
 
 
 def _sql_literal(x) -> str:
+    """A Spark SQL literal for a split point or group key."""
+    if x is None:
+        return "NULL"
+    if isinstance(x, bool):
+        return "TRUE" if x else "FALSE"
     if isinstance(x, float):
         if math.isnan(x):
             return "CAST('NaN' AS DOUBLE)"
         if math.isinf(x):
             return f"CAST('{'-' if x < 0 else ''}Infinity' AS DOUBLE)"
         return f"{x!r}D"
-    return repr(x)
+    if isinstance(x, int):
+        return f"{x}L"
+    if isinstance(x, _dt.datetime):
+        return f"TIMESTAMP '{x.isoformat(sep=' ')}'"
+    if isinstance(x, _dt.date):
+        return f"DATE '{x.isoformat()}'"
+    if isinstance(x, str):
+        return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(x, decimal.Decimal):
+        return f"{x}BD"
+    raise TypeError(f"no SQL literal for {type(x).__name__}")
 
 
 def _count_below_sql(v: str, splits: list, lo: int, hi: int) -> str:
