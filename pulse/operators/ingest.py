@@ -19,7 +19,6 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pulse import schemas
 
@@ -302,14 +301,3 @@ def refresh_tracked_snapshots(
     details = dedupe_keep_last(raw).join(tracked, "id", "left_semi")
     fresh = transform_snapshots(details, snapshot_date, ingested_at)
     return upsert_snapshots(existing_snapshots, fresh, snapshot_date)
-
-
-def flatten_arrays(df: DataFrame) -> DataFrame:
-    """Array / struct columns rendered as JSON text (for reports and comparisons)."""
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
-            cols.append(F.to_json(F.col(f.name)).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)

@@ -48,15 +48,6 @@ class Tables:
         return aggregated_metrics(self.base_snapshots, None, self.th)
 
 
-def build_tables(
-    movies: DataFrame,
-    base_snapshots: DataFrame,
-    as_of: _dt.date,
-    th: Thresholds = DEFAULT_THRESHOLDS,
-) -> Tables:
-    return Tables(movies, base_snapshots, as_of, th)
-
-
 def fixture_tables(spark: SparkSession, sf_dir: str, th: Thresholds = DEFAULT_THRESHOLDS) -> Tables:
     fx = Fixture(spark, sf_dir)
     return Tables(fx.movies, fx.base_snapshots, fx.as_of, th)

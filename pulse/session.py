@@ -9,7 +9,6 @@ the driver's disk.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -77,15 +76,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/pulse/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side helpers can inspect a local path."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def checkpointed(df):
     """Materialize ``df`` in the shared checkpoint folder and cut its lineage.
 

@@ -31,7 +31,6 @@ TABLES = (
 # are reproducible; real jobs stamp the load time).
 FIXTURE_LOADED_AT = _dt.datetime(2001, 11, 4, 12, 0, 0)
 CUSTOMER_LOADED_AT = _dt.datetime(2023, 12, 31, 0, 0, 0)
-EVENTS_LOADED_AT = _dt.datetime(2024, 1, 31, 0, 0, 0)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
