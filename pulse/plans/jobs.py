@@ -55,7 +55,9 @@ def _observed_write(df: DataFrame, name: str, write) -> int:
 def load_movies(wh: Warehouse, incoming: DataFrame) -> int:
     existing = wh.read(MOVIES, schemas.MOVIES)
     merged = ingest.upsert_movies(existing, incoming)
-    return _observed_write(merged, "movies_rows", lambda d, c: wh.replace(MOVIES, d, counter=c))
+    n = _observed_write(merged, "movies_rows", lambda d, c: wh.replace(MOVIES, d, counter=c))
+    wh.vacuum(MOVIES)
+    return n
 
 
 def load_snapshots(wh: Warehouse, incoming: DataFrame, snapshot_date: _dt.date) -> int:
@@ -200,6 +202,7 @@ def load_and_refresh(
         ),
     )
     wh.replace(TAIL, build_tail(before.unionByName(staged_day), th))
+    wh.vacuum(TAIL)
     return {"snapshots": n_snap, "metric_rows": n_metrics, "derived_rows": n_snap}
 
 

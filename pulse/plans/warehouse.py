@@ -69,6 +69,21 @@ class Warehouse:
                     out.append(int(base[2:]))
         return sorted(out)
 
+    def vacuum(self, name: str, keep: int = 2) -> list[str]:
+        """Delete all but the newest ``keep`` committed versions of a table.
+
+        Keeping the previous version lets a reader that started before the
+        last replace finish. Returns the removed paths.
+        """
+        if keep < 1:
+            raise ValueError("keep at least the current version")
+        removed = []
+        for v in self._versions(name)[:-keep]:
+            fs, p = self._fs_path(f"{self.root}/{name}/v={v}")
+            fs.delete(p, True)
+            removed.append(p.toString())
+        return removed
+
     def current_path(self, name: str) -> str | None:
         v = self._versions(name)
         return f"{self.root}/{name}/v={v[-1]}" if v else None

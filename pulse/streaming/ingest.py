@@ -40,11 +40,13 @@ def _batch_writer(wh: Warehouse, loaded_at: _dt.datetime | None):
             state.unionByName(batch.select(*schemas.column_names(schemas.RAW_DETAILS)))
         )
         wh.replace(STATE, merged)
+        wh.vacuum(STATE)
         touched = batch.where(F.col("id").isNotNull()).select("id").distinct()
         latest = wh.read(STATE).join(touched, "id", "left_semi")
         incoming = ingest.transform_movies(latest, loaded_at)
         existing = wh.read(MOVIES, schemas.MOVIES)
         wh.replace(MOVIES, ingest.upsert_movies(existing, incoming))
+        wh.vacuum(MOVIES)
 
     return handle
 

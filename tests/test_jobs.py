@@ -151,3 +151,24 @@ def test_stream_ingest_equals_batch_upsert(spark):
     raw = ingest.read_raw_details(spark, landing)
     want = ingest.upsert_movies(existing, ingest.transform_movies(ingest.dedupe_keep_last(raw), LOADED))
     assert same(w.read(jobs.MOVIES).select(*want.columns), want)
+
+
+def test_vacuum_keeps_newest_versions(spark):
+    w = wh(spark)
+    s = base_snapshots(spark, [(1, "2024-01-01", 1.0, 1)])
+    for _ in range(4):
+        w.replace("t", s)
+    removed = w.vacuum("t", keep=2)
+    assert len(removed) == 2
+    assert w.current_path("t").endswith("v=4") and w.read("t").count() == 1
+
+
+def test_cli_validate_exit_code(spark):
+    from pulse.__main__ import main
+
+    w = wh(spark)
+    jobs.seed_warehouse(w, movies(spark, [(1, "a", None)]), base_snapshots(spark, [(1, "2024-01-01", 1.0, 1)]))
+    assert main(["validate", w.root]) == 0
+    bad = movies(spark, [(2, "b", None)]).withColumn("last_updated", F.lit(None).cast("timestamp"))
+    w.replace(jobs.MOVIES, bad)
+    assert main(["validate", w.root]) == 1
