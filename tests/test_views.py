@@ -102,3 +102,22 @@ def test_genre_report_counts_rows_over_distinct_titles(spark):
     assert r.genre == "Drama" and r.num_movies == 10
     assert r.highly_viral_count == 20 and r.viral_movie_percentage == 200.0
     assert virality.genre_viral_performance(metrics, mv.where(F.col("movie_id") > 1), snaps, AS_OF).count() == 0
+
+
+def test_moving_stddev_single_row_is_null(spark):
+    hist = daily_series(1, "2024-01-01", [10], [1]) + daily_series(2, "2024-01-01", [10, 14], [1, 2])
+    snaps, mv, _ = tables(spark, hist, [(1, "a", None), (2, "b", None)])
+    got = {(r.movie_id, r.snapshot_date): r for r in momentum.popularity_moving_average(snaps, mv).collect()}
+    one = got[(1, D("2024-01-01"))]
+    assert one.popularity_volatility_7d is None and one.deviation_from_ma == 0.0
+    two = got[(2, D("2024-01-02"))]
+    assert two.popularity_7d_ma == 12.0 and abs(two.popularity_volatility_7d - 2.8284271247) < 1e-9
+
+
+def test_week_over_week_uses_previous_week_row(spark):
+    # Sat 2024-01-06 and Sun 2024-01-07 fall in different Sunday-start weeks
+    hist = [(1, "2024-01-06", 10.0, 1), (1, "2024-01-07", 20.0, 2), (1, "2024-01-08", 30.0, 3)]
+    snaps, mv, _ = tables(spark, hist, [(1, "a", None)])
+    rows = sorted(momentum.popularity_week_over_week(snaps, mv).collect(), key=lambda r: r.current_week)
+    assert [r.current_week for r in rows] == [D("2023-12-31"), D("2024-01-07")]
+    assert rows[1].current_week_avg_popularity == 25.0 and rows[1].wow_pct_change == 150.0
