@@ -140,3 +140,15 @@ def stored_fixture_tables(
     if key not in _STORED:
         _STORED[key] = materialize(fixture_tables(spark, sf_dir, th), scratch_path(spark, "tables"))
     return _STORED[key]
+
+
+def warehouse_tables(wh, as_of: _dt.date, th: Thresholds = DEFAULT_THRESHOLDS) -> Tables:
+    """The views' inputs over tables maintained by the batch jobs (``plans.jobs``)."""
+    from pulse import schemas
+    from pulse.plans import jobs
+
+    snaps = wh.read(jobs.SNAPSHOTS, schemas.SNAPSHOTS)
+    t = Tables(wh.read(jobs.MOVIES, schemas.MOVIES), snaps.select(*BASE_COLUMNS), as_of, th)
+    t.__dict__["snapshots"] = snaps
+    t.__dict__["metrics"] = wh.read(jobs.METRICS, schemas.METRICS)
+    return t

@@ -172,3 +172,16 @@ def test_cli_validate_exit_code(spark):
     bad = movies(spark, [(2, "b", None)]).withColumn("last_updated", F.lit(None).cast("timestamp"))
     w.replace(jobs.MOVIES, bad)
     assert main(["validate", w.root]) == 1
+
+
+def test_views_over_job_warehouse(spark):
+    from pulse.operators import momentum
+    from pulse.plans.tables import warehouse_tables
+
+    w = wh(spark)
+    hist = daily_series(1, "2024-01-01", [10] * 7 + [20], [1] * 8)
+    jobs.seed_warehouse(w, movies(spark, [(1, "a", "2024-01-01")]), base_snapshots(spark, hist))
+    t = warehouse_tables(w, D("2024-02-01"))
+    rows = momentum.top_gaining_movies(t.snapshots, t.movies, t.metrics).collect()
+    assert [(r.movie_id, r.weekly_pct_gain, r.momentum_rank) for r in rows] == [(1, 100.0, 1)]
+    assert rows[0].wow_pct_change == 100.0
