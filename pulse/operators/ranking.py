@@ -243,10 +243,11 @@ def percent_rank_distributed(
     groups = list(group_cols)
     v = F.col(value_col)
     if _single_task_ok(df, value_col, groups, single_task_max_rows):
-        w = Window.partitionBy(*groups).orderBy(value_col) if groups else Window.orderBy(value_col)
-        ranked = df.where(v.isNotNull()).withColumn(out_col, F.percent_rank().over(w))
-        return ranked.unionByName(
-            df.where(v.isNull()).withColumn(out_col, F.lit(None).cast("double"))
+        # NULL values sit in their own window partition, so non-null values
+        # are ranked among themselves in one pass.
+        w = Window.partitionBy(*groups, v.isNull()).orderBy(value_col)
+        return df.withColumn(
+            out_col, F.when(v.isNotNull(), F.percent_rank().over(w)).cast("double")
         )
     pos = value_positions(df, value_col, groups, buckets)
     pr = F.when(F.col("_n_group") <= 1, F.lit(0.0)).otherwise(
