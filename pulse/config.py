@@ -50,8 +50,11 @@ COHORT_LABELS = (
 )
 COHORT_CUTS = (30, 90, 180)
 
-# breakout_type of the breakout report
+# breakout_type of the breakout report: (score a week ago below, score now at
+# least) for the first two labels, then a rise of at least BREAKOUT_RISE
 BREAKOUT_LABELS = ("Major Breakout", "Strong Breakout", "Rapid Growth", "Steady Growth")
+BREAKOUT_RULES = ((20.0, 40.0), (40.0, 60.0))
+BREAKOUT_RISE = 20.0
 
 # engagement_trend of the vote timeline
 ENGAGEMENT_TREND_LABELS = ("Increasing", "Decreasing", "Stable")

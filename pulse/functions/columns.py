@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from pulse.config import (
     BREAKOUT_LABELS,
+    BREAKOUT_RISE,
+    BREAKOUT_RULES,
     COHORT_CUTS,
     COHORT_LABELS,
     ENGAGEMENT_CUTS,
@@ -126,10 +128,11 @@ def engagement_trend(value: Column | str, baseline: Column | str) -> Column:
 def breakout_type(now: Column | str, week_ago: Column | str) -> Column:
     n, p = _col(now), _col(week_ago)
     major, strong, rapid, steady = BREAKOUT_LABELS
+    (major_below, major_at), (strong_below, strong_at) = BREAKOUT_RULES
     return (
-        F.when((p < 20) & (n >= 40), major)
-        .when((p < 40) & (n >= 60), strong)
-        .when(n - p >= 20, rapid)
+        F.when((p < major_below) & (n >= major_at), major)
+        .when((p < strong_below) & (n >= strong_at), strong)
+        .when(n - p >= BREAKOUT_RISE, rapid)
         .otherwise(steady)
     )
 
