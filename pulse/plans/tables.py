@@ -81,9 +81,10 @@ def _write_bucketed(df: DataFrame, name: str, path: str, order: list[str], bucke
     bucket key, with the same hash Spark uses for buckets, so every task
     writes one bucket file, sorted by ``order``.
     """
+    # No sortWithinPartitions here: the bucketed writer sorts each task's rows
+    # by (bucket, sortBy columns) itself.
     (
         df.repartition(buckets, "movie_id")
-        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .format("parquet")
         .option("path", path)
