@@ -151,11 +151,17 @@ def refresh_metrics(wh: Warehouse, from_date: _dt.date, th: Thresholds = DEFAULT
 
 
 def _usable_tail(wh: Warehouse, run_date: _dt.date) -> DataFrame | None:
+    """The tail table, if ``run_date`` is on or after the newest stored date.
+
+    The newest date comes from the snapshot table's partition directories
+    (a listing, no scan). The tail is written last in every refresh, so it
+    is never ahead of the snapshot table.
+    """
     if not wh.exists(TAIL):
         return None
-    tail = wh.read(TAIL)
-    newest = tail.agg(F.max("snapshot_date").alias("m")).first()["m"]
-    return tail if newest is None or run_date >= newest else None
+    dates = wh.partition_values(SNAPSHOTS, "snapshot_date")
+    newest = _dt.date.fromisoformat(dates[-1]) if dates else None
+    return wh.read(TAIL) if newest is None or run_date >= newest else None
 
 
 def load_and_refresh(

@@ -84,6 +84,19 @@ class Warehouse:
             removed.append(p.toString())
         return removed
 
+    def partition_values(self, name: str, column: str) -> list[str]:
+        """Values of a partition column, read from the directory names (no data scan)."""
+        path = self.current_path(name)
+        if path is None:
+            return []
+        fs, p = self._fs_path(path)
+        prefix = f"{column}="
+        return sorted(
+            st.getPath().getName()[len(prefix):]
+            for st in fs.listStatus(p)
+            if st.isDirectory() and st.getPath().getName().startswith(prefix)
+        )
+
     def current_path(self, name: str) -> str | None:
         v = self._versions(name)
         return f"{self.root}/{name}/v={v[-1]}" if v else None
