@@ -116,8 +116,15 @@ def _refresh_full(wh: Warehouse, from_date: _dt.date, th: Thresholds) -> dict[st
     history = base.join(active, "movie_id", "left_semi")
     metric_rows = aggregated_metrics(history, None, th).where(F.col("calculation_date") >= d)
     derived_rows = derived_metrics(history, th).where(F.col("snapshot_date") >= d)
+    old_tail = wh.read(TAIL) if wh.exists(TAIL) else None
     counts = _write_metric_and_derived(wh, metric_rows, derived_rows)
-    wh.replace(TAIL, build_tail(wh.read(SNAPSHOTS), th))
+    if old_tail is None:
+        wh.replace(TAIL, build_tail(wh.read(SNAPSHOTS), th))
+    else:
+        # Each title's newest rows lie in its old tail rows before the date
+        # or in the partitions from the date on (a partition-pruned read).
+        recent = wh.read(SNAPSHOTS).where(F.col("snapshot_date") >= d).select(*BASE_COLUMNS)
+        wh.replace(TAIL, build_tail(old_tail.where(F.col("snapshot_date") < d).unionByName(recent), th))
     return counts
 
 

@@ -102,6 +102,8 @@ def test_late_snapshot_refresh_equals_full_recompute(spark):
     got_m = w.read(jobs.METRICS).select(*schemas.column_names(schemas.METRICS))
     assert same(got_s, want_s)
     assert same(got_m, want_m)
+    want_tail = jobs.build_tail(base_snapshots(spark, full))
+    assert same(w.read(jobs.TAIL).select(*want_tail.columns), want_tail)
 
 
 @pytest.mark.parametrize("combined", [False, True])
