@@ -60,7 +60,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster run needs a shared folder for "
             "checkpoints and intermediate tables"
