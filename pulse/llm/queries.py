@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulse.llm.frames import table
 from pulse.llm.jaccard_join import jaccard_components
+from pulse.llm.substring_dedup import joined_words, remove_repeats
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(joined_words(F.col("text")), 256).alias("kept_sha256"))
+
+
 def queries():
     """Every query of this subpackage by name."""
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
