@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 
 from pulse.llm.frames import table
 from pulse.llm.jaccard_join import jaccard_components
+from pulse.llm.packing import Packing, pack_documents
 from pulse.llm.substring_dedup import joined_words, remove_repeats
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -19,6 +26,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(joined_words(F.col("text")), 256).alias("kept_sha256"))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), Packing(tokenizer_path()))
+
+
 def queries():
     """Every query of this subpackage by name."""
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
