@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulse.llm.frames import table
 from pulse.llm.jaccard_join import jaccard_components
+from pulse.llm.mixing import mix
 from pulse.llm.packing import Packing, pack_documents
 from pulse.llm.substring_dedup import joined_words, remove_repeats
 
@@ -21,6 +22,10 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(joined_words(F.col("text")), 256).alias("kept_sha256"))
