@@ -9,6 +9,7 @@ from pulse.llm.frames import table
 from pulse.llm.jaccard_join import jaccard_components
 from pulse.llm.mixing import mix
 from pulse.llm.packing import Packing, pack_documents
+from pulse.llm.quality_rules import judge
 from pulse.llm.substring_dedup import joined_words, remove_repeats
 
 
@@ -22,6 +23,11 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = judge(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return out.drop("lang", "text")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
