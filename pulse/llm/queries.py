@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from pulse.llm.frames import table
 from pulse.llm.jaccard_join import jaccard_components
+from pulse.llm.language_id import fit as fit_languages
+from pulse.llm.language_id import identify
 from pulse.llm.mixing import mix
 from pulse.llm.packing import Packing, pack_documents
 from pulse.llm.quality_rules import judge
@@ -19,6 +21,19 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def remainder(doc_id: str, n: int):
+    """crc32 of doc_id as text, modulo n."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(n))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    fitted = fit_languages(docs.where(~held_out).select("lang", "text"))
+    found = identify(docs.select("doc_id", "text"), fitted)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
