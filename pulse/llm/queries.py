@@ -11,6 +11,8 @@ from pulse.llm.language_id import fit as fit_languages
 from pulse.llm.language_id import identify
 from pulse.llm.mixing import mix
 from pulse.llm.packing import Packing, pack_documents
+from pulse.llm.quality_knn import classify, sample
+from pulse.llm.quality_knn import fit as fit_quality
 from pulse.llm.quality_rules import judge
 from pulse.llm.substring_dedup import joined_words, remove_repeats
 
@@ -47,6 +49,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    labels = table(spark, sf_dir, "labels").where(~held_out).select("doc_id", F.col("quality").alias("label"))
+    found = classify(docs, fit_quality(sample(docs, labels)))
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(joined_words(F.col("text")), 256).alias("kept_sha256"))
