@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm.frames import table
+from pulse.llm.block_ann import nearest, usable
+from pulse.llm.frames import stored, table
 from pulse.llm.jaccard_join import jaccard_components
 from pulse.llm.language_id import fit as fit_languages
 from pulse.llm.language_id import identify
@@ -15,6 +16,7 @@ from pulse.llm.quality_knn import classify, sample
 from pulse.llm.quality_knn import fit as fit_quality
 from pulse.llm.quality_rules import judge
 from pulse.llm.substring_dedup import joined_words, remove_repeats
+from pulse.llm.url_filter import judge_urls
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -36,6 +38,20 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+#: The rules (host, path, verdict) that op2 judges by.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule_host string, rule_path string, rule_verdict string")
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -49,6 +65,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op6_block_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = stored(usable(table(spark, sf_dir, "embeddings")), "ann-vectors")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
