@@ -10,6 +10,7 @@ from pulse.llm.frames import stored, table
 from pulse.llm.jaccard_join import jaccard_components
 from pulse.llm.language_id import fit as fit_languages
 from pulse.llm.language_id import identify
+from pulse.llm.license_scan import scan
 from pulse.llm.mixing import mix
 from pulse.llm.packing import Packing, pack_documents
 from pulse.llm.quality_knn import classify, sample
@@ -70,6 +71,10 @@ def op6_block_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
