@@ -54,7 +54,15 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
         out = joined.where("dst > src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
     else:
         out = joined.select(F.explode(F.array(F.struct("src", F.col("low").alias("dst")), F.struct(F.col("dst").alias("src"), F.col("low").alias("dst")))).alias("e")).select("e.*")
-    return out.where("src <> dst").distinct()
+    out = out.where("src <> dst")
+    return out if larger else out.distinct()
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: a node has one smaller neighbour or is one, not both."""
+    ends = F.explode(F.array(F.struct(F.col("src").alias("node"), F.lit(1).alias("up")), F.struct(F.col("dst").alias("node"), F.lit(0).alias("up"))))
+    nodes = edges.select(ends.alias("e")).groupBy("e.node").agg(F.sum("e.up").alias("up"), F.min("e.up").alias("root"))
+    return nodes.where("up > 1 OR (up = 1 AND root = 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -64,13 +72,10 @@ def components(edges: DataFrame) -> DataFrame:
     """
     one_way = edges.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
     now = stored(one_way.mapInArrow(_contract, "src bigint, dst bigint").distinct(), "components")
-    mark = None
     for _ in range(MAX_ROUNDS):
-        now = stored(_stars(_stars(now, True), False), "components")
-        seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("src", "dst").cast("decimal(20,0)")).alias("h")).first()
-        if seen == mark:
+        if _settled(now):
             break
-        mark = seen
+        now = stored(_stars(_stars(now, True), False), "components")
     else:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("dst").alias("node"), F.col("dst").alias("component")).distinct()

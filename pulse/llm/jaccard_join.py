@@ -8,11 +8,13 @@ product is never formed whole:
 1. ``_classes``: documents with the same set are one row of A (a *node*).
    Shingles that stand in many rows of a task's part are counted and summed;
    the most frequent of them (a bounded list) come last in the column order.
-2. ``_column_blocks``: a pair over the bound must share one of the first
-   n - ceil(0.75 n) + 1 columns of either row in any common column order
-   (size-derived bound). Only these entries are kept, blocked by column; in
-   a block, entries of a column with one row vanish and the others give
-   chains of rows of compatible size. Frequent columns are salted by row.
+2. ``_column_blocks``: in any common column order, a row of n shingles that
+   links with another shares at least l of its first n - ceil(0.75 n) + l
+   columns with it (size-derived bound; l is ``slack`` of n). Only these
+   entries are kept, blocked by column; entries of a column without another
+   row of compatible size vanish (``_shared``), rows with fewer than l entries
+   left are discarded (``_strong``), and the rest of a column gives chains of
+   rows of compatible size (``_chains``). Frequent columns are salted by row.
 3. The chains' connected components hold all links. Components become row
    blocks of bounded size, each with its rows' whole sets, and one task
    multiplies a row block with itself, accumulating overlap counts of rows
@@ -43,7 +45,7 @@ from pulse.llm.frames import BLOCK_DDL, BLOCK_SCHEMA, grouped_blocks, n_parts, p
 from pulse.llm.text import U64, Block, blocks, find_words, gram_hashes, mix, sequence_hash
 
 SUB = 4  # blocks per partition: a task holds one at a time
-FLUSH = 3_000_000  # shingles gathered in a task before they are combined
+FLUSH = 1_500_000  # shingles gathered in a task before they are combined
 
 
 @dataclass(frozen=True)
@@ -54,8 +56,10 @@ class JaccardJoin:
     frequent_local: int = 4
     #: Length of the list of frequent shingles that every task gets (16 bytes each).
     frequent_most: int = 1 << 17
+    #: Share of a row's columns kept beyond those that a single common column needs.
+    slack: float = 0.1
     #: Rows and shingles of a row block.
-    block_rows: int = 2048
+    block_rows: int = 4096
     block_shingles: int = 4_000_000
     #: Bits of the row filter at most (16 MB).
     filter_bits: int = 1 << 27
@@ -84,12 +88,12 @@ def node_of(s: np.ndarray) -> int:
 
 # -- 1. rows of the matrix ---------------------------------------------------
 
-_CLASS_DDL = "doc_id bigint, node bigint, n_shingles bigint, frequent bigint, seen bigint"
+_CLASS_DDL = "doc_id bigint, mark bigint, node bigint, n_shingles bigint, frequent bigint, seen bigint"
 _CLASS = pa.schema([(x.split()[0], pa.int64()) for x in _CLASS_DDL.split(", ")])
 
 
 def _classes(docs: DataFrame, p: JaccardJoin) -> DataFrame:
-    """Rows (doc_id, node, n_shingles) for documents and (frequent, seen) for shingles."""
+    """Rows (doc_id, mark, node, n_shingles) for documents and (frequent, seen) for shingles."""
     k, least = p.words, p.frequent_local
 
     def frequent(sets):
@@ -99,7 +103,7 @@ def _classes(docs: DataFrame, p: JaccardJoin) -> DataFrame:
         hit = seen >= least
         n = int(hit.sum())
         none = pa.nulls(n, pa.int64())
-        return pa.record_batch([none, none, none, pa.array(s[start[hit]].view(np.int64)), pa.array(seen[hit])], schema=_CLASS)
+        return pa.record_batch([none, none, none, none, pa.array(s[start[hit]].view(np.int64)), pa.array(seen[hit])], schema=_CLASS)
 
     def run(batches):
         held, known, size = [], set(), 0
@@ -107,7 +111,7 @@ def _classes(docs: DataFrame, p: JaccardJoin) -> DataFrame:
             sets = shingle_sets(block, k)
             nodes = [node_of(s) if len(s) else None for s in sets]
             none = pa.nulls(len(sets), pa.int64())
-            yield pa.record_batch([block.rows.column(0), pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), none, none], schema=_CLASS)
+            yield pa.record_batch([block.rows.column(0), block.rows.column(1), pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), none, none], schema=_CLASS)
             for node, s in zip(nodes, sets):
                 if node is not None and node not in known:
                     known.add(node)
@@ -119,7 +123,7 @@ def _classes(docs: DataFrame, p: JaccardJoin) -> DataFrame:
         if held:
             yield frequent(held)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, _CLASS_DDL)
+    return docs.mapInArrow(run, _CLASS_DDL)
 
 
 # -- 2. column blocks --------------------------------------------------------
@@ -127,10 +131,20 @@ def _classes(docs: DataFrame, p: JaccardJoin) -> DataFrame:
 _ENTRY = [np.uint64, np.int64, np.int32]  # column, row, row's size
 
 
-def _prefix(s: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
-    """Places in ``s`` of the entries that a pair over the bound can't avoid: rare columns first."""
-    n = len(s)
-    keep = n + 1 - -(-percent * n // 100)
+def _bounds(n, p: JaccardJoin):
+    """(entries kept, entries that a linked row shares at least) of rows of n shingles.
+
+    A link needs an overlap of at least ``percent`` of the larger set; at most
+    n - kept of it lie beyond the kept entries of the row with the lower last
+    column. One is taken off for rounding between rows of different sizes.
+    """
+    need = -(-p.percent * n // 100)
+    kept = np.minimum(n, n - need + (n * p.slack).astype(np.int64) + 1)
+    return kept, np.maximum(1, kept - n + need - 1)
+
+
+def _prefix(s: np.ndarray, rank: np.ndarray, keep: int) -> np.ndarray:
+    """Places in ``s`` of its first ``keep`` entries in the column order: rare columns first."""
     if not rank.any():
         return np.arange(keep)
     rare = np.flatnonzero(rank == 0)
@@ -142,7 +156,7 @@ def _prefix(s: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
 
 def _column_blocks(docs: DataFrame, p: JaccardJoin, frequent, n_blocks: int) -> DataFrame:
     """Kept entries by column block; frequent columns in ``n_blocks`` more blocks, by row."""
-    k, percent = p.words, p.percent
+    k = p.words
 
     def emit(columns, rows, sizes, often):
         c, r, n, o = (np.concatenate(x) for x in (columns, rows, sizes, often))
@@ -158,18 +172,19 @@ def _column_blocks(docs: DataFrame, p: JaccardJoin, frequent, n_blocks: int) ->
             if not sets:
                 continue
             all_ = np.concatenate(sets)
+            kept = _bounds(np.array([len(s) for s in sets]), p)[0]
             rank = np.zeros(len(all_), dtype=np.int32)
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, all_), len(keys) - 1)
                 rank = np.where(keys[at] == all_, ranks[at], 0).astype(np.int32)
             at = 0
-            for s in sets:
+            for s, most in zip(sets, kept.tolist()):
                 own = rank[at : at + len(s)]
                 at += len(s)
                 if (node := node_of(s)) in known:
                     continue
                 known.add(node)
-                keep = _prefix(s, own, percent)
+                keep = _prefix(s, own, most)
                 for part, x in zip(parts, (s[keep], np.full(len(keep), node, np.int64), np.full(len(keep), len(s), np.int32), own[keep] > 0)):
                     part.append(x)
                 size += len(keep)
@@ -182,6 +197,58 @@ def _column_blocks(docs: DataFrame, p: JaccardJoin, frequent, n_blocks: int) ->
     return docs.select("text").mapInArrow(run, BLOCK_DDL)
 
 
+def _in_order(c, r, n):
+    order = np.lexsort((r, n, c))
+    return c[order], r[order], n[order].astype(np.int64)
+
+
+def _near(c, r, n, percent):
+    """True where an entry and the next are of one column, two rows and compatible sizes."""
+    return (c[1:] == c[:-1]) & (r[1:] != r[:-1]) & (100 * n[:-1] >= percent * n[1:])
+
+
+def _shared(packed: DataFrame, p: JaccardJoin, n_blocks: int) -> DataFrame:
+    """Entries whose column has another row of compatible size, blocked by row. Entries of
+    frequent columns, whose rows are spread over blocks, are all kept; a negative size marks
+    them from here on."""
+
+    def run(batches):
+        for number, (c, r, n) in grouped_blocks(batches, _ENTRY):
+            if number < n_blocks:
+                c, r, n = _in_order(c, r, n)
+                near = _near(c, r, n, p.percent)
+                keep = np.append(near, False) | np.insert(near, 0, False)
+                c, r, n = c[keep], r[keep], n[keep].astype(np.int32)
+            else:
+                n = -n
+            yield from pack_blocks((mix(r.view(U64)) % U64(n_blocks)).astype(np.int32), [c, r, n], BLOCK_SCHEMA)
+
+    return to_blocks(packed, SUB).mapInArrow(run, BLOCK_DDL)
+
+
+def _strong(packed: DataFrame, p: JaccardJoin, n_blocks: int) -> DataFrame:
+    """Entries of rows that share as many columns as a link needs, blocked by column again."""
+
+    def run(batches):
+        for _, (c, r, n) in grouped_blocks(batches, _ENTRY):
+            order = np.lexsort((c, r))
+            c, r, n = c[order], r[order], n[order]
+            once = np.ones(len(c), dtype=bool)  # a row may come from several tasks
+            once[1:] = (c[1:] != c[:-1]) | (r[1:] != r[:-1])
+            c, r, n = c[once], r[once], n[once]
+            new = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+            count = np.diff(np.append(new, len(r)))
+            enough = count >= _bounds(np.abs(n[new]).astype(np.int64), p)[1]
+            keep = np.repeat(enough, count)
+            c, r, n = c[keep], r[keep], n[keep]
+            often = n < 0
+            block = (mix(c) % U64(n_blocks)).astype(np.int32)
+            block[often] = n_blocks + (mix(r[often].view(U64)) % U64(n_blocks)).astype(np.int32)
+            yield from pack_blocks(block, [c, r, np.abs(n)], BLOCK_SCHEMA)
+
+    return to_blocks(packed, SUB).mapInArrow(run, BLOCK_DDL)
+
+
 _CHAIN_DDL = "src bigint, dst bigint, col bigint, bucket int"
 _CHAIN = pa.schema([("src", pa.int64()), ("dst", pa.int64()), ("col", pa.int64()), ("bucket", pa.int32())])
 
@@ -191,13 +258,11 @@ def _chains(packed: DataFrame, p: JaccardJoin, n_blocks: int) -> DataFrame:
     column's rows by size, neighbours linked. For frequent columns, which are spread over
     blocks, also the least row of each (column, size bucket), to be linked across blocks."""
     ratio = 100 / p.percent
-    percent = p.percent
 
     def run(batches):
         for number, (c, r, n) in grouped_blocks(batches, _ENTRY):
-            order = np.lexsort((r, n, c))
-            c, r, n = c[order], r[order], n[order].astype(np.int64)
-            near = (c[1:] == c[:-1]) & (r[1:] != r[:-1]) & (100 * n[:-1] >= percent * n[1:])
+            c, r, n = _in_order(c, r, n)
+            near = _near(c, r, n, p.percent)
             edges = np.unique(np.stack([r[1:][near], r[:-1][near]], axis=1), axis=0) if near.any() else np.zeros((0, 2), np.int64)
             none = pa.nulls(len(edges), pa.int64())
             yield pa.record_batch([pa.array(edges[:, 0]), pa.array(edges[:, 1]), none, none.cast(pa.int32())], schema=_CHAIN)
@@ -230,17 +295,13 @@ def _candidate_edges(chains: DataFrame) -> DataFrame:
 
 # -- 3. row blocks -----------------------------------------------------------
 
-_SET_DDL = "doc_id bigint, node bigint, data binary"
-_SET = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("data", pa.binary())])
-
-
 def _row_filter(rows: DataFrame, most: int) -> np.ndarray:
-    """A bitmap of (node, doc_id) pairs, of 16 bits per pair up to ``most`` bits."""
+    """A bitmap of the rows' text marks, of 16 bits per row up to ``most`` bits."""
     n = rows.count()
     bits = 1 << 16
     while bits < min(16 * n, most):
         bits *= 2
-    place = F.col("node").bitwiseXOR(F.coalesce("doc_id", F.lit(0))).bitwiseAND(F.lit(bits - 1)) + 1
+    place = F.col("mark").bitwiseAND(F.lit(bits - 1)) + 1
     parts = rows.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m"))
     out = np.zeros(bits // 8, dtype=np.uint8)
     for b, m in parts.collect():  # at most ``most`` / 8 bytes
@@ -248,26 +309,20 @@ def _row_filter(rows: DataFrame, most: int) -> np.ndarray:
     return out
 
 
-def _whole_sets(docs: DataFrame, p: JaccardJoin, bitmap) -> DataFrame:
-    """(doc_id, node, whole set) of the documents that the row filter lets through."""
-    k = p.words
+def _texts_of(docs: DataFrame, rows: DataFrame, p: JaccardJoin) -> DataFrame:
+    """Rows (doc_id, mark, ...) with the texts of their documents. The filter keeps most other
+    texts out of the shuffle; the join decides."""
+    bitmap = docs.sparkSession.sparkContext.broadcast(_row_filter(rows, p.filter_bits))
 
     def run(batches):
         bits = bitmap.value
-        for block in blocks(batches, "text"):
-            ids = block.rows.column(0).to_pylist()
-            sets = shingle_sets(block, k)
-            got = []
-            for doc, s in zip(ids, sets):
-                if len(s):
-                    node = node_of(s)
-                    at = (node ^ (doc or 0)) & (len(bits) * 8 - 1)
-                    if bits[at >> 3] >> (at & 7) & 1:
-                        got.append((doc, node, s.tobytes()))
-            if got:
-                yield pa.record_batch([pa.array(x, f.type) for x, f in zip(zip(*got), _SET)], schema=_SET)
+        for batch in batches:
+            at = batch.column(1).to_numpy() & (len(bits) * 8 - 1)
+            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, _SET_DDL)
+    some = docs.mapInArrow(run, docs.schema)
+    r = rows.withColumnsRenamed({"doc_id": "row_doc_id", "mark": "row_mark"})
+    return some.join(r, (F.col("mark") == F.col("row_mark")) & F.col("doc_id").eqNullSafe(F.col("row_doc_id")))
 
 
 def link_rows(nodes: np.ndarray, label: np.ndarray, check: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -321,70 +376,60 @@ def link_rows(nodes: np.ndarray, label: np.ndarray, check: np.ndarray, sets: lis
 _LINK = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
 
-def _links(row_blocks: DataFrame, percent: int) -> DataFrame:
-    """Links of rows (key, node, label, checked, data), each key's rows being a row block."""
-    cols = ["key", "node", "label", "checked", "data"]
-    rows = row_blocks.select(*cols).repartition(n_parts(row_blocks.sparkSession), "key").sortWithinPartitions("key")
+def _links(docs: DataFrame, rows: DataFrame, p: JaccardJoin) -> DataFrame:
+    """Links among rows (key, node, label, checked, doc_id, mark), each key's rows being a row block."""
+    k, percent = p.words, p.percent
+    cols = ["key", "node", "label", "checked", "text"]
+    blocked = _texts_of(docs, rows, p).select(*cols).repartition(n_parts(docs.sparkSession), "key").sortWithinPartitions("key")
 
     def solve(held):
-        seen = {}
-        for node, label, checked, data in held:
-            old = seen.get(node)
-            seen[node] = (label, checked or (old is not None and old[1]), data)
-        nodes = np.array(list(seen), dtype=np.int64)
-        sets = [np.frombuffer(x[2], dtype=U64) for x in seen.values()]
-        out = link_rows(nodes, np.array([x[0] for x in seen.values()], dtype=np.int64), np.array([x[1] for x in seen.values()]), sets, percent)
+        nodes = np.array(list(held), dtype=np.int64)
+        label, check, sets = zip(*held.values())
+        out = link_rows(nodes, np.array(label, dtype=np.int64), np.array(check), list(sets), percent)
         return pa.record_batch([pa.array(x) for x in out], schema=_LINK)
 
     def run(batches):
-        now, held = None, []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[0] != now:
+        now, held = None, {}
+        for block in blocks(batches, "text"):
+            keys, nodes, labels, checks = (block.rows.column(i).to_pylist() for i in range(4))
+            for key, node, label, check, s in zip(keys, nodes, labels, checks, shingle_sets(block, k)):
+                if key != now:
                     if len(held) > 1:
                         yield solve(held)
-                    now, held = row[0], []
-                held.append(row[1:])
+                    now, held = key, {}
+                held[node] = (label, check or (node in held and held[node][1]), s)
         if len(held) > 1:
             yield solve(held)
 
-    return rows.mapInArrow(run, "src bigint, dst bigint")
+    return stored(blocked.mapInArrow(run, "src bigint, dst bigint"), "jaccard-links")
 
 
-def _row_links(sets: DataFrame, p: JaccardJoin) -> DataFrame:
-    """All links that matter among rows (component, node, n_shingles, data) of candidate components."""
-    size = sets.groupBy("component").agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("total"))
+def _row_links(docs: DataFrame, rows: DataFrame, p: JaccardJoin) -> DataFrame:
+    """All links that matter among rows (component, node, n_shingles, doc_id, mark)."""
+    size = rows.groupBy("component").agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("total")).where("rows > 1")
     parts = F.greatest(F.ceil(F.col("rows") / p.block_rows), F.ceil(F.col("total") / p.block_shingles)).cast("int")
-    sets = sets.join(size.where("rows > 1").withColumn("parts", parts), "component")
-    place = F.xxhash64("node")
-    small = sets.where("parts = 1").select(F.xxhash64("component").alias("key"), "node", F.col("node").alias("label"), F.lit(True).alias("checked"), "data")
-    large = sets.where("parts > 1").withColumn("part", F.pmod(place, "parts").cast("int"))
-    n_large = size.where(parts > 1).count()
-    if not n_large:
-        return stored(_links(small, p.percent), "jaccard-links")
+    rows = stored(rows.join(size.withColumn("parts", parts), "component"), "jaccard-rows")
+    own = [F.col("node").alias("label"), F.lit(True).alias("checked"), "doc_id", "mark"]
+    small = rows.where("parts = 1").select(F.xxhash64("component").alias("key"), "node", *own)
+    large = rows.where("parts > 1").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     # About 16 pivot rows of a large component stand in all its blocks.
     pivot = F.pmod(F.xxhash64("node", F.lit(7)), F.greatest(F.lit(1), (F.col("rows") / 16).cast("bigint"))) == 0
-    spread = large.withColumn("part", F.explode(F.when(pivot, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))))
-    diagonal = spread.select(F.xxhash64("component", "part").alias("key"), "node", F.col("node").alias("label"), F.lit(True).alias("checked"), "data")
-    links = stored(_links(small.unionByName(diagonal), p.percent), "jaccard-links")
-    label = components(links).withColumnRenamed("component", "label")
-    large = large.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    everywhere = F.sequence(F.lit(0), F.col("parts") - 1)
+    spread = large.withColumn("part", F.explode(F.when(pivot, everywhere).otherwise(F.array("part"))))
+    links = _links(docs, small.unionByName(spread.select(F.xxhash64("component", "part").alias("key"), "node", *own)), p)
+    if large.isEmpty():
+        return links
+    large = large.join(components(links).withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     most = large.groupBy("component", "label").count().groupBy("component").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
-    large = large.join(most, "component")
+    large = stored(large.join(most, "component"), "jaccard-rows")
     outside = large.where("label <> main")
-    out_parts = outside.groupBy("component").agg(F.ceil(F.greatest(F.count("*") / p.block_rows, F.sum("n_shingles") / p.block_shingles)).cast("int").alias("out_parts"))
-    rows = (
-        outside.join(out_parts, "component")
-        .withColumn("out_part", F.pmod(F.xxhash64("node", F.lit(11)), "out_parts").cast("int"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .withColumn("checked", F.lit(True))
-    )
-    others = (
-        large.join(out_parts, "component").withColumn("out_part", F.explode(F.sequence(F.lit(0), F.col("out_parts") - 1))).withColumn("checked", F.lit(False))
-    )
-    keep = [F.xxhash64("component", "part", "out_part").alias("key"), "node", "label", "checked", "data"]
-    more = stored(_links(rows.select(*keep).unionByName(others.select(*keep)), p.percent), "jaccard-links")
-    return links.unionByName(more)
+    out_parts = F.ceil(F.greatest(F.count("*") / p.block_rows, F.sum("n_shingles") / p.block_shingles)).cast("int")
+    out_parts = outside.groupBy("component").agg(out_parts.alias("out_parts"))
+    outer = outside.join(out_parts, "component").withColumn("out_part", F.pmod(F.xxhash64("node", F.lit(11)), "out_parts").cast("int")).withColumn("part", F.explode(everywhere))
+    inner = large.join(out_parts, "component").withColumn("out_part", F.explode(F.sequence(F.lit(0), F.col("out_parts") - 1)))
+    keep = [F.xxhash64("component", "part", "out_part").alias("key"), "node", "label"]
+    both = outer.select(*keep, F.lit(True).alias("checked"), "doc_id", "mark").unionByName(inner.select(*keep, F.lit(False).alias("checked"), "doc_id", "mark"))
+    return links.unionByName(_links(docs, both, p))
 
 
 # -- the operator ------------------------------------------------------------
@@ -401,8 +446,9 @@ def jaccard_components(docs: DataFrame, p: JaccardJoin = JaccardJoin()) -> DataF
     """
     spark = docs.sparkSession
     prepare(spark)
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
     found = stored(_classes(docs, p), "jaccard-classes")
-    members = found.where("frequent IS NULL").select("doc_id", "node", "n_shingles")
+    members = found.where("frequent IS NULL").select("doc_id", "mark", "node", "n_shingles")
     often = (
         found.where("frequent IS NOT NULL").groupBy("frequent").agg(F.sum("seen").alias("seen"))
         .orderBy(F.desc("seen"), "frequent").limit(p.frequent_most).collect()
@@ -412,15 +458,12 @@ def jaccard_components(docs: DataFrame, p: JaccardJoin = JaccardJoin()) -> DataF
     ranks = np.arange(len(keys), 0, -1, dtype=np.int32)  # the most frequent comes last
     frequent = spark.sparkContext.broadcast((keys[by], ranks[by]))
     n_blocks = SUB * max(1, n_parts(spark) // 2)
-    chains = stored(_chains(_column_blocks(docs, p, frequent, n_blocks), p, n_blocks), "jaccard-chains")
+    entries = _shared(_column_blocks(docs, p, frequent, n_blocks), p, n_blocks)
+    chains = stored(_chains(_strong(entries, p, n_blocks), p, n_blocks), "jaccard-chains")
     candidate = components(_candidate_edges(chains))
-    rep = members.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"))
-    rows = stored(rep.join(candidate, "node"), "jaccard-rows")
-    bitmap = spark.sparkContext.broadcast(_row_filter(rows, p.filter_bits))
-    whole = _whole_sets(docs, p, bitmap).dropDuplicates(["node", "doc_id"])
-    sets = rows.alias("r").join(whole.alias("w"), (F.col("r.node") == F.col("w.node")) & F.col("r.doc_id").eqNullSafe(F.col("w.doc_id"))).select("r.component", "r.node", "r.n_shingles", "w.data")
-    links = _row_links(stored(sets, "jaccard-sets"), p)
-    linked = components(links)
+    rep = members.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("r"), F.max("n_shingles").alias("n_shingles"))
+    rep = rep.select("node", "r.doc_id", "r.mark", "n_shingles")
+    linked = components(_row_links(docs, rep.join(candidate, "node"), p))
     least = linked.join(rep, "node").groupBy("component").agg(F.min("doc_id").alias("low"))
     lowest = linked.join(least, "component").select("node", "low")
     lowest = rep.select("node", F.col("doc_id").alias("own")).join(lowest, "node", "left").select("node", F.coalesce("low", "own").alias("component_id"))
