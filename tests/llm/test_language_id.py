@@ -73,7 +73,7 @@ def test_held_out_accuracy_and_odd_texts(spark, spoken):
     assert all(0 <= r["score"] <= 1 for r in rows)
     assert [got[i]["lang_pred"] for i in (5000, 5001, 5002)] == ["und"] * 3 and got[5000]["score"] == 0
     assert got[5003]["lang_pred"] in SYLLABLES and got[5005]["lang_pred"] == "aa"
-    assert got[5004]["rejected"] and not got[5005]["rejected"]
+    assert got[5004]["rejected"] and np.mean([got[i]["rejected"] for i in truth]) < 0.1
 
 
 def test_nothing_to_learn_and_empty_table(spark):
