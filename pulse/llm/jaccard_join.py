@@ -207,12 +207,33 @@ def _near(c, r, n, percent):
     return (c[1:] == c[:-1]) & (r[1:] != r[:-1]) & (100 * n[:-1] >= percent * n[1:])
 
 
+class _Gather:
+    """Entries on their way to new blocks: packed when many are there, so that a task
+    sends few rows however many blocks it has read."""
+
+    def __init__(self) -> None:
+        self.held, self.size = [], 0
+
+    def add(self, block, *fields):
+        self.held.append((block, *fields))
+        self.size += len(block)
+        if self.size >= FLUSH:
+            yield from self.done()
+
+    def done(self):
+        if self.size:
+            block, *fields = (np.concatenate(x) for x in zip(*self.held))
+            yield from pack_blocks(block, fields, BLOCK_SCHEMA)
+        self.held, self.size = [], 0
+
+
 def _shared(packed: DataFrame, p: JaccardJoin, n_blocks: int) -> DataFrame:
     """Entries whose column has another row of compatible size, blocked by row. Entries of
     frequent columns, whose rows are spread over blocks, are all kept; a negative size marks
     them from here on."""
 
     def run(batches):
+        out = _Gather()
         for number, (c, r, n) in grouped_blocks(batches, _ENTRY):
             if number < n_blocks:
                 c, r, n = _in_order(c, r, n)
@@ -221,7 +242,8 @@ def _shared(packed: DataFrame, p: JaccardJoin, n_blocks: int) -> DataFrame:
                 c, r, n = c[keep], r[keep], n[keep].astype(np.int32)
             else:
                 n = -n
-            yield from pack_blocks((mix(r.view(U64)) % U64(n_blocks)).astype(np.int32), [c, r, n], BLOCK_SCHEMA)
+            yield from out.add((mix(r.view(U64)) % U64(n_blocks)).astype(np.int32), c, r, n)
+        yield from out.done()
 
     return to_blocks(packed, SUB).mapInArrow(run, BLOCK_DDL)
 
@@ -230,6 +252,7 @@ def _strong(packed: DataFrame, p: JaccardJoin, n_blocks: int) -> DataFrame:
     """Entries of rows that share as many columns as a link needs, blocked by column again."""
 
     def run(batches):
+        out = _Gather()
         for _, (c, r, n) in grouped_blocks(batches, _ENTRY):
             order = np.lexsort((c, r))
             c, r, n = c[order], r[order], n[order]
@@ -244,7 +267,8 @@ def _strong(packed: DataFrame, p: JaccardJoin, n_blocks: int) -> DataFrame:
             often = n < 0
             block = (mix(c) % U64(n_blocks)).astype(np.int32)
             block[often] = n_blocks + (mix(r[often].view(U64)) % U64(n_blocks)).astype(np.int32)
-            yield from pack_blocks(block, [c, r, np.abs(n)], BLOCK_SCHEMA)
+            yield from out.add(block, c, r, np.abs(n))
+        yield from out.done()
 
     return to_blocks(packed, SUB).mapInArrow(run, BLOCK_DDL)
 
