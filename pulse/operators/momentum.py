@@ -234,7 +234,8 @@ def release_cohort_trend(
     agg = cohorts.groupBy("release_cohort").agg(
         F.count(F.lit(1)).alias("num_movies"),
         F.avg("weekly_pct_change").alias("avg_weekly_pct_change"),
-        F.avg("current_popularity").alias("avg_popularity"),
+        # The sum is rounded first: its last digits depend on the order of the rows.
+        (F.round(F.sum("current_popularity"), 8) / F.count("current_popularity")).alias("avg_popularity"),
         F.count_if(F.col("weekly_pct_change") > th.cohort_surging_pct).cast("long").alias(
             "surging_count"
         ),

@@ -10,58 +10,33 @@ partition. The three compositions here keep the work distributed:
   ranks equal the global ones.
 * ``value_positions`` -- for each distinct value of a group: how many rows are
   strictly smaller, and how many equal it. Ties are collapsed first (a
-  clamped score may put a third of all rows on one value), the value range is
-  cut at approximate quantiles (literal split points, so a retried task
-  recomputes the same buckets), per-bucket counts are prefix-summed on a tiny
+  clamped score may put a third of all rows on one value), the group's value
+  range is cut at split points, per-bucket counts are prefix-summed on a small
   table, and only the distinct values inside one bucket are sorted together.
+  Split points are every eighth value of a sample chosen by the values' hash,
+  so they follow from the data alone: a task that runs again gets the same.
 * ``percent_rank_distributed`` / ``percentile_cont_distributed`` -- built on
-  ``value_positions``; exact, not approximate.
+  ``value_positions``; exact, one plan whatever the size, and lazy: building
+  a query runs no job. Groups are compared null-safe (NULL is a group).
+* ``percent_rank_of`` -- the percent rank of a top-k result's few rows in one
+  pass over the population.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-import decimal
-import functools
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulse.session import checkpointed
-
-DEFAULT_BUCKETS = 256
-# Rank error of the split sketch is 1/accuracy of the group size; ten times
-# the bucket count keeps every bucket within ~10% of its nominal size.
-ACCURACY_PER_BUCKET = 10
-# Split points are gathered as literals when a plan has at most this many
-# groups (each group contributes fewer than ``buckets`` doubles).
-MAX_LITERAL_GROUPS = 64
-# A group this small (non-null values) may be ranked inside one task with
-# Spark's own exact window / aggregate; larger groups take the distributed
-# path. Override with the session setting ``pulse.ranking.singleTaskMaxRows``.
-SINGLE_TASK_MAX_ROWS = 1_000_000
-
-
-def _largest_group(df: DataFrame, value_col: str, groups: list[str], limit: int) -> int | None:
-    """Row count of the largest group, or None when there are too many groups to check."""
-    sizes = df.where(F.col(value_col).isNotNull()).groupBy(*groups).count()
-    rows = sizes.limit(MAX_LITERAL_GROUPS + 1).collect()
-    if len(rows) > MAX_LITERAL_GROUPS:
-        return None
-    return max((r["count"] for r in rows), default=0)
-
-
-def _single_task_ok(df: DataFrame, value_col: str, groups: list[str], limit: int | None) -> bool:
-    if limit is None:
-        limit = int(
-            df.sparkSession.conf.get("pulse.ranking.singleTaskMaxRows", str(SINGLE_TASK_MAX_ROWS))
-        )
-    if limit <= 0:
-        return False
-    largest = _largest_group(df, value_col, groups, limit)
-    return largest is not None and largest <= limit
+# Buckets per group, found in two steps of at most STEP comparisons each.
+STEP = 16
+DEFAULT_BUCKETS = STEP * STEP
+# Sampled values for each split point (evens out the buckets).
+SAMPLE_PER_BUCKET = 8
+# A value with more than this share of its group's rows is joined back from a
+# broadcast list (at most 1 / share values per group) when there is one group.
+HOT_SHARE = 1 / 1000
 
 
 def _ordered(col: str, ascending: bool) -> Column:
@@ -87,60 +62,24 @@ def top_k_ranked(
     return top.withColumn(rank_col, F.rank().over(w).cast("long"))
 
 
-def _num_buckets(df: DataFrame, buckets: int | None) -> int:
-    if buckets:
-        return buckets
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(DEFAULT_BUCKETS, 2 * parts)
-
+def _same(left: str, right: str, columns: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for c in columns:
+        cond = cond & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return cond
 
-def _sql_literal(x) -> str:
-    """A Spark SQL literal for a split point or group key."""
-    if x is None:
-        return "NULL"
-    if isinstance(x, bool):
-        return "TRUE" if x else "FALSE"
-    if isinstance(x, float):
-        if math.isnan(x):
-            return "CAST('NaN' AS DOUBLE)"
-        if math.isinf(x):
-            return f"CAST('{'-' if x < 0 else ''}Infinity' AS DOUBLE)"
-        return f"{x!r}D"
-    if isinstance(x, int):
-        return f"{x}L"
-    if isinstance(x, _dt.datetime):
-        return f"TIMESTAMP '{x.isoformat(sep=' ')}'"
-    if isinstance(x, _dt.date):
-        return f"DATE '{x.isoformat()}'"
-    if isinstance(x, str):
-        return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    if isinstance(x, decimal.Decimal):
-        return f"{x}BD"
-    raise TypeError(f"no SQL literal for {type(x).__name__}")
 
-
-def _count_below_sql(v: str, splits: list, lo: int, hi: int) -> str:
-    """Number of ``splits`` (sorted) strictly below ``v``: a binary search as nested CASE.
-
-    Plain comparisons, so it stays inside whole-stage codegen (a higher-order
-    ``filter`` lambda would be interpreted row by row). Built as SQL text so
-    the whole tree crosses to the JVM in one call.
-    """
-    if lo >= hi:
-        return str(lo)
-    mid = (lo + hi) // 2
-    return (
-        f"CASE WHEN {v} > {_sql_literal(splits[mid])} "
-        f"THEN {_count_below_sql(v, splits, mid + 1, hi)} "
-        f"ELSE {_count_below_sql(v, splits, lo, mid)} END"
-    )
+def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``on`` with NULL equal to NULL; the left side's columns and the right's others."""
+    extra = [F.col(f"r.{c}") for c in right.columns if c not in on]
+    return left.alias("l").join(right.alias("r"), _same("l", "r", on), how).select("l.*", *extra)
 
 
 def value_positions(
     df: DataFrame,
     value_col: str,
     group_cols: Sequence[str] = (),
-    buckets: int | None = None,
+    buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """Per (group, distinct non-null value): ``_n_eq``, ``_n_less``, ``_n_group``.
 
@@ -148,74 +87,37 @@ def value_positions(
     ``_n_group`` is the number of non-null rows in the group.
     """
     groups = list(group_cols)
-    nb = _num_buckets(df, buckets)
-    if not groups:
-        # One global group, carried as a constant key so every step is an
-        # equi-join / partitioned window on small tables.
-        out = value_positions(df.withColumn("_all", F.lit(0)), value_col, ["_all"], nb)
-        return out.drop("_all")
     v = F.col(value_col)
-    # Collapsed ties, read three times below (sketch, buckets, positions):
-    # materialized once in the shared checkpoint folder.
-    distinct = checkpointed(
-        df.where(v.isNotNull())
-        .groupBy(*groups, value_col)
-        .agg(F.count(F.lit(1)).alias("_n_eq"))
-    )
-    fractions = [i / nb for i in range(1, nb)]
-    sketch = distinct.groupBy(*groups).agg(
-        F.array_distinct(
-            F.percentile_approx(value_col, fractions, nb * ACCURACY_PER_BUCKET)
-        ).alias("_splits")
-    )
-    # The sketch is bounded: fewer than nb doubles per group. With few groups
-    # the split points become literals of a codegen'd binary search.
-    few = sketch.limit(MAX_LITERAL_GROUPS + 1).collect()
-    if len(few) <= MAX_LITERAL_GROUPS:
-        # One branch per group, each with its own small search tree (a single
-        # CASE over all groups would outgrow one generated method). The
-        # branches share the exchange of ``distinct``, which Spark reuses.
-        vq = f"`{value_col}`"
-        branches = []
-        for row in few:
-            match = " AND ".join(f"`{g}` <=> {_sql_literal(row[g])}" for g in groups)
-            splits = list(row["_splits"])
-            branches.append(
-                distinct.where(F.expr(match)).withColumn(
-                    "_bucket", F.expr(_count_below_sql(vq, splits, 0, len(splits)))
-                )
-            )
-        bucketed = (
-            functools.reduce(DataFrame.unionAll, branches)
-            if branches
-            else distinct.withColumn("_bucket", F.lit(0))
-        )
-    else:
-        bucketed = (
-            distinct.join(sketch, groups)
-            .withColumn("_bucket", F.size(F.filter(F.col("_splits"), lambda s: s < v)))
-            .drop("_splits")
-        )
+    if not groups:
+        # One group, as a key that follows from the value (a constant would
+        # turn the joins below into joins without a key).
+        one = df.where(v.isNotNull()).withColumn("_all", F.pmod(F.xxhash64(v), F.lit(1)))
+        return value_positions(one, value_col, ["_all"], buckets).drop("_all")
+    distinct = df.where(v.isNotNull()).groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_n_eq"))
+    sizes = distinct.groupBy(*groups).agg(F.count(F.lit(1)).alias("_values"))
+    every = F.greatest(F.lit(1), (F.col("_values") / (buckets * SAMPLE_PER_BUCKET)).cast("long"))
+    sample = _join(distinct, sizes, groups).where(F.pmod(F.xxhash64(v), every) == 0)
+    # About buckets * SAMPLE_PER_BUCKET values of a group, whatever its size.
+    splits = sample.groupBy(*groups).agg(F.sort_array(F.collect_list(value_col)).alias("_sample"))
+    width = F.greatest(F.lit(1), F.ceil(F.size("_sample") / buckets).cast("int"))
+    splits = splits.select(*groups, F.filter("_sample", lambda x, i: F.pmod(i + 1, width) == 0).alias("_splits"))
+    step = max(2, round(buckets**0.5))
+    coarse = F.filter("_splits", lambda x, i: F.pmod(i + 1, F.lit(step)) == 0)
+    splits = splits.withColumn("_coarse", coarse)
+    placed = _join(distinct, splits, groups, "left")
+    # How many split points lie below the value: whole steps first, then inside one step.
+    jump = F.size(F.filter("_coarse", lambda x: x < v)) * step
+    inside = F.size(F.filter(F.slice("_splits", F.col("_jump") + 1, F.lit(step)), lambda x: x < v))
+    bucketed = placed.withColumn("_jump", F.coalesce(jump, F.lit(0))).withColumn("_bucket", F.col("_jump") + F.greatest(F.coalesce(inside, F.lit(0)), F.lit(0)))
+    bucketed = bucketed.drop("_splits", "_coarse", "_jump")
     per_bucket = bucketed.groupBy(*groups, "_bucket").agg(F.sum("_n_eq").alias("_n_bucket"))
     gw = Window.partitionBy(*groups)
+    before = F.sum("_n_bucket").over(gw.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     prefix = per_bucket.select(
-        *groups,
-        "_bucket",
-        F.coalesce(
-            F.sum("_n_bucket").over(
-                gw.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_n_before"),
-        F.sum("_n_bucket").over(gw).alias("_n_group"),
-    )
-    # At most (#groups x nb) rows: small by construction.
-    positioned = bucketed.join(F.broadcast(prefix), groups + ["_bucket"])
-    bw = (
-        Window.partitionBy(*groups, "_bucket")
-        .orderBy(value_col)
-        .rowsBetween(Window.unboundedPreceding, -1)
+        *groups, "_bucket", F.coalesce(before, F.lit(0)).alias("_n_before"), F.sum("_n_bucket").over(gw).alias("_n_group")
     )
+    positioned = _join(bucketed, prefix, [*groups, "_bucket"])
+    bw = Window.partitionBy(*groups, "_bucket").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
     return positioned.select(
         *groups,
         value_col,
@@ -230,33 +132,29 @@ def percent_rank_distributed(
     value_col: str,
     out_col: str,
     group_cols: Sequence[str] = (),
-    buckets: int | None = None,
-    single_task_max_rows: int | None = None,
+    buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """``PERCENT_RANK() OVER (PARTITION BY groups ORDER BY value)`` for non-null values.
 
     ``(rows strictly smaller) / (n - 1)``; 0 for a one-row group; NULL values
-    get NULL (callers here filter them out beforehand). Groups under the
-    checked size limit use Spark's window in one task per group; otherwise
-    the distributed positions are used.
+    get NULL (callers here filter them out beforehand).
     """
     groups = list(group_cols)
-    v = F.col(value_col)
-    if _single_task_ok(df, value_col, groups, single_task_max_rows):
-        # NULL values sit in their own window partition, so non-null values
-        # are ranked among themselves in one pass.
-        w = Window.partitionBy(*groups, v.isNull()).orderBy(value_col)
-        return df.withColumn(
-            out_col, F.when(v.isNotNull(), F.percent_rank().over(w)).cast("double")
-        )
     pos = value_positions(df, value_col, groups, buckets)
-    pr = F.when(F.col("_n_group") <= 1, F.lit(0.0)).otherwise(
-        F.col("_n_less") / (F.col("_n_group") - 1)
-    )
-    ranks = pos.select(*groups, value_col, pr.alias(out_col))
-    # Joined back on (group, value). A hot value is one row on the ranks side;
-    # AQE's skew-join split spreads its many rows on the other side.
-    return df.join(ranks, groups + [value_col], "left")
+    share = F.when(F.col("_n_group") <= 1, F.lit(0.0)).otherwise(F.col("_n_less") / (F.col("_n_group") - 1))
+    ranks = pos.select(*groups, value_col, share.alias("_rank"), (F.col("_n_eq") > F.col("_n_group") * HOT_SHARE).alias("_hot"))
+    if groups:
+        out = _join(df, ranks.drop("_hot"), [*groups, value_col], "left")
+        return out.withColumnRenamed("_rank", out_col)
+    # Hot values come from a list of at most 1 / HOT_SHARE rows; their rows then
+    # carry a scattered key, so that the join with all values meets no hot key.
+    hot = F.broadcast(ranks.where("_hot").select(value_col, F.col("_rank").alias("_hot_rank")))
+    rows = _join(df, hot, [value_col], "left")
+    scatter = F.when(F.col("_hot_rank").isNotNull(), F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) + 1).otherwise(F.lit(0))
+    rows = rows.withColumn("_key", scatter)
+    ranks = ranks.select(value_col, F.col("_rank"), F.when(F.col("_rank") < 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")).alias("_key"))
+    out = _join(rows, ranks, [value_col, "_key"], "left")
+    return out.select(*df.columns, F.coalesce("_hot_rank", "_rank").alias(out_col))
 
 
 def percentile_cont_distributed(
@@ -265,24 +163,14 @@ def percentile_cont_distributed(
     fraction: float,
     out_col: str,
     group_cols: Sequence[str] = (),
-    buckets: int | None = None,
-    single_task_max_rows: int | None = None,
+    buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """Exact ``PERCENTILE_CONT(value, fraction)`` per group, without one-task groups.
 
     Returns one row per group that has a non-null value: the interpolation of
-    the values at positions ``floor(f*(n-1))`` and ``ceil(f*(n-1))``. Groups
-    under the checked size limit use Spark's exact ``percentile`` aggregate
-    (its final merge holds one group's values in one task); larger groups use
-    the distributed positions.
+    the values at positions ``floor(f*(n-1))`` and ``ceil(f*(n-1))``.
     """
     groups = list(group_cols)
-    if _single_task_ok(df, value_col, groups, single_task_max_rows):
-        return (
-            df.where(F.col(value_col).isNotNull())
-            .groupBy(*groups)
-            .agg(F.percentile(value_col, float(fraction)).alias(out_col))
-        )
     pos = value_positions(df, value_col, groups, buckets)
     target = F.lit(float(fraction)) * (F.col("_n_group") - 1)
     lo, hi = F.floor(target), F.ceil(target)
@@ -303,9 +191,6 @@ def percentile_cont_distributed(
     )
 
 
-MAX_PROBE_VALUES = 1000
-
-
 def percent_rank_of(
     rows: DataFrame,
     population: DataFrame,
@@ -314,29 +199,22 @@ def percent_rank_of(
 ) -> DataFrame:
     """``PERCENT_RANK`` of each of a few ``rows`` within a large ``population``.
 
-    For a top-k result (bounded by its LIMIT) only k positions are needed:
-    the distinct values of ``rows`` become literals of one aggregation over
-    the population that counts, per value, the rows strictly below it
-    (partial aggregation, a single pass, one output row).
+    ``rows`` is a top-k result, bounded by its LIMIT; all of its values must
+    occur in the population. Their distinct values form one sorted array; one
+    pass over the population counts its rows by how many of these values lie
+    below them (partial aggregation, k + 1 counts), and sums of these counts
+    are the positions.
     """
-    probes = sorted(
-        {r[0] for r in rows.select(value_col).distinct().limit(MAX_PROBE_VALUES + 1).collect()}
-        - {None}
-    )
-    if len(probes) > MAX_PROBE_VALUES:
-        raise ValueError("percent_rank_of is for bounded (top-k) inputs")
     v = F.col(value_col)
-    pop = population.where(v.isNotNull())
-    aggs = [F.count(F.lit(1)).alias("_n")] + [
-        F.count_if(v < F.lit(x)).alias(f"_lt{i}") for i, x in enumerate(probes)
-    ]
-    counts = pop.agg(*aggs).first()
-    n = counts["_n"]
-    mapping = []
-    for i, x in enumerate(probes):
-        pr = 0.0 if n <= 1 else counts[f"_lt{i}"] / (n - 1)
-        mapping += [F.lit(x), F.lit(pr)]
-    if not mapping:
-        return rows.withColumn(out_col, F.lit(None).cast("double"))
-    lookup = F.create_map(*mapping)
-    return rows.withColumn(out_col, F.element_at(lookup, v))
+    asked = rows.where(v.isNotNull()).agg(F.sort_array(F.collect_set(value_col)).alias("_asked"))
+    pop = population.where(v.isNotNull()).select(value_col)
+    # a row that equals the j-th value has j - 1 of them below it and belongs to the next value's count
+    below = F.size(F.filter("_asked", lambda x: x <= v))
+    counts = pop.withColumn("_asked", asked.scalar()).groupBy(below.alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    # At most k + 1 counts, k values and one total meet here.
+    counted = counts.agg(F.struct(F.collect_list(F.struct("_at", "_n")).alias("_counts"), F.sum("_n").alias("_total")).alias("_c"))
+    places = asked.select(F.posexplode("_asked").alias("_at", "_value")).withColumn("_c", counted.scalar()).select("_at", "_value", "_c.*")
+    less = F.aggregate(F.filter("_counts", lambda c: c["_at"] <= F.col("_at")), F.lit(0).cast("long"), lambda a, c: a + c["_n"])
+    share = F.when(F.col("_total") <= 1, F.lit(0.0)).otherwise(less / (F.col("_total") - 1))
+    found = places.select(F.col("_value").alias(value_col), share.alias(out_col))
+    return _join(rows, found, [value_col], "left")

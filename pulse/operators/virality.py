@@ -141,13 +141,23 @@ def top_viral_movies(
 
     The percentile is over every scored row of every date, but only the <= 100
     returned rows need it, so it is computed for those values only
-    (``ranking.percent_rank_of``) rather than ranking the whole population.
+    (``ranking.percent_rank_of``): one pass over the metrics, semi-joined to
+    the keys that a score needs. A title's latest scored row is found among
+    these, before titles and snapshots are joined to the rows that remain.
     """
-    scores = viral_coefficient_scores(metrics, movies, snapshots, with_percentile=False)
-    latest = latest_per_movie(scores, "calculation_date").where(
+    scored = metrics.where(F.col("viral_coefficient").isNotNull())
+    known = scored.join(movies.select("movie_id").distinct(), "movie_id", "left_semi").join(
+        snapshots.select("movie_id", F.col("snapshot_date").alias("calculation_date")),
+        ["movie_id", "calculation_date"],
+        "left_semi",
+    )
+    latest = latest_per_movie(known, "calculation_date").where(
         F.col("viral_coefficient") >= th.top_viral_min_coefficient
     )
-    ranked = top_k_ranked(latest, "viral_coefficient", th.top_view_limit, "viral_rank")
+    top = top_k_ranked(latest, "viral_coefficient", th.top_view_limit, "viral_rank")
+    ranked = viral_coefficient_scores(top, movies, snapshots, with_percentile=False).join(
+        top.select("movie_id", "viral_rank"), "movie_id"
+    )
     cols = [
         "movie_id",
         "title",
@@ -165,7 +175,7 @@ def top_viral_movies(
         F.col("popularity_wow_pct_change").alias("wow_popularity_change"),
     ]
     if with_percentile:
-        ranked = percent_rank_of(ranked, scores, "viral_coefficient", "_pr")
+        ranked = percent_rank_of(ranked, known, "viral_coefficient", "_pr")
         cols.append((F.col("_pr") * 100).alias("viral_score_percentile"))
     cols.append("viral_rank")
     return ranked.orderBy("viral_rank", "movie_id").select(*cols)

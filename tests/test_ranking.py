@@ -28,7 +28,7 @@ def skewed(spark):
 def test_percent_rank_matches_builtin(spark, skewed):
     scored = skewed.where(F.col("v").isNotNull())
     want = scored.withColumn("pr", F.percent_rank().over(Window.orderBy("v")))
-    got = percent_rank_distributed(scored, "v", "pr", buckets=16, single_task_max_rows=0)
+    got = percent_rank_distributed(scored, "v", "pr", buckets=16)
     diff = want.select("movie_id", F.round("pr", 12).alias("pr")).exceptAll(
         got.select("movie_id", F.round("pr", 12).alias("pr"))
     )
@@ -39,7 +39,7 @@ def test_percent_rank_matches_builtin(spark, skewed):
 def test_grouped_percent_rank_matches_builtin(spark, skewed):
     scored = skewed.where(F.col("v").isNotNull())
     want = scored.withColumn("pr", F.percent_rank().over(Window.partitionBy("g").orderBy("v")))
-    got = percent_rank_distributed(scored, "v", "pr", ["g"], buckets=8, single_task_max_rows=0)
+    got = percent_rank_distributed(scored, "v", "pr", ["g"], buckets=8)
     a = want.select("movie_id", F.round("pr", 12).alias("pr"))
     b = got.select("movie_id", F.round("pr", 12).alias("pr"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
@@ -54,7 +54,7 @@ def test_percentile_cont_matches_builtin(spark, skewed, fraction):
     got = {
         r["g"]: r["p"]
         for r in percentile_cont_distributed(
-            skewed, "v", fraction, "p", ["g"], buckets=8, single_task_max_rows=0
+            skewed, "v", fraction, "p", ["g"], buckets=8
         ).collect()
     }
     assert got.keys() == want.keys()
@@ -64,21 +64,51 @@ def test_percentile_cont_matches_builtin(spark, skewed, fraction):
 
 def test_median_single_row_and_even_count(spark):
     df = spark.createDataFrame([("x", 5.0), ("y", 1.0), ("y", 4.0)], "g string, v double")
-    for limit in (0, None):  # distributed path, then the size-checked single-task path
-        got = {
-            r["g"]: r["m"]
-            for r in percentile_cont_distributed(df, "v", 0.5, "m", ["g"], single_task_max_rows=limit).collect()
-        }
-        assert got == {"x": 5.0, "y": 2.5}
-
-
-def test_single_task_path_matches_distributed(spark, skewed):
-    a = percent_rank_distributed(skewed, "v", "pr", buckets=16, single_task_max_rows=0)
-    b = percent_rank_distributed(skewed, "v", "pr", single_task_max_rows=10**6)
-    ra = a.select("movie_id", F.round("pr", 12).alias("pr"))
-    rb = b.select("movie_id", F.round("pr", 12).alias("pr"))
-    assert a.count() == skewed.count() == b.count()
-    assert ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
+    got = {r["g"]: r["m"] for r in percentile_cont_distributed(df, "v", 0.5, "m", ["g"]).collect()}
+    assert got == {"x": 5.0, "y": 2.5}
+
+
+def test_null_is_a_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 4.0), ("b", None)], "g string, v double")
+    got = {r["g"]: r["m"] for r in percentile_cont_distributed(df, "v", 0.5, "m", ["g"]).collect()}
+    assert got == {None: 1.5, "a": 4.0}
+    ranks = {(r["g"], r["v"]): r["pr"] for r in percent_rank_distributed(df, "v", "pr", ["g"]).collect()}
+    assert ranks == {(None, 1.0): 0.0, (None, 2.0): 1.0, ("a", 4.0): 0.0, ("b", None): None}
+
+
+@pytest.mark.parametrize("buckets", [2, 9, 256])
+def test_many_values_and_any_bucket_count(spark, buckets):
+    df = spark.range(5000).select("id", (F.pmod(F.xxhash64("id"), F.lit(2500)) / 7).alias("v"))
+    want = df.withColumn("pr", F.percent_rank().over(Window.orderBy("v"))).select("id", F.round("pr", 12))
+    got = percent_rank_distributed(df, "v", "pr", buckets=buckets).select("id", F.round("pr", 12))
+    assert want.exceptAll(got).count() == 0 and got.count() == 5000
+
+
+def test_building_runs_no_job_and_nothing_meets_in_one_task(spark, skewed):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    scored = skewed.where(F.col("v").isNotNull())
+    plans = [
+        percent_rank_distributed(scored, "v", "pr"),
+        percentile_cont_distributed(skewed, "v", 0.5, "m", ["g"]),
+        percent_rank_of(scored.orderBy("v").limit(5), scored, "v", "pr"),
+    ]
+    assert tracker.getJobIdsForGroup("building") == []
+    spark.sparkContext.setJobGroup("other", "other")
+    windows = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in windows
+
+
+def test_more_partitions_than_split_points(spark, skewed):
+    scored = skewed.where(F.col("v").isNotNull())
+    want = scored.withColumn("pr", F.percent_rank().over(Window.orderBy("v"))).select("movie_id", F.round("pr", 12))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5000")
+    try:
+        got = percent_rank_distributed(scored, "v", "pr").select("movie_id", F.round("pr", 12))
+        assert want.exceptAll(got).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
 def test_top_k_rank_equals_global_rank(spark, skewed):
