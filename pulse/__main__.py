@@ -62,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "stream":
         print(json.dumps({"epochs": stream_ingest(spark, a.landing, wh)}))
         return 0
-    raw = ingest.read_raw_details(spark, a.raw)
+    raw = ingest.read_landed(spark, a.raw)
     day = _dt.date.fromisoformat(a.date)
     if a.cmd == "bootstrap":
         rep = jobs.run_bootstrap(wh, raw, day, a.top_n)

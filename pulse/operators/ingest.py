@@ -19,6 +19,7 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulse import schemas
 
@@ -35,6 +36,18 @@ def read_raw_details(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RAW_DETAILS).option("mode", "PERMISSIVE").json(path)
 
 
+#: What a line that is not a record, and the file order of records, are called.
+MALFORMED, FILE_TIME, FILE_NAME = "_malformed", "_file_time", "_file_name"
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """Landed records with the time and name of their file, which order records that carry no
+    ``arrival_seq``; a line that is not a JSON record comes with its text in ``_malformed``."""
+    schema = T.StructType([*schemas.RAW_DETAILS.fields, T.StructField(MALFORMED, T.StringType())])
+    raw = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).json(path)
+    return raw.select("*", F.col("_metadata.file_modification_time").alias(FILE_TIME), F.col("_metadata.file_name").alias(FILE_NAME))
+
+
 def land_raw_details(raw: DataFrame, path: str, partition_by: str | None = None) -> str:
     """Write raw records as newline-delimited JSON (how a fetch step hands them over)."""
     w = raw.write.mode("overwrite")
@@ -52,20 +65,47 @@ def land_raw_details(raw: DataFrame, path: str, partition_by: str | None = None)
 def dedupe_keep_last(raw: DataFrame, key: str = "id", order: str = "arrival_seq") -> DataFrame:
     """Last arrival per ``key``; records without the key are dropped.
 
-    ``max_by`` is a declarative aggregate: Spark runs it partially per input
-    partition before the shuffle, so the exchange carries one row per key and
-    partition regardless of how hot a key is.
+    The order is total: ``order``, then the landed file's time and name where
+    the records carry them (``read_landed``), then the record's hash. A record
+    without ``order`` stands before those that have it; none is lost, and
+    equal arrivals give the same record every time. ``max_by`` runs partially
+    per input partition, so the exchange carries one row per key and partition
+    however hot a key is (as a sort-based aggregate: each partition's rows are
+    sorted by key first).
     """
-    cols = raw.columns
-    packed = F.struct(*[F.col(c) for c in cols])
+    where_from = [c for c in (FILE_TIME, FILE_NAME) if c in raw.columns]
+    cols = [c for c in raw.columns if c not in where_from and c != MALFORMED]
+    first = [F.col(order)] if order in raw.columns else []
+    last = F.struct(*first, *where_from, F.xxhash64(*cols).alias("_hash"))
     return (
         raw.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.max_by(packed, F.col(order)).alias("_r"))
+        .agg(F.max_by(F.struct(*cols), last).alias("_r"))
         .select("_r.*")
     )
 
 
+def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records, lines that are none); records without an id are among the latter."""
+    bad = F.col("id").isNull()
+    if MALFORMED in raw.columns:
+        bad = bad | F.col(MALFORMED).isNotNull()
+    return raw.where(~bad), raw.where(bad)
+
+
+def rejected_records(details: DataFrame, malformed: DataFrame, run_date: _dt.date) -> DataFrame:
+    """Rows of the reject table: violations of the deduplicated records, and lines that are
+    no records or have no id, each with its text."""
+    found = required_field_violations(details).withColumn("record", F.lit(None).cast("string"))
+    text = F.to_json(F.struct(*[c for c in malformed.columns if c in schemas.column_names(schemas.RAW_DETAILS)]))
+    why = F.lit("id is missing")
+    if MALFORMED in malformed.columns:
+        text = F.coalesce(F.col(MALFORMED), text)
+        why = F.when(F.col(MALFORMED).isNotNull(), F.lit("not a record")).otherwise(why)
+    lines = malformed.select("id", "arrival_seq", F.lit("raw").alias("target_table"), why.alias("violation"), text.alias("record"))
+    return found.unionByName(lines).withColumn("run_date", F.lit(run_date))
+
+
 # --------------------------------------------------------------------------
 # A2 / A3 / G3: transforms and their guards
 # --------------------------------------------------------------------------

@@ -7,7 +7,9 @@ comes back to the driver. Tables live in a ``Warehouse``:
                                (left unpartitioned: an upsert touches any title)
 * ``movie_daily_snapshots`` -- partitioned by ``snapshot_date``, sorted by ``movie_id``
 * ``movie_metrics_aggregated`` -- partitioned by ``calculation_date``
-* ``movie_snapshot_tail``   -- each title's newest 15 snapshot rows (the look-back)
+* ``movie_snapshot_tail``   -- each title's newest rows (the longest look-back), with the
+                               date they cover
+* ``rejected_records``      -- what a run did not take, partitioned by ``run_date``
 
 Metric refresh after loading date D: the titles with a snapshot on or after
 D are the only ones whose derived or aggregated values can change (all
@@ -38,6 +40,7 @@ MOVIES = "movies"
 SNAPSHOTS = "movie_daily_snapshots"
 METRICS = "movie_metrics_aggregated"
 TAIL = "movie_snapshot_tail"
+REJECTS = "rejected_records"
 
 
 @dataclass
@@ -52,6 +55,24 @@ def _observed_write(df: DataFrame, name: str, write) -> int:
     return int(obs.get.get("rows", 0))
 
 
+def _details(wh: Warehouse, raw: DataFrame, run_date: _dt.date, rep: JobReport) -> DataFrame:
+    """The deduplicated records of a run, staged once; what the loads will not take goes to the
+    reject table (one partition per run date) and is counted in the report.
+
+    Jobs quarantine: a bad record does not stop the good ones, and none is
+    dropped without a row in the reject table.
+    """
+    good, malformed = ingest.split_malformed(raw)
+    details = wh.stage(ingest.dedupe_keep_last(good), "details")
+    rejects = ingest.rejected_records(details, malformed, run_date)
+    staged = wh.stage(rejects, "rejects")
+    wh.overwrite_partitions(REJECTS, staged, ["run_date"], reads_target=False)
+    counts = staged.where("violation <> 'release_date is not a date'").groupBy("target_table").agg(F.count_distinct(F.coalesce("id", F.xxhash64("record"))).alias("n"))
+    for r in counts.collect():  # one row per target table
+        rep.counts[f"rejected_{r['target_table']}"] = r["n"]
+    return details
+
+
 def load_movies(wh: Warehouse, incoming: DataFrame) -> int:
     existing = wh.read(MOVIES, schemas.MOVIES)
     merged = ingest.upsert_movies(existing, incoming)
@@ -71,24 +92,38 @@ def load_snapshots(wh: Warehouse, incoming: DataFrame, snapshot_date: _dt.date)
     )
 
 
+def tail_depth(th: Thresholds) -> int:
+    """Rows per title that a metric of the newest row can look at, that row included."""
+    return max(th.short_lag, th.long_lag, th.baseline_lag, th.ma_rows - 1) + 1
+
+
 def build_tail(snapshots: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """Each title's newest ``baseline_lag + 1`` snapshot rows (base columns).
+    """Each title's newest ``tail_depth`` snapshot rows (base columns).
 
-    The longest look-back of any metric is 14 rows, so the 14 rows before a
-    run date plus that date's own row are all a refresh of the newest date
-    needs. The table has at most 15 rows per title, whatever the history
+    The table is bounded by the number of titles, whatever the history
     length. ``row_number() <= k`` is planned as a partial ``WindowGroupLimit``.
     """
-    k = th.baseline_lag + 1
     w = Window.partitionBy("movie_id").orderBy(F.col("snapshot_date").desc())
     return (
         snapshots.select(*BASE_COLUMNS)
         .withColumn("_rn", F.row_number().over(w))
-        .where(F.col("_rn") <= k)
+        .where(F.col("_rn") <= tail_depth(th))
         .drop("_rn")
     )
 
 
+def _write_tail(wh: Warehouse, rows: DataFrame, covers: _dt.date | None, th: Thresholds) -> None:
+    """Replace the tail; its rows say up to which snapshot date they are complete, and how deep."""
+    marked = rows.withColumn("covers_date", F.lit(covers).cast("date")).withColumn("depth", F.lit(tail_depth(th)))
+    wh.replace(TAIL, marked)
+    wh.vacuum(TAIL)
+
+
+def _stored_dates(wh: Warehouse) -> list[_dt.date]:
+    """Snapshot dates that have a partition (a directory listing, no scan)."""
+    return [_dt.date.fromisoformat(d) for d in wh.partition_values(SNAPSHOTS, "snapshot_date")]
+
+
 def _write_metric_and_derived(wh: Warehouse, metric_rows, derived_rows, before_derived=None):
     # Metrics first: both read snapshot partitions that the derived write replaces.
     n_metrics = _observed_write(
@@ -116,15 +151,17 @@ def _refresh_full(wh: Warehouse, from_date: _dt.date, th: Thresholds) -> dict[st
     history = base.join(active, "movie_id", "left_semi")
     metric_rows = aggregated_metrics(history, None, th).where(F.col("calculation_date") >= d)
     derived_rows = derived_metrics(history, th).where(F.col("snapshot_date") >= d)
-    old_tail = wh.read(TAIL) if wh.exists(TAIL) else None
+    marks = _tail_marks(wh)
+    old_tail = wh.read(TAIL).select(*BASE_COLUMNS) if marks and marks[1] >= tail_depth(th) else None
     counts = _write_metric_and_derived(wh, metric_rows, derived_rows)
+    newest = max(_stored_dates(wh), default=None)
     if old_tail is None:
-        wh.replace(TAIL, build_tail(wh.read(SNAPSHOTS), th))
+        _write_tail(wh, build_tail(wh.read(SNAPSHOTS), th), newest, th)
     else:
         # Each title's newest rows lie in its old tail rows before the date
         # or in the partitions from the date on (a partition-pruned read).
         recent = wh.read(SNAPSHOTS).where(F.col("snapshot_date") >= d).select(*BASE_COLUMNS)
-        wh.replace(TAIL, build_tail(old_tail.where(F.col("snapshot_date") < d).unionByName(recent), th))
+        _write_tail(wh, build_tail(old_tail.where(F.col("snapshot_date") < d).unionByName(recent), th), newest, th)
     return counts
 
 
@@ -140,7 +177,7 @@ def _refresh_from_tail(
     derived_rows = derived_metrics(history, th).where(F.col("snapshot_date") == d)
     new_tail = build_tail(before.unionByName(day), th)
     return _write_metric_and_derived(
-        wh, metric_rows, derived_rows, before_derived=lambda: wh.replace(TAIL, new_tail)
+        wh, metric_rows, derived_rows, before_derived=lambda: _write_tail(wh, new_tail, run_date, th)
     )
 
 
@@ -151,24 +188,37 @@ def refresh_metrics(wh: Warehouse, from_date: _dt.date, th: Thresholds = DEFAULT
     table supplies the look-back rows; a late date falls back to the titles'
     full histories and rebuilds the tail.
     """
-    tail = _usable_tail(wh, from_date)
+    tail = _usable_tail(wh, from_date, th)
     if tail is not None:
         return _refresh_from_tail(wh, from_date, tail, th)
-    return _refresh_full(wh, from_date, th)
+    return _refresh_full(wh, _first_stale(wh, from_date), th)
 
 
-def _usable_tail(wh: Warehouse, run_date: _dt.date) -> DataFrame | None:
-    """The tail table, if ``run_date`` is on or after the newest stored date.
+def _tail_marks(wh: Warehouse) -> tuple[_dt.date, int] | None:
+    """(date up to which the tail is complete, its depth), from any of its rows."""
+    row = wh.read(TAIL).select("covers_date", "depth").first() if wh.exists(TAIL) else None
+    return (row[0], row[1]) if row and row[0] and row[1] else None
 
-    The newest date comes from the snapshot table's partition directories
-    (a listing, no scan). The tail is written last in every refresh, so it
-    is never ahead of the snapshot table.
-    """
-    if not wh.exists(TAIL):
+
+def _usable_tail(wh: Warehouse, run_date: _dt.date, th: Thresholds) -> DataFrame | None:
+    """The tail's rows, if they are deep enough and complete up to the newest stored date
+    before ``run_date``, and no later date is stored."""
+    marks = _tail_marks(wh)
+    if marks is None or marks[1] < tail_depth(th):
+        return None
+    dates = _stored_dates(wh)
+    before = [d for d in dates if d < run_date]
+    if any(d > run_date for d in dates) or (before and marks[0] < max(before)):
         return None
-    dates = wh.partition_values(SNAPSHOTS, "snapshot_date")
-    newest = _dt.date.fromisoformat(dates[-1]) if dates else None
-    return wh.read(TAIL) if newest is None or run_date >= newest else None
+    return wh.read(TAIL).select(*BASE_COLUMNS)
+
+
+def _first_stale(wh: Warehouse, run_date: _dt.date) -> _dt.date:
+    """The first date whose metrics may be missing or old: a load that died before its refresh
+    leaves stored dates that the tail does not cover."""
+    marks = _tail_marks(wh)
+    late = [d for d in _stored_dates(wh) if marks is None or d > marks[0]]
+    return min([run_date, *late])
 
 
 def load_and_refresh(
@@ -182,10 +232,11 @@ def load_and_refresh(
     the metric partition and the new tail are computed from the stage and the
     old tail. A late date upserts its partition and takes the full refresh.
     """
-    tail = _usable_tail(wh, run_date)
+    tail = _usable_tail(wh, run_date, th)
     if tail is None:
+        stale = _first_stale(wh, run_date)
         counts = {"snapshots": load_snapshots(wh, incoming, run_date)}
-        counts.update(_refresh_full(wh, run_date, th))
+        counts.update(_refresh_full(wh, stale, th))
         return counts
     d = F.lit(run_date)
     existing = wh.read(SNAPSHOTS, schemas.SNAPSHOTS)
@@ -214,8 +265,7 @@ def load_and_refresh(
             METRICS, x, ["calculation_date"], ["movie_id"], reads_target=False, counter=c
         ),
     )
-    wh.replace(TAIL, build_tail(before.unionByName(staged_day), th))
-    wh.vacuum(TAIL)
+    _write_tail(wh, build_tail(before.unionByName(staged_day), th), run_date, th)
     return {"snapshots": n_snap, "metric_rows": n_metrics, "derived_rows": n_snap}
 
 
@@ -228,13 +278,13 @@ def run_bootstrap(
     th: Thresholds = DEFAULT_THRESHOLDS,
 ) -> JobReport:
     """First load: the n most popular titles -> dimension, snapshots, metrics."""
-    details = ingest.dedupe_keep_last(raw)
+    rep = JobReport()
+    details = _details(wh, raw, snapshot_date, rep)
     catalog = details.select(
         F.col("id").alias("movie_id"), "popularity", "adult", "video"
     )
     top = ingest.top_n_popular(catalog, n).select(F.col("movie_id").alias("id"))
     chosen = details.join(top, "id", "left_semi")
-    rep = JobReport()
     rep.counts["movies"] = load_movies(wh, ingest.transform_movies(chosen, loaded_at))
     rep.counts.update(
         load_and_refresh(wh, ingest.transform_snapshots(chosen, snapshot_date, loaded_at), snapshot_date, th)
@@ -255,10 +305,10 @@ def run_daily(
     An empty change set loads nothing, and the metrics still run.
     """
     start = snapshot_date - _dt.timedelta(days=1)
+    rep = JobReport()
     # Keep-last first (partial aggregation), then the semi join: an id with a
     # flood of arrivals is one row before it meets the join.
-    details = ingest.changed_entities(ingest.dedupe_keep_last(raw), changes, start, snapshot_date)
-    rep = JobReport()
+    details = ingest.changed_entities(_details(wh, raw, snapshot_date, rep), changes, start, snapshot_date)
     rep.counts["movies"] = load_movies(wh, ingest.transform_movies(details, loaded_at))
     rep.counts.update(
         load_and_refresh(wh, ingest.transform_snapshots(details, snapshot_date, loaded_at), snapshot_date, th)
@@ -276,9 +326,9 @@ def run_weekly(
     """Fresh snapshots for every tracked title (dimension untouched) -> metrics."""
     movies = wh.read(MOVIES, schemas.MOVIES)
     tracked = movies.select(F.col("movie_id").alias("id"))
-    details = ingest.dedupe_keep_last(raw).join(tracked, "id", "left_semi")
-    fresh = ingest.transform_snapshots(details, snapshot_date, loaded_at)
     rep = JobReport()
+    details = _details(wh, raw, snapshot_date, rep).join(tracked, "id", "left_semi")
+    fresh = ingest.transform_snapshots(details, snapshot_date, loaded_at)
     rep.counts.update(load_and_refresh(wh, fresh, snapshot_date, th))
     return rep
 
@@ -300,4 +350,4 @@ def seed_warehouse(
     # Metrics and tail from the stored snapshots: the base rows are derived once.
     stored = wh.read(SNAPSHOTS)
     wh.replace(METRICS, aggregated_metrics(stored, None, th), ["calculation_date"], ["movie_id"])
-    wh.replace(TAIL, build_tail(stored, th))
+    _write_tail(wh, build_tail(stored, th), max(_stored_dates(wh), default=None), th)

@@ -89,6 +89,13 @@ def landed_raw(fx: Fixture) -> DataFrame:
     return ingest.read_raw_details(fx.spark, path)
 
 
+def landed_for_jobs(fx: Fixture) -> DataFrame:
+    """The same landed files as the jobs read them: with file order and malformed lines."""
+    path = scratch_path(fx.spark, "landed-raw")
+    ingest.land_raw_details(fx.raw_details(), path)
+    return ingest.read_landed(fx.spark, path)
+
+
 def _incoming_snapshots(fx: Fixture) -> DataFrame:
     return ingest.transform_snapshots(ingest.dedupe_keep_last(fx.raw_details()), RUN_DATE, LOADED_AT)
 
@@ -117,20 +124,53 @@ def _seeded_warehouse(fx: Fixture, name: str) -> Warehouse:
 
 def _job_bootstrap(fx: Fixture) -> DataFrame:
     wh = _fresh_warehouse(fx, "wh-bootstrap")
-    jobs.run_bootstrap(wh, landed_raw(fx), RUN_DATE, TOP_N, LOADED_AT)
+    jobs.run_bootstrap(wh, landed_for_jobs(fx), RUN_DATE, TOP_N, LOADED_AT)
     return wh.read(jobs.METRICS).select(*schemas.column_names(schemas.METRICS))
 
 
 def _job_daily(fx: Fixture) -> DataFrame:
     wh = _seeded_warehouse(fx, "wh-daily")
-    jobs.run_daily(wh, landed_raw(fx), fx.changes(), RUN_DATE, LOADED_AT)
+    jobs.run_daily(wh, landed_for_jobs(fx), fx.changes(), RUN_DATE, LOADED_AT)
     m = wh.read(jobs.METRICS).where(F.col("calculation_date") == F.lit(RUN_DATE))
     return m.select(*schemas.column_names(schemas.METRICS))
 
 
+def _rejected_records(fx: Fixture) -> DataFrame:
+    """What a daily run over the landed records does not take."""
+    wh = _seeded_warehouse(fx, "wh-rejects")
+    jobs.run_daily(wh, landed_for_jobs(fx), fx.changes(), RUN_DATE, LOADED_AT)
+    return wh.read(jobs.REJECTS).drop("record")
+
+
+def _job_after_failed_load(fx: Fixture) -> DataFrame:
+    """A load of the day before that died before its refresh, then the daily run: the metrics of
+    both dates must be there and right. An upsert version without commit lies about as well."""
+    day_before = RUN_DATE - _dt.timedelta(days=1)
+    base = fx.events_snapshots()
+    wh = _fresh_warehouse(fx, "wh-failed")
+    jobs.seed_warehouse(wh, fx.customer_movies(), base.where(F.col("snapshot_date") < F.lit(day_before)))
+    jobs.load_snapshots(wh, base.where(F.col("snapshot_date") == F.lit(day_before)), day_before)
+    fx.customer_movies().limit(1).write.parquet(f"{wh.root}/{jobs.MOVIES}/v=2")
+    wh._fs_path(wh.root)[0].delete(wh._fs_path(f"{wh.root}/{jobs.MOVIES}/v=2/_SUCCESS")[1], False)
+    jobs.run_daily(wh, landed_for_jobs(fx), fx.changes(), RUN_DATE, LOADED_AT)
+    m = wh.read(jobs.METRICS).where(F.col("calculation_date") >= F.lit(day_before))
+    return m.select(*schemas.column_names(schemas.METRICS))
+
+
+def _stored_dimension(fx: Fixture) -> DataFrame:
+    """The dimension after two upserts with a dead writer between them."""
+    wh = _fresh_warehouse(fx, "wh-store")
+    jobs.load_movies(wh, fx.customer_movies())
+    fx.customer_movies().limit(1).write.parquet(f"{wh.root}/{jobs.MOVIES}/v=2")
+    wh._fs_path(wh.root)[0].delete(wh._fs_path(f"{wh.root}/{jobs.MOVIES}/v=2/_SUCCESS")[1], False)
+    details = ingest.dedupe_keep_last(fx.raw_details())
+    jobs.load_movies(wh, ingest.transform_movies(details, LOADED_AT))
+    return wh.read(jobs.MOVIES).select(*schemas.column_names(schemas.MOVIES))
+
+
 def _job_weekly(fx: Fixture) -> DataFrame:
     wh = _seeded_warehouse(fx, "wh-weekly")
-    jobs.run_weekly(wh, landed_raw(fx), RUN_DATE, LOADED_AT)
+    jobs.run_weekly(wh, landed_for_jobs(fx), RUN_DATE, LOADED_AT)
     m = wh.read(jobs.METRICS).where(F.col("calculation_date") == F.lit(RUN_DATE))
     return m.select(*schemas.column_names(schemas.METRICS))
 
@@ -145,6 +185,16 @@ def _stream(fx: Fixture) -> DataFrame:
     return wh.read(jobs.MOVIES).select(*schemas.column_names(schemas.MOVIES))
 
 
+def _stream_metrics(fx: Fixture) -> DataFrame:
+    """Metrics of the run date after a stream that does the daily job's loads."""
+    landing = scratch_path(fx.spark, "landing")
+    ingest.land_raw_details(fx.raw_details().repartition(4), landing)
+    wh = _seeded_warehouse(fx, "wh-stream-daily")
+    stream_ingest(fx.spark, landing, wh, LOADED_AT, max_files_per_trigger=2, snapshot_date=RUN_DATE)
+    m = wh.read(jobs.METRICS).where(F.col("calculation_date") == F.lit(RUN_DATE))
+    return m.select(*schemas.column_names(schemas.METRICS))
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     # A: sources, ingest, sinks, jobs
@@ -195,6 +245,10 @@ def queries() -> dict[str, Query]:
     )
     q["job_bootstrap"] = on_fixture(_job_bootstrap)
     q["job_daily"] = on_fixture(_job_daily)
+    q["rejected_records"] = on_fixture(_rejected_records)
+    q["job_after_failed_load"] = on_fixture(_job_after_failed_load)
+    q["stored_dimension"] = on_fixture(_stored_dimension)
+    q["stream_metrics"] = on_fixture(_stream_metrics)
     q["job_weekly"] = on_fixture(_job_weekly)
     q["stream_ingest"] = on_fixture(_stream)
     # B: derived per-snapshot metrics

@@ -1,13 +1,24 @@
 """Tables stored as Parquet folders under one root, with copy-on-write replacement.
 
-Plain Parquet has no DELETE or MERGE. A table is a folder of committed
-versions ``<root>/<name>/v=<n>``; ``replace`` writes version n+1 and readers
-always take the newest version that has a ``_SUCCESS`` marker, so a job that
-dies mid-write leaves the previous version in force. Fact tables are
-partitioned by date and updated in place with dynamic partition overwrite,
-which replaces only the partitions present in the written rows; those rows
-are first staged under the shared checkpoint folder so a partition is never
-overwritten by a plan that is still reading it.
+Plain Parquet has no DELETE or MERGE. A table is a folder of versions
+``<root>/<name>/v=<n>``; ``replace`` writes the number after the highest
+folder there is, committed or not, and readers always take the newest version
+that has a ``_SUCCESS`` marker. A job that dies mid-write leaves the previous
+version in force and blocks nobody; ``vacuum`` removes what it left. Fact
+tables are partitioned by date and updated in place with dynamic partition
+overwrite, which replaces only the partitions present in the written rows;
+those rows are first staged under the shared checkpoint folder so a partition
+is never overwritten by a plan that is still reading it.
+
+What is guaranteed: a replaced version becomes visible as a whole. A partition
+overwrite is not one commit: a reader of the same version that is in mid-scan
+may fail on a file that was replaced and has to start again, and a job that
+dies between two partitions leaves some of them new. Running the job for that
+date again puts both right (every partition is written whole).
+
+Tables are read with their declared schema (``schemas.TABLES``) plus the
+columns that a writer added, which a version lists in ``_added_columns``; no
+footer is read for it, and a table without rows or partitions can be read.
 
 File-system calls go through the Hadoop ``FileSystem`` of the session, so the
 same code works on a local disk or on shared cluster storage.
@@ -15,12 +26,14 @@ same code works on a local disk or on shared cluster storage.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulse import schemas
 from pulse.session import scratch_path
 
 
@@ -56,21 +69,57 @@ class Warehouse:
         fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         return fs, p
 
-    def _versions(self, name: str) -> list[int]:
+    def _folders(self, name: str) -> dict[int, bool]:
+        """Version numbers that have a folder, and whether the version is committed."""
         fs, p = self._fs_path(f"{self.root}/{name}")
         if not fs.exists(p):
-            return []
-        out = []
+            return {}
+        out = {}
         for st in fs.listStatus(p):
             base = st.getPath().getName()
             if base.startswith("v=") and base[2:].isdigit():
-                done = fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
-                if done:
-                    out.append(int(base[2:]))
-        return sorted(out)
+                done = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
+                out[int(base[2:])] = fs.exists(done)
+        return out
+
+    def _versions(self, name: str) -> list[int]:
+        return sorted(v for v, committed in self._folders(name).items() if committed)
+
+    def _text(self, path: str, content: str | None = None) -> str:
+        """Read a small text file ('' if there is none), or write it."""
+        jvm = self.spark.sparkContext._jvm
+        fs, p = self._fs_path(path)
+        if content is not None:
+            out = fs.create(p, True)
+            out.write(bytearray(content.encode()))
+            out.close()
+            return content
+        if not fs.exists(p):
+            return ""
+        source = fs.open(p)
+        try:
+            return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
+        finally:
+            source.close()
+
+    def _added(self, path: str) -> T.StructType:
+        text = self._text(f"{path}/_added_columns")
+        return T.StructType.fromJson(json.loads(text)) if text else T.StructType([])
+
+    def _note_added(self, name: str, path: str, df: DataFrame) -> None:
+        """Remember columns of ``df`` that the declared schema does not have."""
+        declared = schemas.TABLES.get(name)
+        if declared is None:
+            return
+        known = self._added(path)
+        names = {f.name for f in [*declared.fields, *known.fields]}
+        new = [f for f in df.schema.fields if f.name not in names]
+        if new:
+            self._text(f"{path}/_added_columns", T.StructType([*known.fields, *new]).json())
 
     def vacuum(self, name: str, keep: int = 2) -> list[str]:
-        """Delete all but the newest ``keep`` committed versions of a table.
+        """Delete all but the newest ``keep`` committed versions of a table, and what dead
+        writers left below the current version.
 
         Keeping the previous version lets a reader that started before the
         last replace finish. Returns the removed paths.
@@ -78,7 +127,10 @@ class Warehouse:
         if keep < 1:
             raise ValueError("keep at least the current version")
         removed = []
-        for v in self._versions(name)[:-keep]:
+        folders = self._folders(name)
+        committed = sorted(v for v, done in folders.items() if done)
+        dead = [v for v, done in folders.items() if not done and committed and v < committed[-1]]
+        for v in sorted([*committed[:-keep], *dead]):
             fs, p = self._fs_path(f"{self.root}/{name}/v={v}")
             fs.delete(p, True)
             removed.append(p.toString())
@@ -106,12 +158,16 @@ class Warehouse:
 
     # -- read / write ------------------------------------------------------
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
+        """The current version, with the declared schema and added columns."""
         path = self.current_path(name)
+        schema = schema or schemas.TABLES.get(name)
         if path is None:
             if schema is None:
                 raise FileNotFoundError(f"table {name!r} has no committed version under {self.root}")
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.option("mergeSchema", "true").parquet(path)
+        if schema is None:
+            return self.spark.read.parquet(path)
+        return self.spark.read.schema(T.StructType([*schema.fields, *self._added(path).fields])).parquet(path)
 
     def replace(
         self,
@@ -127,20 +183,20 @@ class Warehouse:
         attached above the clustering exchange, so the sampling pass of the
         range partitioner does not count rows too.
         """
-        v = self._versions(name)
-        path = f"{self.root}/{name}/v={(v[-1] + 1) if v else 1}"
+        path = f"{self.root}/{name}/v={max(self._folders(name), default=0) + 1}"
         out = _counted(_cluster(df, partition_by, sort_by), counter)
         w = out.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
+        self._note_added(name, path, df)
         return path
 
     def stage(self, rows: DataFrame, name: str) -> DataFrame:
         """Write ``rows`` once under the shared checkpoint folder and read them back."""
         path = scratch_path(self.spark, f"stage-{name}")
         rows.write.mode("errorifexists").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def overwrite_partitions(
         self,
@@ -163,7 +219,7 @@ class Warehouse:
         if reads_target:
             stage = scratch_path(self.spark, f"stage-{name}")
             _counted(rows, counter).write.mode("errorifexists").parquet(stage)
-            rows, counter = self.spark.read.parquet(stage), None
+            rows, counter = self.spark.read.schema(rows.schema).parquet(stage), None
         staged = _counted(_cluster(rows, partition_by, sort_by), counter)
         (
             staged.write.mode("overwrite")
@@ -171,4 +227,5 @@ class Warehouse:
             .partitionBy(*partition_by)
             .parquet(target)
         )
+        self._note_added(name, target, rows)
         return target

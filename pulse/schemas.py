@@ -141,5 +141,39 @@ CHANGES = T.StructType(
 )
 
 
+# Records that a load did not take, or took with a field left out.
+REJECTS = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("arrival_seq", T.LongType()),
+        T.StructField("target_table", T.StringType()),
+        T.StructField("violation", T.StringType()),
+        T.StructField("record", T.StringType()),
+        T.StructField("run_date", T.DateType()),
+    ]
+)
+
+# Each title's newest rows, the newest snapshot date they cover and how many
+# rows per title they hold.
+TAIL = T.StructType(
+    [
+        *SNAPSHOT_BASE.fields,
+        T.StructField("ingestion_timestamp", T.TimestampType()),
+        T.StructField("covers_date", T.DateType()),
+        T.StructField("depth", T.IntegerType()),
+    ]
+)
+
+# Stored tables by name.
+TABLES = {
+    "movies": MOVIES,
+    "movie_daily_snapshots": SNAPSHOTS,
+    "movie_metrics_aggregated": METRICS,
+    "movie_snapshot_tail": TAIL,
+    "raw_latest_state": RAW_DETAILS,
+    "rejected_records": REJECTS,
+}
+
+
 def column_names(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields]

@@ -9,9 +9,12 @@
    changes nothing, and the state does not depend on the order in which files
    or epochs arrive. The state is bounded by the number of ids, not by the
    number of arrivals;
-2. upserts into the dimension the state rows of the ids seen in the batch.
+2. upserts into the dimension the state rows of the ids seen in the batch;
+3. with a snapshot date, does the rest of the daily job as well: upserts that
+   date's snapshots of these ids and refreshes the metrics.
 
-The query checkpoint lives under the shared checkpoint folder.
+The query checkpoint lives under the warehouse root, one per landing folder:
+a later run reads only files that have landed since.
 ``trigger(availableNow=True)`` drains what has landed and stops, which is how
 a scheduled daily run uses it; a continuously running query uses
 ``processingTime`` instead.
@@ -20,6 +23,7 @@ a scheduled daily run uses it; a continuously running query uses
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +31,12 @@ from pyspark.sql import functions as F
 from pulse import schemas
 from pulse.operators import ingest
 from pulse.plans.warehouse import Warehouse
-from pulse.plans.jobs import MOVIES
-from pulse.session import scratch_path
+from pulse.plans.jobs import MOVIES, load_and_refresh
 
 STATE = "raw_latest_state"
 
 
-def _batch_writer(wh: Warehouse, loaded_at: _dt.datetime | None):
+def _batch_writer(wh: Warehouse, loaded_at: _dt.datetime | None, snapshot_date: _dt.date | None = None, epochs: list | None = None):
     def handle(batch: DataFrame, epoch_id: int) -> None:
         state = wh.read(STATE, schemas.RAW_DETAILS)
         merged = ingest.dedupe_keep_last(
@@ -47,10 +50,19 @@ def _batch_writer(wh: Warehouse, loaded_at: _dt.datetime | None):
         existing = wh.read(MOVIES, schemas.MOVIES)
         wh.replace(MOVIES, ingest.upsert_movies(existing, incoming))
         wh.vacuum(MOVIES)
+        if snapshot_date is not None:
+            load_and_refresh(wh, ingest.transform_snapshots(latest, snapshot_date, loaded_at), snapshot_date)
+        if epochs is not None:
+            epochs.append(epoch_id)
 
     return handle
 
 
+def stream_checkpoint(wh: Warehouse, landing_path: str) -> str:
+    """The checkpoint folder of a landing folder's stream."""
+    return f"{wh.root}/_streams/{hashlib.sha256(landing_path.rstrip('/').encode()).hexdigest()[:16]}"
+
+
 def stream_ingest(
     spark: SparkSession,
     landing_path: str,
@@ -58,19 +70,21 @@ def stream_ingest(
     loaded_at: _dt.datetime | None = None,
     max_files_per_trigger: int | None = None,
     checkpoint: str | None = None,
+    snapshot_date: _dt.date | None = None,
 ) -> int:
-    """Drain the landing folder into the dimension; returns the number of epochs run."""
+    """Drain what has landed since the last run; returns the number of epochs run."""
     reader = spark.readStream.schema(schemas.RAW_DETAILS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.json(landing_path)
+    epochs: list[int] = []
     q = (
-        src.writeStream.foreachBatch(_batch_writer(wh, loaded_at))
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))
+        src.writeStream.foreachBatch(_batch_writer(wh, loaded_at, snapshot_date, epochs))
+        .option("checkpointLocation", checkpoint or stream_checkpoint(wh, landing_path))
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return len(q.recentProgress)
+    return len(epochs)

@@ -207,3 +207,97 @@ def test_stream_batches_replayed_or_reordered_give_same_dimension(spark):
         99: "keep", 1: "t1-2", 2: "t2-2", 3: "t3-2", 4: "t4-2", 5: "t5-2"
     }
     assert same(results[0], results[1]) and same(results[0], results[2])
+
+
+def test_records_without_arrival_order_and_bad_lines_are_kept_or_listed(spark):
+    d = land(spark, [{k: v for k, v in r.items() if k != "arrival_seq"} for r in raw_recs(3, 1)])
+    with open(os.path.join(d, "part-00001.json"), "w") as f:
+        f.write('{"id": 9, "title": broken\n{"title": "no id"}\n{"id": 5, "title": ""}\n')
+    w = wh(spark)
+    rep = jobs.run_bootstrap(w, ingest.read_landed(spark, d), D("2024-01-10"), loaded_at=LOADED)
+    assert {r.movie_id for r in w.read(jobs.MOVIES).collect()} == {1, 2, 3}
+    assert w.read(jobs.SNAPSHOTS).count() == 3
+    rejects = {(r.id, r.target_table, r.violation) for r in w.read(jobs.REJECTS).collect()}
+    assert {(None, "raw", "not a record"), (None, "raw", "id is missing"), (5, "movies", "title is missing")} <= rejects
+    assert rep.counts["rejected_raw"] == 2 and rep.counts["rejected_movies"] == 1
+    assert any("broken" in (r.record or "") for r in w.read(jobs.REJECTS).collect())
+
+
+def test_a_dead_writer_blocks_nobody(spark):
+    w = wh(spark)
+    s = base_snapshots(spark, [(1, "2024-01-01", 1.0, 1)])
+    w.replace("t", s)
+    s.write.parquet(f"{w.root}/t/v=2")
+    os.remove(f"{w.root}/t/v=2/_SUCCESS")
+    assert w.current_path("t").endswith("v=1")
+    w.replace("t", s)
+    assert w.current_path("t").endswith("v=3")
+    w.vacuum("t", keep=2)
+    assert sorted(os.listdir(f"{w.root}/t")) == ["v=1", "v=3"]
+
+
+def test_first_daily_run_with_an_empty_change_set(spark):
+    w = wh(spark)
+    raw = ingest.read_landed(spark, land(spark, raw_recs(1, 1)))
+    jobs.run_daily(w, raw, spark.createDataFrame([], schemas.CHANGES), D("2024-01-09"), LOADED)
+    assert w.read(jobs.SNAPSHOTS).count() == 0 and w.read(jobs.METRICS).columns[0] == "movie_id"
+    changes = spark.createDataFrame([(1, D("2024-01-10"))], "id long, changed_on date")
+    jobs.run_daily(w, raw, changes, D("2024-01-10"), LOADED)
+    assert w.read(jobs.METRICS).count() == 1
+
+
+def test_a_load_that_died_before_its_refresh_is_caught_up(spark):
+    w = wh(spark)
+    hist = daily_series(1, "2024-01-01", range(1, 21), range(10, 210, 10))
+    jobs.seed_warehouse(w, movies(spark, [(1, "a", None)]), base_snapshots(spark, hist))
+    died = [(1, "2024-01-21", 50.0, 400)]
+    jobs.load_snapshots(w, base_snapshots(spark, died), D("2024-01-21"))  # no refresh follows
+    new = [(1, "2024-01-22", 60.0, 500)]
+    jobs.load_and_refresh(w, base_snapshots(spark, new), D("2024-01-22"))
+    want = aggregated_metrics(base_snapshots(spark, hist + died + new))
+    assert same(w.read(jobs.METRICS).select(*want.columns), want)
+    want_s = derived_metrics(base_snapshots(spark, hist + died + new)).select(*schemas.column_names(schemas.SNAPSHOTS))
+    assert same(w.read(jobs.SNAPSHOTS).select(*want_s.columns), want_s)
+
+
+def test_the_tail_is_as_deep_as_the_thresholds_look(spark):
+    from pulse.config import Thresholds
+
+    th = Thresholds(ma_rows=30)
+    hist = daily_series(1, "2024-01-01", range(1, 41), range(10, 410, 10))
+    new = [(1, "2024-02-10", 70.0, 700)]
+    want = aggregated_metrics(base_snapshots(spark, hist + new), None, th).where(F.col("calculation_date") == D("2024-02-10"))
+    for seeded in (th, Thresholds()):  # a tail of other thresholds is too short and must not be used
+        w = wh(spark)
+        jobs.seed_warehouse(w, movies(spark, [(1, "a", None)]), base_snapshots(spark, hist), seeded)
+        jobs.load_and_refresh(w, base_snapshots(spark, new), D("2024-02-10"), th)
+        got = w.read(jobs.METRICS).where(F.col("calculation_date") == D("2024-02-10"))
+        assert same(got.select(*want.columns), want)
+
+
+def test_a_second_stream_run_reads_only_new_files(spark):
+    landing = land(spark, raw_recs(3, 1))
+    w = wh(spark)
+    w.replace(jobs.MOVIES, movies(spark, [(100, "keep", None)]))
+    assert stream_ingest(spark, landing, w, LOADED) == 1
+    with open(os.path.join(landing, "part-99999.json"), "w") as f:
+        f.write(json.dumps({"id": 7, "arrival_seq": 99, "title": "new", "popularity": 1.0, "vote_count": 1, "vote_average": 1.0}) + "\n")
+    later = LOADED + dt.timedelta(days=1)
+    assert stream_ingest(spark, landing, w, later, snapshot_date=D("2024-02-02")) == 1
+    assert stream_ingest(spark, landing, w, later) == 0
+    assert {r.movie_id for r in w.read(jobs.MOVIES).where(F.col("last_updated") == F.lit(later)).collect()} == {7}
+    assert [(r.movie_id, str(r.snapshot_date)) for r in w.read(jobs.SNAPSHOTS).collect()] == [(7, "2024-02-02")]
+    assert w.read(jobs.METRICS).count() == 1
+
+
+def test_added_columns_are_read_back(spark):
+    w = wh(spark)
+    w.replace(jobs.MOVIES, movies(spark, [(1, "a", None)]).withColumn("extra", F.lit(5)))
+    assert w.read(jobs.MOVIES).select("movie_id", "extra").first() == (1, 5)
+
+
+def test_keep_last_is_the_same_every_time(spark):
+    rows = [(1, 7, f"t{i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "id long, arrival_seq long, title string")
+    got = {ingest.dedupe_keep_last(df.repartition(n)).first()["title"] for n in (1, 3, 8)}
+    assert len(got) == 1
