@@ -162,9 +162,9 @@ class SuffixAutomaton:
     """
 
     def __init__(self) -> None:
-        self.link, self.length, self.out, self.edges = [-1], [0], [()], {}
+        self.link, self.length, self.out, self.edges = [-1], [0], [[]], {}
 
-    def _state(self, length: int, link: int, out: tuple) -> int:
+    def _state(self, length: int, link: int, out: list) -> int:
         self.length.append(length)
         self.link.append(link)
         self.out.append(out)
@@ -178,11 +178,11 @@ class SuffixAutomaton:
             if length[to] == length[last] + 1:
                 return to
             return self._split(last, letter, to)
-        new = self._state(length[last] + 1, 0, ())
+        new = self._state(length[last] + 1, 0, [])
         at = last
         while at != -1 and (at, letter) not in edges:
             edges[at, letter] = new
-            self.out[at] += (letter,)
+            self.out[at].append(letter)
             at = link[at]
         if at != -1:
             to = edges[at, letter]
@@ -191,7 +191,7 @@ class SuffixAutomaton:
 
     def _split(self, at: int, letter: int, to: int) -> int:
         """A copy of state ``to`` for the strings no longer than that of ``at`` and the letter."""
-        copy = self._state(self.length[at] + 1, self.link[to], self.out[to])
+        copy = self._state(self.length[at] + 1, self.link[to], list(self.out[to]))
         for c in self.out[to]:
             self.edges[copy, c] = self.edges[to, c]
         while at != -1 and self.edges.get((at, letter)) == to:
