@@ -67,6 +67,8 @@ MOVIES_REQUIRED_CHECKS = ("last_updated", "movie_id", "title")
 SNAPSHOTS_REQUIRED_CHECKS = ("ingestion_timestamp", "movie_id", "snapshot_date")
 
 
+# Fixed values, continued: the defaults below must equal the published
+# definitions as well; a job may pass others.
 @dataclass(frozen=True)
 class Thresholds:
     # aggregated metrics

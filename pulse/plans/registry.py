@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulse import schemas
-from pulse.operators import examples, ingest, metrics, momentum, quality, virality
-from pulse.plans import jobs
+from pulse.operators import examples, ingest, metrics, momentum, quality
+from pulse.plans import jobs, views
 from pulse.plans.tables import Tables, fixture_tables, stored_fixture_tables
 from pulse.plans.warehouse import Warehouse
 from pulse.session import scratch_path
@@ -61,6 +61,17 @@ def on_tables(fn: Callable[[Tables], DataFrame]) -> Query:
     return run
 
 
+def on_views(statement: str) -> Query:
+    """A SQL statement over the registered views."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _setup(spark)
+        views.register_views(spark, stored_fixture_tables(spark, sf_dir))
+        return presentable(spark.sql(statement))
+
+    return run
+
+
 def on_raw_tables(fn: Callable[[Tables], DataFrame]) -> Query:
     """A table build computed from the supplied tables (not from stored copies)."""
 
@@ -266,66 +277,12 @@ def queries() -> dict[str, Query]:
     q["aggregated_metrics_as_written"] = on_fixture(
         lambda fx: metrics.aggregated_metrics_as_written(fx.base_snapshots(), SINGLE_DATE)
     )
-    # D: popularity momentum
-    q["latest_popularity_metrics"] = on_tables(
-        lambda t: momentum.latest_popularity_metrics(t.snapshots, t.movies)
-    )
-    q["popularity_7d_moving_average"] = on_tables(
-        lambda t: momentum.popularity_moving_average(t.snapshots, t.movies)
-    )
-    q["popularity_wow_comparison"] = on_tables(
-        lambda t: momentum.popularity_week_over_week(t.snapshots, t.movies)
-    )
-    q["top_gaining_movies"] = on_tables(
-        lambda t: momentum.top_gaining_movies(t.snapshots, t.movies, t.metrics)
-    )
-    q["top_declining_movies"] = on_tables(
-        lambda t: momentum.top_declining_movies(t.snapshots, t.movies, t.metrics)
-    )
-    q["daily_popularity_momentum_report"] = on_tables(
-        lambda t: momentum.daily_popularity_momentum_report(t.snapshots, t.movies, t.as_of)
-    )
-    q["release_cohort_trend"] = on_tables(
-        lambda t: momentum.release_cohort_trend(t.snapshots, t.movies, t.as_of)
-    )
-    # E: viral coefficient
-    q["vote_velocity_metrics"] = on_tables(
-        lambda t: virality.vote_velocity_metrics(t.snapshots, t.movies)
-    )
-    q["viral_coefficient_scores"] = on_tables(
-        lambda t: virality.viral_coefficient_scores(t.metrics, t.movies, t.snapshots)
-    )
-    q["top_viral_movies"] = on_tables(
-        lambda t: virality.top_viral_movies(t.metrics, t.movies, t.snapshots)
-    )
-    q["emerging_viral_trends"] = on_tables(
-        lambda t: virality.emerging_viral_trends(t.metrics, t.movies, t.snapshots)
-    )
-    q["vote_engagement_timeline"] = on_tables(
-        lambda t: virality.vote_engagement_timeline(t.snapshots, t.movies)
-    )
-    q["daily_viral_report"] = on_tables(
-        lambda t: virality.daily_viral_report(t.metrics, t.movies, t.snapshots)
-    )
-    q["viral_vs_nonviral"] = on_tables(
-        lambda t: virality.viral_vs_nonviral(t.metrics, t.movies, t.snapshots)
-    )
-    q["viral_breakouts"] = on_tables(
-        lambda t: virality.viral_breakouts(t.metrics, t.movies, t.snapshots, t.as_of)
-    )
-    q["genre_viral_performance"] = on_tables(
-        lambda t: virality.genre_viral_performance(t.metrics, t.movies, t.snapshots, t.as_of)
-    )
-    # F: documented examples
-    q["example_top10_gaining"] = on_tables(
-        lambda t: examples.example_top10_gaining(t.snapshots, t.movies, t.metrics)
-    )
-    q["example_top20_viral"] = on_tables(
-        lambda t: examples.example_top20_viral(t.metrics, t.movies, t.snapshots)
-    )
-    q["example_top10_emerging"] = on_tables(
-        lambda t: examples.example_top10_emerging(t.metrics, t.movies, t.snapshots)
-    )
+    # D, E: views and reports
+    for name, view in (views.VIEWS | views.REPORTS).items():
+        q[name] = on_tables(view)
+    # F: documented examples, as SQL over the registered views
+    for name, statement in views.EXAMPLES.items():
+        q[name] = on_views(statement)
     q["recent_updates_sample"] = on_tables(lambda t: examples.recent_updates_sample(t.movies))
     # G: data quality
     q["validate_movies"] = on_tables(lambda t: quality.validate_movies(t.movies))

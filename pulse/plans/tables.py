@@ -11,6 +11,7 @@ fixture plan, where Catalyst prunes columns down to the parquet scans.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,23 +56,36 @@ def fixture_tables(spark: SparkSession, sf_dir: str, th: Thresholds = DEFAULT_TH
 
 # -- stored tables ------------------------------------------------------------
 
-_STORED: dict[tuple[str, str], "Tables"] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, "StoredTables"]] = {}
 
 
-def _source_signature(spark: SparkSession, sf_dir: str) -> str:
-    """Size and modification time of the source files, so a change rebuilds the tables."""
+#: Source bytes that one bucket of the stored tables stands for. A bucket is
+#: one scan task and cannot be split.
+BUCKET_BYTES = 64 << 20
+
+
+def _source_files(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of every file of the source tables, folders included."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(sf_dir)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    parts = []
+    out = []
     for name in ("part", "lineitem"):
-        st = fs.getFileStatus(jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet"))
-        parts.append(f"{name}:{st.getLen()}:{st.getModificationTime()}")
-    return "|".join(parts)
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+        while files.hasNext():
+            st = files.next()
+            out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return sorted(out)
 
 
-def _bucket_count(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def _source_signature(spark: SparkSession, sf_dir: str) -> str:
+    """Changes when any source file does, so a change rebuilds the tables."""
+    return hashlib.sha256(repr(_source_files(spark, sf_dir)).encode()).hexdigest()
+
+
+def _bucket_count(spark: SparkSession, sf_dir: str) -> int:
+    """Buckets by the size of the source, at least one for each task slot."""
+    size = sum(length for _, length, _ in _source_files(spark, sf_dir))
+    return max(spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
 
 
 def _write_bucketed(df: DataFrame, name: str, path: str, order: list[str], buckets: int) -> DataFrame:
@@ -95,52 +109,74 @@ def _write_bucketed(df: DataFrame, name: str, path: str, order: list[str], bucke
     return df.sparkSession.table(name)
 
 
-def materialize(tables: Tables, root: str) -> Tables:
-    """Write the three tables under ``root`` and return Tables that read them back.
+class StoredTables(Tables):
+    """Tables written under ``root`` on first use and served from there.
 
     This is the load step of the published design (loads write tables, views
     read them); it also cuts the lineage, so a view plan starts at table scans
-    instead of re-deriving snapshots from the raw facts.
+    instead of re-deriving snapshots from the raw facts. A view that reads the
+    dimension only writes the dimension only.
 
     All three tables are bucketed by ``movie_id`` into the same number of
     buckets, and the fact tables are sorted by date inside each bucket. A
     per-title window or a join on ``movie_id`` then reads co-partitioned
-    buckets and needs no exchange; the bucket count follows
-    ``spark.sql.shuffle.partitions`` so buckets stay partition-sized as the
-    cluster configuration grows with the data.
+    buckets and needs no exchange.
     """
-    spark = tables.movies.sparkSession
-    n = _bucket_count(spark)
-    tag = root.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
-    mv = _write_bucketed(tables.movies, f"pulse_{tag}_movies", f"{root}/movies", ["movie_id"], n)
-    sn = _write_bucketed(
-        tables.snapshots, f"pulse_{tag}_snapshots", f"{root}/snapshots", ["movie_id", "snapshot_date"], n
-    )
-    # Metrics from the stored snapshot buckets: the raw facts are aggregated
-    # once, and the per-title windows read co-partitioned buckets.
-    mt = _write_bucketed(
-        aggregated_metrics(sn.select(*BASE_COLUMNS), None, tables.th),
-        f"pulse_{tag}_metrics",
-        f"{root}/metrics",
-        ["movie_id", "calculation_date"],
-        n,
-    )
-    stored = Tables(mv, sn.select(*BASE_COLUMNS), tables.as_of, tables.th)
-    stored.__dict__["snapshots"] = sn
-    stored.__dict__["metrics"] = mt
-    return stored
+
+    def __init__(self, source: Tables, root: str, buckets: int):
+        super().__init__(None, None, source.as_of, source.th)
+        self._source, self._root, self._buckets = source, root, buckets
+
+    def _store(self, df: DataFrame, name: str, order: list[str]) -> DataFrame:
+        tag = self._root.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+        return _write_bucketed(df, f"pulse_{tag}_{name}", f"{self._root}/{name}", order, self._buckets)
+
+    @cached_property
+    def movies(self) -> DataFrame:
+        return self._store(self._source.movies, "movies", ["movie_id"])
+
+    @cached_property
+    def snapshots(self) -> DataFrame:
+        return self._store(self._source.snapshots, "snapshots", ["movie_id", "snapshot_date"])
+
+    @cached_property
+    def base_snapshots(self) -> DataFrame:
+        return self.snapshots.select(*BASE_COLUMNS)
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        # From the stored snapshot buckets: the raw facts are aggregated once,
+        # and the per-title windows read co-partitioned buckets.
+        return self._store(aggregated_metrics(self.base_snapshots, None, self.th), "metrics", ["movie_id", "calculation_date"])
+
+    def drop(self) -> None:
+        """Remove the catalog entries and the files."""
+        spark = SparkSession.active()
+        tag = self._root.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+        for name in ("movies", "snapshots", "metrics"):
+            spark.sql(f"DROP TABLE IF EXISTS pulse_{tag}_{name}")
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._root)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def stored_fixture_tables(
     spark: SparkSession, sf_dir: str, th: Thresholds = DEFAULT_THRESHOLDS
-) -> Tables:
-    """Fixture tables written once per session and source folder, then served from storage."""
+) -> StoredTables:
+    """Fixture tables written once per session and source folder, then served from storage.
+
+    When the source has changed, the copies of its old state are removed.
+    """
     from pulse.session import scratch_path
 
-    key = (spark.sparkContext.applicationId, f"{sf_dir}|{_source_signature(spark, sf_dir)}|{th!r}")
-    if key not in _STORED:
-        _STORED[key] = materialize(fixture_tables(spark, sf_dir, th), scratch_path(spark, "tables"))
-    return _STORED[key]
+    session = (spark.sparkContext.applicationId, sf_dir, repr(th))
+    signature = _source_signature(spark, sf_dir)
+    held = _STORED.get(session)
+    if held is None or held[0] != signature:
+        if held is not None:
+            held[1].drop()
+        tables = StoredTables(fixture_tables(spark, sf_dir, th), scratch_path(spark, "tables"), _bucket_count(spark, sf_dir))
+        _STORED[session] = (signature, tables)
+    return _STORED[session][1]
 
 
 def warehouse_tables(wh, as_of: _dt.date, th: Thresholds = DEFAULT_THRESHOLDS) -> Tables:

@@ -67,3 +67,30 @@ def test_no_python_udfs_anywhere(spark, tables):
     df = virality.daily_viral_report(tables.metrics, tables.movies, tables.snapshots)
     p = plan(df)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_a_view_of_the_dimension_writes_no_fact_table(spark):
+    from pulse.operators.examples import recent_updates_sample
+    from pulse.plans import tables as tb
+
+    fresh = tb.StoredTables(tb.fixture_tables(spark, SF), tb_root(spark), 4)
+    recent_updates_sample(fresh.movies).collect()
+    ingest.tracked_ids(fresh.movies).collect()
+    assert set(fresh.__dict__) & {"movies", "snapshots", "metrics"} == {"movies"}
+    fresh.drop()
+
+
+def tb_root(spark):
+    from pulse.session import scratch_path
+
+    return scratch_path(spark, "tables")
+
+
+def test_registered_views_answer_sql(spark, tables):
+    from pulse.plans import views
+
+    names = views.register_views(spark, tables)
+    assert len(names) == 13
+    got = spark.sql("SELECT max(momentum_rank) AS r FROM top_gaining_movies").first()["r"]
+    assert 0 < got <= 100
+    assert spark.sql("SELECT count(*) AS n FROM movies").first()["n"] == tables.movies.count()
