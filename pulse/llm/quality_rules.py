@@ -201,7 +201,7 @@ def references(docs: DataFrame, p: QualityRules) -> dict[str, tuple[np.ndarray,
             counts = np.concatenate([x[len(x) // 2 :].view(np.int64) for x in data])
             values, at = np.unique(keys, return_inverse=True)
             sums = np.bincount(at, weights=counts).astype(np.int64)
-            top = np.lexsort((values, -sums))[: max(keep, NO_CLASS)]
+            top = np.lexsort((values.view(np.int64), -sums))[: max(keep, NO_CLASS)]
             n = len(top)
             first = np.zeros(n, np.int64)
             first[0] = sums.sum()  # the block's total goes with its first row
