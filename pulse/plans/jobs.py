@@ -81,10 +81,23 @@ def load_movies(wh: Warehouse, incoming: DataFrame) -> int:
     return n
 
 
+def _added_columns(rows: DataFrame) -> list[str]:
+    """Columns that the declared snapshot schema does not have (additive schema evolution)."""
+    declared = set(schemas.column_names(schemas.SNAPSHOTS))
+    return [c for c in rows.columns if c not in declared]
+
+
+def _with_added(derived: DataFrame, rows: DataFrame) -> DataFrame:
+    """Derived rows with the added columns of the rows that they come from."""
+    added = _added_columns(rows)
+    out = derived.select(*schemas.column_names(schemas.SNAPSHOTS))
+    return out.join(rows.select(*ingest.SNAPSHOT_KEY, *added), ingest.SNAPSHOT_KEY, "left") if added else out
+
+
 def load_snapshots(wh: Warehouse, incoming: DataFrame, snapshot_date: _dt.date) -> int:
     existing = wh.read(SNAPSHOTS, schemas.SNAPSHOTS)
     part = ingest.upsert_snapshots_partition(existing, incoming, snapshot_date)
-    part = part.select(*schemas.column_names(schemas.SNAPSHOTS))
+    part = part.select(*schemas.column_names(schemas.SNAPSHOTS), *_added_columns(part))
     return _observed_write(
         part,
         "snapshot_rows",
@@ -151,6 +164,7 @@ def _refresh_full(wh: Warehouse, from_date: _dt.date, th: Thresholds) -> dict[st
     history = base.join(active, "movie_id", "left_semi")
     metric_rows = aggregated_metrics(history, None, th).where(F.col("calculation_date") >= d)
     derived_rows = derived_metrics(history, th).where(F.col("snapshot_date") >= d)
+    derived_rows = _with_added(derived_rows, base.where(F.col("snapshot_date") >= d))
     marks = _tail_marks(wh)
     old_tail = wh.read(TAIL).select(*BASE_COLUMNS) if marks and marks[1] >= tail_depth(th) else None
     counts = _write_metric_and_derived(wh, metric_rows, derived_rows)
@@ -170,11 +184,12 @@ def _refresh_from_tail(
 ) -> dict[str, int]:
     """The newest partition only, from the tail table: O(#titles), not O(history)."""
     d = F.lit(run_date)
-    day = wh.read(SNAPSHOTS, schemas.SNAPSHOTS).where(F.col("snapshot_date") == d).select(*BASE_COLUMNS)
+    stored = wh.read(SNAPSHOTS, schemas.SNAPSHOTS).where(F.col("snapshot_date") == d)
+    day = stored.select(*BASE_COLUMNS)
     before = tail.where(F.col("snapshot_date") < d)
     history = before.join(day.select("movie_id"), "movie_id", "left_semi").unionByName(day)
     metric_rows = aggregated_metrics(history, None, th).where(F.col("calculation_date") == d)
-    derived_rows = derived_metrics(history, th).where(F.col("snapshot_date") == d)
+    derived_rows = _with_added(derived_metrics(history, th).where(F.col("snapshot_date") == d), stored)
     new_tail = build_tail(before.unionByName(day), th)
     return _write_metric_and_derived(
         wh, metric_rows, derived_rows, before_derived=lambda: _write_tail(wh, new_tail, run_date, th)
@@ -240,12 +255,13 @@ def load_and_refresh(
         return counts
     d = F.lit(run_date)
     existing = wh.read(SNAPSHOTS, schemas.SNAPSHOTS)
-    day = ingest.upsert_snapshots_partition(existing, incoming, run_date).select(*BASE_COLUMNS)
+    upserted = ingest.upsert_snapshots_partition(existing, incoming, run_date)
+    day = upserted.select(*BASE_COLUMNS)
     before = tail.where(F.col("snapshot_date") < d)
     history = before.join(day.select("movie_id"), "movie_id", "left_semi").unionByName(day)
     derived_rows = derived_metrics(history, th).where(F.col("snapshot_date") == d)
     # The day's rows read the partition they replace: stage them first.
-    stage = wh.stage(derived_rows.select(*schemas.column_names(schemas.SNAPSHOTS)), "day")
+    stage = wh.stage(_with_added(derived_rows, upserted), "day")
     n_snap = _observed_write(
         stage,
         "snapshot_rows",

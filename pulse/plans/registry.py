@@ -179,6 +179,15 @@ def _stored_dimension(fx: Fixture) -> DataFrame:
     return wh.read(jobs.MOVIES).select(*schemas.column_names(schemas.MOVIES))
 
 
+def _schema_evolution_load(fx: Fixture) -> DataFrame:
+    """The daily load with a new field: stored for the new rows, NULL for the old."""
+    wh = _seeded_warehouse(fx, "wh-evolve")
+    details = ingest.dedupe_keep_last(fx.raw_details())
+    rows = ingest.transform_snapshots(details, RUN_DATE, LOADED_AT)
+    jobs.load_and_refresh(wh, rows.join(details.select(F.col("id").alias("movie_id"), "revenue"), "movie_id"), RUN_DATE)
+    return wh.read(jobs.SNAPSHOTS).select(*metrics.BASE_COLUMNS, "revenue")
+
+
 def _job_weekly(fx: Fixture) -> DataFrame:
     wh = _seeded_warehouse(fx, "wh-weekly")
     jobs.run_weekly(wh, landed_for_jobs(fx), RUN_DATE, LOADED_AT)
@@ -258,6 +267,7 @@ def queries() -> dict[str, Query]:
     q["job_daily"] = on_fixture(_job_daily)
     q["rejected_records"] = on_fixture(_rejected_records)
     q["job_after_failed_load"] = on_fixture(_job_after_failed_load)
+    q["schema_evolution_load"] = on_fixture(_schema_evolution_load)
     q["stored_dimension"] = on_fixture(_stored_dimension)
     q["stream_metrics"] = on_fixture(_stream_metrics)
     q["job_weekly"] = on_fixture(_job_weekly)

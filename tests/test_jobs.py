@@ -301,3 +301,15 @@ def test_keep_last_is_the_same_every_time(spark):
     df = spark.createDataFrame(rows, "id long, arrival_seq long, title string")
     got = {ingest.dedupe_keep_last(df.repartition(n)).first()["title"] for n in (1, 3, 8)}
     assert len(got) == 1
+
+
+def test_a_new_field_goes_through_the_load_and_later_refreshes(spark):
+    w = wh(spark)
+    hist = daily_series(1, "2024-01-01", range(1, 6), range(10, 60, 10))
+    jobs.seed_warehouse(w, movies(spark, [(1, "a", None)]), base_snapshots(spark, hist))
+    new = base_snapshots(spark, [(1, "2024-01-06", 9.0, 90)]).withColumn("revenue", F.lit(7).cast("long"))
+    jobs.load_and_refresh(w, new, D("2024-01-06"))
+    jobs.load_and_refresh(w, base_snapshots(spark, [(1, "2024-01-07", 9.0, 95)]), D("2024-01-07"))
+    jobs.load_and_refresh(w, base_snapshots(spark, [(2, "2024-01-03", 9.0, 95)]), D("2024-01-03"))  # a late date
+    got = {(r.movie_id, str(r.snapshot_date)): r.revenue for r in w.read(jobs.SNAPSHOTS).collect()}
+    assert got.pop((1, "2024-01-06")) == 7 and set(got.values()) == {None} and len(got) == 7
