@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,13 +13,20 @@ from pyspark.sql import functions as F
 
 from pulse.session import scratch_path
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
 #: Rows and bytes that one Arrow batch may hold: a task keeps one batch in memory.
 BATCH_ROWS = 2000
 BATCH_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound the Arrow batches of this session (long texts would otherwise come 10,000 at a time)."""
+    """Bound the Arrow batches of this session (long texts would otherwise come 10,000 at a time),
+    and let Python workers find this package where the driver found it (a cluster whose nodes do
+    not share that folder gets it with ``--py-files``)."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), ROOT) if x)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 

@@ -273,6 +273,7 @@ def fit(train: DataFrame, p: LanguageId = LanguageId()) -> Fitted | None:
     Which documents calibrate follows from their texts' hash.
     """
     spark = train.sparkSession
+    prepare(spark)
     train = train.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
     held = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(p.calibrate_every)) == 0
     counts = stored(gram_counts(train.where(~held), p), "language-grams")
