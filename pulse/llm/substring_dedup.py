@@ -67,20 +67,20 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - at, lengths) + np.arange(int(lengths.sum()))
 
 
-def _runs(doc: np.ndarray, start: np.ndarray, same: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(first places, lengths) of maximal stretches of neighbouring windows of one document
-    (with one value of ``same``)."""
-    if not len(doc):
+def _runs(start: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first places, lengths) of maximal stretches of neighbouring windows with one value of
+    each of ``same``."""
+    if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    cut = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)
-    if same is not None:
-        cut |= same[1:] != same[:-1]
+    cut = start[1:] != start[:-1] + 1
+    for x in same:
+        cut |= x[1:] != x[:-1]
     first = np.flatnonzero(np.concatenate([[True], cut]))
-    return first, np.diff(np.append(first, len(doc)))
+    return first, np.diff(np.append(first, len(start)))
 
 
-def _pack(block, doc, start, length, letters, at):
-    """Rows (block, data) of runs: their number and their letters' number, doc, start, length, letters."""
+def _pack(block, doc, mark, start, length, letters, at):
+    """Rows (block, data) of runs: their number and their letters' number, doc, mark, start, length, letters."""
     order = np.argsort(block, kind="stable")
     block = block[order]
     cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
@@ -88,7 +88,7 @@ def _pack(block, doc, start, length, letters, at):
     for a, b in zip(cut, np.append(cut[1:], len(block))):
         o = order[a:b]
         own = letters[ragged(at[o], length[o])] if letters is not None else np.zeros(0, U64)
-        data.append(b"".join([np.array([len(o), len(own)], np.int64).tobytes(), doc[o].tobytes(), start[o].tobytes(), length[o].tobytes(), own.tobytes()]))
+        data.append(b"".join([np.array([len(o), len(own)], np.int64).tobytes(), doc[o].tobytes(), mark[o].tobytes(), start[o].tobytes(), length[o].tobytes(), own.tobytes()]))
         ids.append(int(block[a]))
         size += len(data[-1])
         if size > 8 << 20:
@@ -101,7 +101,7 @@ def _pack(block, doc, start, length, letters, at):
 def _unpack(data):
     n, k = np.frombuffer(data, np.int64, 2)
     at, out = 16, []
-    for kind, count in ((np.int64, n), (np.int64, n), (np.int64, n), (U64, k)):
+    for kind, count in ((np.int64, n), (np.int64, n), (np.int64, n), (np.int64, n), (U64, k)):
         out.append(np.frombuffer(data, kind, int(count), at))
         at += 8 * int(count)
     return out
@@ -113,28 +113,30 @@ def _routed(docs: DataFrame, p: SubstringDedup, n_blocks: int) -> DataFrame:
     width, k, flush = p.window, p.route_words, p.flush
 
     def emit(held):
-        doc, start, h, route = (np.concatenate(x) for x in zip(*held))
+        doc, mark, start, h, route = (np.concatenate(x) for x in zip(*held))
         if (doc[1:] < doc[:-1]).any():
             o = np.argsort(doc, kind="stable")
-            doc, start, h, route = doc[o], start[o], h[o], route[o]
-        o = np.argsort(h, kind="stable")
+            doc, mark, start, h, route = doc[o], mark[o], start[o], h[o], route[o]
+        # by hash, then doc_id and start: rows that share a doc_id may stand in any order
+        o = np.lexsort((start, doc, h)) if (np.diff(start)[doc[1:] == doc[:-1]] <= 0).any() else np.argsort(h, kind="stable")
         s = h[o]
         new = np.concatenate([[True], s[1:] != s[:-1]])
         least = o[np.flatnonzero(new)][np.cumsum(new) - 1]  # the earliest of each window's equals
         repeat = np.empty(len(h), dtype=bool)
         repeat[o] = (doc[o] != doc[least]) | (start[o] != start[least])
         del o, s, new, least
-        d, st = doc[repeat], start[repeat]
-        at, n = _runs(d, st)
-        yield from _pack(n_blocks + (at % n_blocks).astype(np.int32), d[at], st[at], n, None, at)
-        d, st, x, r = doc[~repeat], start[~repeat], h[~repeat], route[~repeat]
-        at, n = _runs(d, st, r)
-        yield from _pack((mix(r[at]) % U64(n_blocks)).astype(np.int32), d[at], st[at], n, x, at)
+        d, m, st = doc[repeat], mark[repeat], start[repeat]
+        at, n = _runs(st, d, m)
+        yield from _pack(n_blocks + (at % n_blocks).astype(np.int32), d[at], m[at], st[at], n, None, at)
+        d, m, st, x, r = doc[~repeat], mark[~repeat], start[~repeat], h[~repeat], route[~repeat]
+        at, n = _runs(st, d, m, r)
+        yield from _pack((mix(r[at]) % U64(n_blocks)).astype(np.int32), d[at], m[at], st[at], n, x, at)
 
     def run(batches):
         held, size = [], 0
         for block in blocks(batches, "text"):
             ids = np.asarray(block.rows.column(0).fill_null(LAST))
+            marks = block.rows.column(1).to_numpy()
             w = find_words(block.buf, block.off)
             ok = gram_starts(w.first, width)
             if not ok.any():
@@ -143,7 +145,7 @@ def _routed(docs: DataFrame, p: SubstringDedup, n_blocks: int) -> DataFrame:
             route = sliding_min(gram_hashes(w.hash, k), width - k + 1)[ok]
             of = w.doc()[: len(ok)][ok]
             start = np.flatnonzero(ok) - w.first[of]
-            held.append((ids[of], start, h, route))
+            held.append((ids[of], marks[of], start, h, route))
             size += len(h)
             if size >= flush:
                 yield from emit(held)
@@ -151,7 +153,7 @@ def _routed(docs: DataFrame, p: SubstringDedup, n_blocks: int) -> DataFrame:
         if held:
             yield from emit(held)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, BLOCK_DDL)
+    return docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text"), "text").mapInArrow(run, BLOCK_DDL)
 
 
 class SuffixAutomaton:
@@ -228,14 +230,16 @@ def repeated_letters(sequences: list[list[int]]) -> list[list[bool]]:
     return out
 
 
-_SPAN = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int64())])
+_SPAN_DDL = "doc_id bigint, mark bigint, start bigint, n bigint"
+_SPAN = pa.schema([(x.split()[0], pa.int64()) for x in _SPAN_DDL.split(", ")])
 
 
 def _spans(routed: DataFrame, n_blocks: int) -> DataFrame:
-    """(doc_id, start, n): n neighbouring windows from ``start`` on are repeats."""
+    """(doc_id, mark, start, n): n neighbouring windows from ``start`` on are repeats; ``mark``
+    tells the texts of rows that share a doc_id apart."""
 
     def shard(parts):
-        doc, start, length, letters = (np.concatenate(x) for x in zip(*parts))
+        doc, mark, start, length, letters = (np.concatenate(x) for x in zip(*parts))
         values, code, count = np.unique(letters, return_inverse=True, return_counts=True)
         del values
         again = count[code] > 1
@@ -246,8 +250,8 @@ def _spans(routed: DataFrame, n_blocks: int) -> DataFrame:
         place = ragged(at[o], length[o])
         place = place[again[place]]  # letters that occur twice, in the order of the corpus
         run = np.repeat(np.arange(len(doc)), length)[place]
-        d, s = doc[run], start[run] + place - at[run]
-        first, n = _runs(d, s)
+        d, m, s = doc[run], mark[run], start[run] + place - at[run]
+        first, n = _runs(s, d, m)
         code = code[place].tolist()
         found = repeated_letters([code[a : a + k] for a, k in zip(first.tolist(), n.tolist())])
         hit = np.fromiter((x for f in found for x in f), bool, len(code))
@@ -256,9 +260,9 @@ def _spans(routed: DataFrame, n_blocks: int) -> DataFrame:
         c = np.asarray(code)
         earliest[c[::-1]] = np.arange(len(c))[::-1]
         hit &= (d != d[earliest[c]]) | (s != s[earliest[c]])
-        d, s = d[hit], s[hit]
-        first, n = _runs(d, s)
-        yield pa.record_batch([pa.array(d[first]), pa.array(s[first]), pa.array(n)], schema=_SPAN)
+        d, m, s = d[hit], m[hit], s[hit]
+        first, n = _runs(s, d, m)
+        yield pa.record_batch([pa.array(d[first]), pa.array(m[first]), pa.array(s[first]), pa.array(n)], schema=_SPAN)
 
     def run(batches):
         now, held = None, []
@@ -266,7 +270,7 @@ def _spans(routed: DataFrame, n_blocks: int) -> DataFrame:
             for number, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 part = _unpack(data.as_buffer())
                 if number >= n_blocks:
-                    yield pa.record_batch([pa.array(x) for x in part[:3]], schema=_SPAN)
+                    yield pa.record_batch([pa.array(x) for x in part[:4]], schema=_SPAN)
                     continue
                 if number != now:
                     if held:
@@ -276,17 +280,18 @@ def _spans(routed: DataFrame, n_blocks: int) -> DataFrame:
         if held:
             yield from shard(held)
 
-    return to_blocks(routed, SUB).mapInArrow(run, "doc_id bigint, start bigint, n bigint")
+    return to_blocks(routed, SUB).mapInArrow(run, _SPAN_DDL)
 
 
 def repeated_spans(docs: DataFrame, p: SubstringDedup = SubstringDedup()) -> DataFrame:
-    """(doc_id, spans): for each document with repeats, its runs (start, n) of repeated windows.
-    A null doc_id stands after all others; rows that share a doc_id are one document."""
+    """(doc_id, mark, spans): for each document with repeats, its runs (start, n) of repeated
+    windows; ``mark`` is ``xxhash64(text)``. A null doc_id stands after all others. In the order,
+    rows that share a doc_id are one document, but each has its own text."""
     prepare(docs.sparkSession)
     n_blocks = SUB * max(1, n_parts(docs.sparkSession) // 2)
     spans = _spans(_routed(docs, p, n_blocks), n_blocks)
     doc_id = F.when(F.col("doc_id") != LAST, F.col("doc_id"))
-    return spans.groupBy(doc_id.alias("doc_id")).agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    return spans.groupBy(doc_id.alias("doc_id"), "mark").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, p: SubstringDedup = SubstringDedup()) -> DataFrame:
@@ -299,8 +304,9 @@ def remove_repeats(docs: DataFrame, p: SubstringDedup = SubstringDedup()) -> Dat
     width = p.window
     docs = docs.drop("n_words", "n_removed")
     columns = docs.columns
-    spans = stored(repeated_spans(docs, p), "repeated-spans").withColumnsRenamed({"doc_id": "span_doc_id", "spans": "repeat_spans"})
-    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("span_doc_id")), "left").select(*columns, "repeat_spans")
+    spans = stored(repeated_spans(docs, p), "repeated-spans").withColumnsRenamed({"doc_id": "span_doc_id", "mark": "span_mark", "spans": "repeat_spans"})
+    same = F.col("doc_id").eqNullSafe(F.col("span_doc_id")) & (F.xxhash64("text") == F.col("span_mark"))
+    joined = docs.join(spans, same, "left").select(*columns, "repeat_spans")
     text_at = columns.index("text")
 
     def cut(block):
