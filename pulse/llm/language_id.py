@@ -42,7 +42,7 @@ class LanguageId:
     #: Share of calibrating documents that rejection may lose.
     reject_share: float = 0.001
     #: Characters that a task gathers before it counts.
-    flush: int = 8_000_000
+    flush: int = 3_000_000
     temperatures: tuple = (0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1.0)
 
 
@@ -342,11 +342,10 @@ def identify(docs: DataFrame, fitted: Fitted | None) -> DataFrame:
             cost, count = scorer.entropies(block)
             for i in np.flatnonzero(count == 0).tolist():
                 cost[i], count[i] = _short(block.text(i), f.model)
-            count[~np.array(block.rows.column(letter_at))] = 0
+            none = ~np.array(block.rows.column(letter_at))
             best = cost.argmin(axis=1)
             share = softmax(cost, f.temperature)[np.arange(len(best)), best]
             low = cost[np.arange(len(best)), best]
-            none = count == 0
             out = [
                 pa.array(np.where(none, UNKNOWN, langs[best]).tolist(), pa.string()),
                 pa.array(np.where(none, 0.0, share)),
