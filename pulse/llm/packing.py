@@ -26,8 +26,8 @@ from pyspark.sql.window import Window
 from pulse.llm.frames import n_parts, prepare, stored
 from pulse.llm.text import SPACE, U64, Block, _range_hash, blocks
 
-#: Distinct words that a worker remembers with their ids before it starts anew.
-REMEMBER = 400_000
+#: Distinct words that a worker remembers with their ids before it starts anew (about 60 bytes each).
+REMEMBER = 800_000
 
 #: Strings that end the search for white space outside ASCII: texts with one of
 #: these (as UTF-8 bytes) are tokenised whole.
@@ -60,17 +60,18 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.keys, self.place = np.zeros(0, U64), np.zeros(0, np.int32)  # sorted hashes, and where their ids are listed
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
         self.start = np.zeros(1 << 14, dtype=np.int64)
-        self.count = np.zeros(1 << 14, dtype=np.int64)
+        self.count = np.zeros(1 << 14, dtype=np.int32)
         self.used = 0
 
-    def _learn(self, hashes: list[int], parts: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, parts: list[str]) -> None:
+        """Tokenise parts that are not known (``hashes`` sorted)."""
         found = [e.ids for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
-        lengths = np.array([len(x) for x in found], dtype=np.int64)
-        flat = np.array([y for x in found for y in x], dtype=np.uint32)
-        n = len(self.known)
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter((y for x in found for y in x), np.uint32, int(lengths.sum()))
+        n = len(self.keys)
         while len(self.ids) < self.used + len(flat):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while len(self.start) < n + len(parts):
@@ -79,7 +80,24 @@ class WordIds:
         self.start[n : n + len(parts)] = self.used + np.cumsum(lengths) - lengths
         self.count[n : n + len(parts)] = lengths
         self.used += len(flat)
-        self.known.update(zip(hashes, range(n, n + len(hashes))))
+        at = np.searchsorted(self.keys, hashes)
+        self.keys = np.insert(self.keys, at, hashes)
+        self.place = np.insert(self.place, at, np.arange(n, n + len(parts), dtype=np.int32))
+
+    def _places(self, values: np.ndarray, part_of) -> np.ndarray:
+        """Where the ids of each of the (sorted) hashes are listed; unknown ones are learnt."""
+        for _ in range(2):
+            at = np.searchsorted(self.keys, values)
+            new = np.ones(len(values), dtype=bool)
+            if len(self.keys):
+                new = self.keys[np.minimum(at, len(self.keys) - 1)] != values
+            if not new.any():
+                return self.place[at]
+            if len(self.keys) and len(self.keys) + int(new.sum()) > REMEMBER:
+                self.forget()
+                new[:] = True
+            self._learn(values[new], part_of(np.flatnonzero(new)))
+        return self.place[np.searchsorted(self.keys, values)]
 
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, each document's first place in them; n + 1) of a block."""
@@ -101,15 +119,13 @@ class WordIds:
             s, e, doc = s[keep], e[keep], doc[keep]
         h = self._hashes(buf, s, e)
         values, first, code = np.unique(h, return_index=True, return_inverse=True)
-        values = values.tolist()
-        if len(self.known) + len(values) > REMEMBER:
-            self.forget()
-        new = [i for i, v in enumerate(values) if v not in self.known]
-        if new:
-            at = first[new]
-            self._learn([values[i] for i in new], [data[a:b].decode("utf-8", "replace") for a, b in zip(s[at].tolist(), e[at].tolist())])
-        place = np.fromiter(map(self.known.__getitem__, values), np.int64, len(values))[code]
-        count = self.count[place]
+
+        def part_of(which):
+            at = first[which]
+            return [data[a:b].decode("utf-8", "replace") for a, b in zip(s[at].tolist(), e[at].tolist())]
+
+        place = self._places(values, part_of)[code]
+        count = self.count[place].astype(np.int64)
         begin_at = np.cumsum(count) - count
         ids = self.ids[np.repeat(self.start[place] - begin_at, count) + np.arange(int(count.sum()))]
         per_doc = np.bincount(doc, weights=count, minlength=n).astype(np.int64)
