@@ -17,7 +17,7 @@ ROOT = str(Path(__file__).resolve().parents[2])
 
 #: Rows and bytes that one Arrow batch may hold: a task keeps one batch in memory.
 BATCH_ROWS = 2000
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:

@@ -45,7 +45,7 @@ from pulse.llm.frames import BLOCK_DDL, BLOCK_SCHEMA, grouped_blocks, n_parts, p
 from pulse.llm.text import U64, Block, blocks, find_words, gram_hashes, mix, sequence_hash
 
 SUB = 4  # blocks per partition: a task holds one at a time
-FLUSH = 1_500_000  # shingles gathered in a task before they are combined
+FLUSH = 800_000  # shingles gathered in a task before they are combined
 
 
 @dataclass(frozen=True)

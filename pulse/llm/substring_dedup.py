@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from pulse.llm.frames import BLOCK_DDL, BLOCK_SCHEMA, n_parts, prepare, stored, to_blocks
 from pulse.llm.text import U64, blocks, find_words, gram_hashes, gram_starts, mix
 
-SUB = 4
+SUB = 8  # blocks per partition: a task holds one at a time
 LAST = np.iinfo(np.int64).max  # where a null doc_id stands in the order
 
 
@@ -48,7 +48,7 @@ class SubstringDedup:
     #: Words of the runs whose smallest hash routes a window; fewer than ``window``.
     route_words: int = 8
     #: Windows that a task compares among themselves before they are shuffled.
-    flush: int = 2_000_000
+    flush: int = 700_000
 
 
 def sliding_min(a: np.ndarray, width: int) -> np.ndarray:

@@ -19,8 +19,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 6 << 20
-CHUNK_BYTES = 1 << 21
+BLOCK_BYTES = 3 << 20
+CHUNK_BYTES = 1 << 20
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1  # byte polynomial
