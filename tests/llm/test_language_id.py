@@ -83,3 +83,25 @@ def test_nothing_to_learn_and_empty_table(spark):
     assert identify(docs, None).first()["lang_pred"] == "und"
     fitted = fit(spark.createDataFrame([(1, "aa", "ba bo ka ti ba bo")], "doc_id bigint, lang string, text string"), LanguageId(calibrate_every=1000))
     assert identify(docs.limit(0), fitted).collect() == []
+
+
+def test_every_counted_gram_is_in_the_model(spark, spoken):
+    """Whatever bound the shared costs have, a text's entropy is that of the model of all counts."""
+    train = [(lang, t) for i, lang, t in spoken if i % 4 != 2]
+    counts = {}
+    for lang, t in train:
+        t = " " + t
+        for i in range(len(t) - 3):
+            held = counts.setdefault(lang, {})
+            held[t[i : i + 4]] = held.get(t[i : i + 4], 0) + 1
+    m = Model(counts, 4)
+    texts = [t for i, _, t in spoken if i % 4 == 2] + ["ba bo zuxi qqq ñe", "zzzz yyyy"]
+    want = Scorer(m).entropies(_block(texts))[0].min(axis=1)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    train = spark.createDataFrame(train, "lang string, text string")
+    for most in (30, 400_000):
+        fitted = fit(train, LanguageId(most_grams=most, calibrate_every=10**9))
+        rows = identify(docs, fitted).collect()
+        assert sorted(r["doc_id"] for r in rows) == list(range(len(texts)))
+        got = {r["doc_id"]: r["cross_entropy"] for r in rows}
+        assert np.allclose([got[i] for i in range(len(texts))], want, atol=1e-4)
