@@ -15,8 +15,9 @@ whether it counts.
 
 A text gets the language with the lowest cross-entropy per character. The
 score is the winner's share after a softmax whose temperature is fitted on
-training documents left out of the counts; the same documents give the
-cross-entropy above which the operator can reject (``rejected``).
+a part of the training documents under a model of the others; the same
+documents give the cross-entropy above which the operator can reject
+(``rejected``). Then their counts join the others' in the final model.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ class LanguageId:
     #: n-grams whose costs every task holds, and the bytes of these costs; the others' are joined.
     most_grams: int = 400_000
     shared_bytes: int = 64 << 20
-    #: One training document in so many calibrates instead of being counted.
+    #: One training document in so many calibrates; its n-grams are counted after that.
     calibrate_every: int = 20
     #: Share of calibrating documents that rejection may lose.
     reject_share: float = 0.001
@@ -556,18 +557,32 @@ class Fitted:
 def fit(train: DataFrame, p: LanguageId = LanguageId()) -> Fitted | None:
     """Models from ``train`` (lang, text), all documents with a non-null lang; None without any.
 
-    Which documents calibrate follows from their texts' hash.
+    Which documents calibrate follows from their texts' hash. Temperature and
+    limit are fitted on them under a model of the other documents; the final
+    model counts both.
     """
     spark = train.sparkSession
     prepare(spark)
     train = train.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
     held = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(p.calibrate_every)) == 0
     counts = stored(gram_counts(train.where(~held), p), "language-grams")
+    late = stored(gram_counts(train.where(held), p), "language-held-grams")
     model = tables(counts, p.order)
-    if model is None:
-        return None
-    known = common(model, p)
-    shared = spark.sparkContext.broadcast(known)
+    if late.isEmpty():  # nothing to calibrate on
+        return None if model is None else Fitted(model, common(model, p), *UNCALIBRATED)
+    fitted = UNCALIBRATED if model is None else _calibrate(train.where(held), model, p)
+    whole = stored(counts.unionByName(late).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-all-grams")
+    final = tables(whole, p.order)
+    return Fitted(final, common(final, p), *fitted)
+
+
+#: Temperature and limit without a text to fit them on.
+UNCALIBRATED = (0.1, float("inf"))
+
+
+def _calibrate(held: DataFrame, model: Tables, p: LanguageId) -> tuple[float, float]:
+    """(temperature, limit) from documents that ``model`` has not counted; those of a language it lacks tell nothing."""
+    shared = held.sparkSession.sparkContext.broadcast(common(model, p))
     temperatures, langs = np.array(p.temperatures), model.langs
 
     def run(batches):
@@ -580,13 +595,13 @@ def fit(train: DataFrame, p: LanguageId = LanguageId()) -> Fitted | None:
                 loss = np.stack([-np.log(np.maximum(softmax(cost, t)[np.arange(len(truth)), truth], 1e-9)) for t in temperatures], axis=1)
                 yield pa.record_batch([pa.array(cost.min(axis=1)), pa.array(list(loss), pa.list_(pa.float64()))], names=["cost", "loss"])
 
-    told = _scored(train.where(held).withColumn("has_letter_", F.lit(True)), model, shared, ["lang"], False, "language-held")
+    told = _scored(held.withColumn("has_letter_", F.lit(True)), model, shared, ["lang"], False, "language-held")
     told = told.mapInArrow(run, "cost double, loss array<double>")
     r = told.agg(F.percentile_approx("cost", 1 - p.reject_share, 10_000).alias("limit"), *(F.avg(F.col("loss")[i]).alias(f"t{i}") for i in range(len(temperatures)))).first()
     losses = [r[f"t{i}"] for i in range(len(temperatures))]
     if losses[0] is None:  # too few documents to calibrate
-        return Fitted(model, known, 0.1, float("inf"))
-    return Fitted(model, known, float(temperatures[int(np.argmin(losses))]), float(r["limit"]))
+        return UNCALIBRATED
+    return float(temperatures[int(np.argmin(losses))]), float(r["limit"])
 
 
 def softmax(cost: np.ndarray, temperature: float) -> np.ndarray:

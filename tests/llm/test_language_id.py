@@ -105,3 +105,11 @@ def test_every_counted_gram_is_in_the_model(spark, spoken):
         assert sorted(r["doc_id"] for r in rows) == list(range(len(texts)))
         got = {r["doc_id"]: r["cross_entropy"] for r in rows}
         assert np.allclose([got[i] for i in range(len(texts))], want, atol=1e-4)
+
+
+def test_calibrating_texts_are_counted_too(spark):
+    """A language whose only texts calibrate is learned."""
+    train = spark.createDataFrame([("aa", "ba bo ka ti ba bo"), ("bb", "zu xi wo zu xi")], "lang string, text string")
+    fitted = fit(train, LanguageId(calibrate_every=1))
+    docs = spark.createDataFrame([(1, "ba bo ka"), (2, "zu xi wo")], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in identify(docs, fitted).collect()} == {1: "aa", 2: "bb"}
