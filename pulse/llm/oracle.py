@@ -79,10 +79,92 @@ FROM words LEFT JOIN kept USING (doc_id)
 """
 
 
+def _edit(way: str, cost: str, letter: str) -> str:
+    """A way (nine digits of cost, then the audit) with one more edit; null stays null."""
+    return f"lpad((left({way}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({way}, 10) || '{letter}'"
+
+
+def _least(*ways: str) -> str:
+    return f"least({', '.join(ways)})"
+
+
+#: Ways before a turn, insertions done: to a user turn, and to an assistant turn.
+_USER = _least("w.u", *(_edit(x, "5", "I") for x in ("w.z", "w.s", "w.a")))
+_ASSISTANT = _least("w.a", _edit("o.u", "5", "I"))
+
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE dealt AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)::BIGINT)),
+           lambda r, b: list_reduce(list_prepend(xor(r, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+             lambda h, z: xor(h >> 1, CASE WHEN h % 2 = 1 THEN 3988292384 ELSE 0 END)))) % 20 AS lot
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role,
+         CASE lot WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE lot WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM dealt)),
+placed AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, E' 	
+') AS shown,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role)::VARCHAR || ':' || role || text)) AS i
+  FROM damaged),
+turns AS (
+  SELECT *, shown = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         right(shown, 1) NOT IN ('.', '!', '?') AS cut, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+todo AS (
+  SELECT conv_id, i, initial, blank OR again AS must_go, CASE WHEN cut THEN 5 ELSE 0 END AS more FROM turns),
+ways AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, repeat('0', 9) AS z, NULL::VARCHAR AS s, NULL::VARCHAR AS u, NULL::VARCHAR AS a FROM conversations
+  UNION ALL
+  SELECT conv_id, i, {_edit("z", "2", "D")},
+         least({_edit("s", "2", "D")}, CASE WHEN NOT must_go AND initial = 's' THEN {_edit("z", "more", "K")} END),
+         least({_edit("u", "2", "D")},
+               CASE WHEN NOT must_go THEN least({_edit("z", "1 + more", "R")}, {_edit("s", "1 + more", "R")}, {_edit("a", "1 + more", "R")}) END,
+               CASE WHEN NOT must_go AND initial = 'u' THEN least({_edit("z", "more", "K")}, {_edit("s", "more", "K")}, {_edit("a", "more", "K")}) END),
+         least({_edit("a", "2", "D")}, CASE WHEN NOT must_go THEN {_edit("u", "1 + more", "R")} END,
+               CASE WHEN NOT must_go AND initial = 'a' THEN {_edit("u", "more", "K")} END)
+  FROM (SELECT o.*, {_ASSISTANT.replace("w.a", "o.a0")} AS a
+        FROM (SELECT t.*, w.z, w.s, w.a AS a0, {_USER} AS u
+              FROM ways w JOIN todo t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i + 1) o)),
+ends AS (
+  SELECT o.conv_id, least(o.z, {_ASSISTANT.replace("w.a", "o.a0")}) AS way
+  FROM (SELECT w.conv_id, w.z, w.a AS a0, {_USER} AS u,
+               row_number() OVER (PARTITION BY w.conv_id ORDER BY w.i DESC) AS k
+        FROM ways w) o
+  WHERE k = 1),
+audits AS (SELECT conv_id, left(way, 9)::BIGINT AS cost, substr(way, 10) AS audit FROM ends),
+letters AS (
+  SELECT conv_id, j, letter, sum((letter <> 'I')::INT) OVER w AS i, sum((letter <> 'D')::INT) OVER w AS o
+  FROM (SELECT conv_id, unnest(range(1, len(audit) + 1)) AS j, unnest(string_split(audit, '')) AS letter FROM audits WHERE audit <> '')
+  WINDOW w AS (PARTITION BY conv_id ORDER BY j)),
+left_over AS (
+  SELECT l.conv_id, l.j, l.letter, l.o, t.role, CASE WHEN l.letter = 'I' THEN '' ELSE t.text END AS text,
+         max((l.o = 1 AND l.letter = 'K' AND t.initial = 's')::INT) OVER (PARTITION BY l.conv_id) AS system
+  FROM letters l LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM l.conv_id AND t.i = l.i
+  WHERE l.letter <> 'D'),
+repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (o - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j) AS lines
+  FROM left_over GROUP BY conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+         count(*) FILTER (cut AND NOT again AND NOT blank) AS truncated,
+         count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM audits e LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_url_filter": URL_FILTER,
         "op3_ngram_jaccard": JACCARD,
         "op6_block_ann": NEAREST,
         "op9_substring_dedup": SUBSTRING_DEDUP,
+        "op11_conversation_repair": CONVERSATION_REPAIR,
     }

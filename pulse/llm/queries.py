@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.llm.block_ann import nearest, usable
+from pulse.llm.conversation_repair import damage, repair, reports
 from pulse.llm.frames import stored, table
 from pulse.llm.jaccard_join import jaccard_components
 from pulse.llm.language_id import fit as fit_languages
@@ -92,6 +93,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), Packing(tokenizer_path()))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports(repair(damage(table(spark, sf_dir, "conversations")), copies="copies"))
+
+
 def queries():
     """Every query of this subpackage by name."""
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}

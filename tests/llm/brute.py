@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import defaultdict
+from functools import cache
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = {c: c + 32 for c in range(65, 91)}
@@ -112,3 +113,59 @@ def shares(sizes, weights, budget, most):
 
 def crc_remainder(doc_id, n):
     return zlib.crc32(str(doc_id).encode()) % n
+
+
+def repair_conversation(rows):
+    """rows: [(turn, role, text)] after damage, in order -> the report's values, and the repaired turns.
+
+    Built from the last turn to the first, on (cost, audit) pairs.
+    """
+    todo, seen, counts = [], set(), {"blank": 0, "duplicate": 0, "truncated": 0}
+    for _, role, text in rows:
+        shown = text.strip(" \t\n\x0b\x0c\r")
+        fault = "blank" if not shown else "duplicate" if (role, text) in seen else "truncated" if shown[-1] not in ".!?" else None
+        seen.add((role, text))
+        if fault:
+            counts[fault] += 1
+        todo.append((role[:1], fault))
+
+    def after(state, initial):
+        """What stands last once a turn of this initial follows; None if it cannot."""
+        allowed = {"": "su", "s": "u", "u": "a", "a": "u"}[state]
+        return initial if initial and initial in allowed else None
+
+    @cache
+    def best(i, state, inserted):
+        ways = []
+        if i == len(todo) and state in ("", "a"):
+            ways.append((0, "", ()))
+        if i < len(todo):
+            initial, fault = todo[i]
+            role, text = rows[i][1:]
+            c, audit, turns = best(i + 1, state, 0)
+            ways.append((c + 2, "D" + audit, turns))
+            if fault not in ("blank", "duplicate"):
+                more = 5 if fault else 0
+                for to, cost, letter, given in [(after(state, initial), 0, "K", role), (after(state, "u"), 1, "R", "user"), (after(state, "a"), 1, "R", "assistant")]:
+                    if to:
+                        c, audit, turns = best(i + 1, to, 0)
+                        ways.append((c + cost + more, letter + audit, ((given, text), *turns)))
+        if inserted < 2:
+            for to, given in (("u", "user"), ("a", "assistant")):
+                if after(state, to):
+                    c, audit, turns = best(i, to, inserted + 1)
+                    ways.append((c + 5, "I" + audit, ((given, ""), *turns)))
+        return min(ways, key=lambda w: w[:2], default=(float("inf"), "", ()))
+
+    cost, audit, turns = best(0, "", 0)
+    numbers = [t for t, _, _ in rows if t is not None]
+    initials = [r[:1] for _, r, _ in rows]
+    out = {
+        "gaps": max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0,
+        **counts,
+        "illegal": sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])),
+        "cost": cost,
+        "audit": audit,
+        "repaired_sha256": hashlib.sha256("\n".join(f"{r}:{t}" for r, t in turns).encode()).hexdigest(),
+    }
+    return out, list(turns)
