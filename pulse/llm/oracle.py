@@ -106,7 +106,8 @@ damaged AS (
   FROM (SELECT *, unnest(range(CASE lot WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM dealt)),
 placed AS (
   SELECT *, left(role, 1) AS initial, rtrim(text, E' 	
-') AS shown,
+
+') AS shown,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role)::VARCHAR || ':' || role || text)) AS i
   FROM damaged),
 turns AS (
@@ -159,6 +160,50 @@ FROM audits e LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
 LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM e.conv_id
 """
 
+HARD_NEGATIVES = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS "rank",
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+SUFFIX_DEDUP = r"""
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS s FROM bytes WHERE len(h) >= 100),
+strings AS (SELECT doc_id, s, md5_number(substr(h, 2 * s + 1, 100)) AS k FROM places),
+firsts AS (SELECT k, min(doc_id) AS first FROM strings GROUP BY k),
+repeats AS (SELECT doc_id, s FROM strings JOIN firsts USING (k) WHERE doc_id > first),
+marked AS (
+  SELECT doc_id, s, coalesce(s > lag(s) OVER w + 50, true) AS new, least(50, coalesce(lead(s) OVER w - s, 50)) AS own
+  FROM repeats WINDOW w AS (PARTITION BY doc_id ORDER BY s)),
+runs AS (
+  SELECT doc_id, run, min(s) AS a, max(s) + 50 AS b, sum(own) AS n
+  FROM (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM marked) GROUP BY doc_id, run),
+removed AS (SELECT doc_id, sum(n)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id),
+pieces AS (
+  SELECT doc_id, a, substr(h, 2 * coalesce(lag(b) OVER w, 0) + 1, 2 * (a - coalesce(lag(b) OVER w, 0))) AS piece
+  FROM (SELECT doc_id, h, a, b FROM bytes JOIN runs USING (doc_id) UNION ALL SELECT doc_id, h, len(h) // 2, len(h) // 2 + 1 FROM bytes)
+  WINDOW w AS (PARTITION BY doc_id ORDER BY a, b)),
+kept AS (SELECT doc_id, string_agg(piece, '' ORDER BY a) AS k FROM pieces GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM bytes LEFT JOIN removed USING (doc_id) JOIN kept USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -167,4 +212,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_block_ann": NEAREST,
         "op9_substring_dedup": SUBSTRING_DEDUP,
         "op11_conversation_repair": CONVERSATION_REPAIR,
+        "op12_hard_negatives": HARD_NEGATIVES,
+        "op13_suffix_dedup": SUFFIX_DEDUP,
     }

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pulse.llm.block_ann import nearest, usable
 from pulse.llm.conversation_repair import damage, repair, reports
 from pulse.llm.frames import stored, table
+from pulse.llm.hard_negatives import mine
+from pulse.llm.hard_negatives import usable as usable_labelled
 from pulse.llm.jaccard_join import jaccard_components
 from pulse.llm.language_id import fit as fit_languages
 from pulse.llm.language_id import identify
@@ -18,6 +20,7 @@ from pulse.llm.quality_knn import classify, sample
 from pulse.llm.quality_knn import fit as fit_quality
 from pulse.llm.quality_rules import judge
 from pulse.llm.substring_dedup import joined_words, remove_repeats
+from pulse.llm.suffix_dedup import remove_substrings
 from pulse.llm.url_filter import judge_urls
 
 
@@ -97,6 +100,18 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports(repair(damage(table(spark, sf_dir, "conversations")), copies="copies"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    vectors = stored(usable_labelled(rows), "mining-vectors")
+    return mine(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries():
     """Every query of this subpackage by name."""
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}

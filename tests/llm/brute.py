@@ -169,3 +169,36 @@ def repair_conversation(rows):
         "repaired_sha256": hashlib.sha256("\n".join(f"{r}:{t}" for r, t in turns).encode()).hexdigest(),
     }
     return out, list(turns)
+
+
+def hard_negatives(rows, anchors, k=5, n=5, low=80, high=100):
+    """rows: {vec_id: (label, integer vector)} -> sorted rows of the operator."""
+    out = []
+    for a in anchors:
+        label, x = rows[a]
+        scored = sorted((-sum(p * q for p, q in zip(x, y)), v, other) for v, (other, y) in rows.items() if v != a and len(x) == len(y))
+        for score, positive, _ in [s for s in scored if s[2] == label][:k]:
+            fit = [(v, -s) for s, v, other in scored if other != label and low * -score <= 100 * -s <= high * -score]
+            out += [(a, positive, r + 1, v, -score, s) for r, (v, s) in enumerate(fit[:n])]
+    return sorted(out)
+
+
+def suffix_dedup(docs, width=50):
+    """docs: [(doc_id, text)]; doc_id None stands last -> sorted [(doc_id, bytes, removed, spans, kept bytes)]."""
+    order = lambda i: (i is None, i or 0)
+    first = {}
+    for i, t in docs:
+        b = (t or "").encode()
+        for s in range(len(b) - width + 1):
+            k = b[s : s + width]
+            first[k] = min(first.get(k, order(i)), order(i))
+    out = []
+    for i, t in docs:
+        b = (t or "").encode()
+        gone = bytearray(len(b))
+        for s in range(len(b) - width + 1):
+            if first[b[s : s + width]] < order(i):
+                gone[s : s + width] = b"\1" * width
+        spans = len(re.findall(rb"\x01+", bytes(gone)))
+        out.append((i, len(b), sum(gone), spans, bytes(x for x, g in zip(b, gone) if not g)))
+    return sorted(out, key=lambda r: (order(r[0]), r[1:]))

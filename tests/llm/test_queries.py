@@ -19,6 +19,8 @@ COLUMNS = {
     9: ["doc_id", "n_words", "n_removed", "kept_sha256"],
     10: ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
     11: ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    12: ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
+    13: ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
 }
 
 
