@@ -7,10 +7,12 @@ from pulse.functions.columns import (
     engagement_level,
     engagement_trend,
     momentum_status,
+    month_of,
     release_cohort,
     release_cohort_order,
     round6,
     safe_div,
+    since,
     sorted_name_list,
     trend_category,
     virality_category,
@@ -24,10 +26,12 @@ __all__ = [
     "engagement_level",
     "engagement_trend",
     "momentum_status",
+    "month_of",
     "release_cohort",
     "release_cohort_order",
     "round6",
     "safe_div",
+    "since",
     "sorted_name_list",
     "trend_category",
     "virality_category",

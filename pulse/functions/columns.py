@@ -32,6 +32,19 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def month_of(date: Column | str) -> Column:
+    """A date's month as an integer, 202401 for January 2024: what fact tables are partitioned by."""
+    return (F.year(_col(date)) * 100 + F.month(_col(date))).cast("int")
+
+
+def since(df, column: str, start: Column):
+    """The rows of ``df`` whose date ``column`` is ``start`` or later. On a table partitioned by
+    the month of that date this is a partition filter, too."""
+    if "month" in df.columns:
+        df = df.where(F.col("month") >= month_of(start))
+    return df.where(F.col(column) >= start)
+
+
 def safe_div(num: Column | str, den: Column | str | int | float) -> Column:
     """NULL when the divisor is 0 or NULL; always floating point."""
     den_c = F.lit(den) if isinstance(den, (int, float)) else _col(den)

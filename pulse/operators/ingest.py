@@ -16,12 +16,14 @@ The published loader works on Python lists of dicts and issues
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulse import schemas
+from pulse.operators.records import FILE_NAME, FILE_TIME, MALFORMED, NULL_FIELDS, RECORD, UNFIT_FIELDS
 
 SNAPSHOT_KEY = ["movie_id", "snapshot_date"]
 
@@ -36,10 +38,6 @@ def read_raw_details(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RAW_DETAILS).option("mode", "PERMISSIVE").json(path)
 
 
-#: What a line that is not a record, and the file order of records, are called.
-MALFORMED, FILE_TIME, FILE_NAME = "_malformed", "_file_time", "_file_name"
-
-
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """Landed records with the time and name of their file, which order records that carry no
     ``arrival_seq``; a line that is not a JSON record comes with its text in ``_malformed``."""
@@ -98,6 +96,8 @@ def rejected_records(details: DataFrame, malformed: DataFrame, run_date: _dt.dat
     no records or have no id, each with its text."""
     found = required_field_violations(details).withColumn("record", F.lit(None).cast("string"))
     text = F.to_json(F.struct(*[c for c in malformed.columns if c in schemas.column_names(schemas.RAW_DETAILS)]))
+    if RECORD in malformed.columns:
+        text = F.col(RECORD)
     why = F.lit("id is missing")
     if MALFORMED in malformed.columns:
         text = F.coalesce(F.col(MALFORMED), text)
@@ -158,32 +158,38 @@ def _ts_literal(ts: _dt.datetime | None) -> Column:
 
 
 def transform_movies(
-    raw: DataFrame, loaded_at: _dt.datetime | None = None, mode: str = "drop"
+    raw: DataFrame, loaded_at: _dt.datetime | None = None, mode: str = "drop", added: Sequence[str] = ()
 ) -> DataFrame:
-    """Raw records -> movies rows.
+    """Raw records -> movies rows, with the columns ``added`` after the declared ones.
 
     Missing ``adult`` / ``video`` default to false and missing arrays to [].
-    (A schema-based JSON read cannot tell an explicit ``null`` from a missing
-    key, so both get the default.) ``release_date`` strings that are not dates
+    An explicit ``null`` stays NULL where the records tell it from a missing
+    key (``records.typed``); a schema-based JSON read cannot, so there both
+    get the default. ``release_date`` strings that are not dates
     become NULL; ``required_field_violations`` reports them.
     ``mode='drop'`` leaves out records that fail the id / title guard;
     ``mode='strict'`` fails the job on the first one.
     """
     r = _apply_guards(raw, _movie_checks(), mode, "movies")
+
+    def default(name: str, value: Column) -> Column:
+        filled = F.coalesce(F.col(name), value)
+        return F.when(~F.array_contains(NULL_FIELDS, name), filled) if NULL_FIELDS in r.columns else filled
+
     cols = {
         "movie_id": F.col("id"),
         "release_date": F.try_to_date(F.col("release_date")),
-        "adult": F.coalesce(F.col("adult"), F.lit(False)),
-        "video": F.coalesce(F.col("video"), F.lit(False)),
+        "adult": default("adult", F.lit(False)),
+        "video": default("video", F.lit(False)),
         "last_updated": _ts_literal(loaded_at),
     }
     for name, dtype in schemas.ARRAY_COLUMNS.items():
-        cols[name] = F.coalesce(F.col(name), F.array().cast(dtype))
+        cols[name] = default(name, F.array().cast(dtype))
     out = []
     for f in schemas.MOVIES.fields:
         c = cols.get(f.name, F.col(f.name) if f.name in r.columns else F.lit(None))
         out.append(c.cast(f.dataType).alias(f.name))
-    return r.select(*out)
+    return r.select(*out, *added)
 
 
 def transform_snapshots(
@@ -191,8 +197,10 @@ def transform_snapshots(
     snapshot_date: _dt.date,
     ingested_at: _dt.datetime | None = None,
     mode: str = "drop",
+    added: Sequence[str] = (),
 ) -> DataFrame:
-    """Raw records -> base snapshot rows for ``snapshot_date`` (an explicit job parameter)."""
+    """Raw records -> base snapshot rows for ``snapshot_date`` (an explicit job parameter), with
+    the columns ``added`` after the declared ones."""
     r = _apply_guards(raw, _snapshot_checks(), mode, "snapshots")
     return r.select(
         F.col("id").cast("long").alias("movie_id"),
@@ -201,6 +209,7 @@ def transform_snapshots(
         F.col("vote_count").cast("long").alias("vote_count"),
         F.col("vote_average").cast("double").alias("vote_average"),
         _ts_literal(ingested_at).alias("ingestion_timestamp"),
+        *added,
     )
 
 
@@ -208,7 +217,8 @@ def required_field_violations(raw: DataFrame) -> DataFrame:
     """Every (record, target table, check) that a transform would reject.
 
     Applied to the deduplicated records, as the loaders are. Also lists
-    ``release_date`` strings that are present but not a date (loaded as NULL).
+    ``release_date`` strings that are present but not a date, and fields whose
+    value does not fit their type (``records.typed``): both load as NULL.
     """
     checks = [("movies", n, c) for n, c in _movie_checks()]
     checks += [("movie_daily_snapshots", n, c) for n, c in _snapshot_checks()]
@@ -224,6 +234,11 @@ def required_field_violations(raw: DataFrame) -> DataFrame:
             ]
         )
     )
+    if UNFIT_FIELDS in raw.columns:
+        own = F.array(*map(F.lit, ("popularity", "vote_count", "vote_average")))
+        target = lambda c: F.when(F.array_contains(own, c), "movie_daily_snapshots").otherwise("movies")
+        unfit = F.transform(UNFIT_FIELDS, lambda c: F.struct(target(c).alias("target_table"), F.concat(c, F.lit(" is not of its type")).alias("violation")))
+        found = F.concat(found, unfit)
     return raw.select("id", "arrival_seq", F.explode(found).alias("_v")).select(
         "id", "arrival_seq", "_v.target_table", "_v.violation"
     )
@@ -235,10 +250,13 @@ def required_field_violations(raw: DataFrame) -> DataFrame:
 
 
 def upsert_movies(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Dimension upsert: incoming rows replace existing rows with the same ``movie_id``."""
-    incoming = incoming.select(*existing.columns)
+    """Dimension upsert: incoming rows replace existing rows with the same ``movie_id``.
+
+    Columns that only one side has are kept, NULL in the other's rows (additive
+    schema evolution).
+    """
     keep = existing.join(incoming.select("movie_id"), "movie_id", "left_anti")
-    return keep.unionByName(incoming)
+    return keep.unionByName(incoming, allowMissingColumns=True)
 
 
 def upsert_snapshots_partition(
@@ -274,14 +292,24 @@ def evolve_union(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 def upsert_counts(
     existing: DataFrame, incoming: DataFrame, key: list[str], table: str
 ) -> DataFrame:
-    """Affected-row counts of an upsert as one row: replaced, inserted, net new, total after."""
-    keys = incoming.select(*key).distinct()
-    replaced = existing.join(keys, key, "left_semi").agg(F.count(F.lit(1)).alias("replaced_rows"))
-    inc = incoming.agg(F.count(F.lit(1)).alias("loaded_rows"))
-    total = existing.agg(F.count(F.lit(1)).alias("existing_rows"))
-    # Three one-row aggregates, joined on a constant key (each side is one row).
-    one = lambda df: df.withColumn("_k", F.lit(0))
-    r = one(replaced).join(one(inc), "_k").join(one(total), "_k")
+    """Affected-row counts of an upsert as one row: replaced, inserted, net new, total after.
+
+    Each side is read once: rows of both are counted per key, and the keys'
+    counts summed. Rows with a null in the key match nothing.
+    """
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    old = existing.select(*key, one.alias("_old"), none.alias("_new"))
+    both = old.unionByName(incoming.select(*key, none.alias("_old"), one.alias("_new")))
+    per_key = both.groupBy(*key).agg(F.sum("_old").alias("_old"), F.sum("_new").alias("_new"))
+    whole = F.lit(True)
+    for c in key:
+        whole = whole & F.col(c).isNotNull()
+    total = lambda c: F.coalesce(F.sum(c), none)
+    r = per_key.agg(
+        total(F.when(whole & (F.col("_new") > 0), F.col("_old"))).alias("replaced_rows"),
+        total("_new").alias("loaded_rows"),
+        total("_old").alias("existing_rows"),
+    )
     return r.select(
         F.lit(table).alias("table_name"),
         F.col("replaced_rows").cast("long").alias("replaced_rows"),

@@ -244,7 +244,7 @@ def release_cohort_trend(
         ),
     )
     median = percentile_cont_distributed(
-        cohorts, "weekly_pct_change", 0.5, "median_weekly_pct_change", ["release_cohort"]
+        cohorts, "weekly_pct_change", 0.5, "median_weekly_pct_change", ["release_cohort"], few_groups=True
     )
     return (
         agg.join(median, "release_cohort", "left")

@@ -15,6 +15,10 @@ partition. The three compositions here keep the work distributed:
   table, and only the distinct values inside one bucket are sorted together.
   Split points are every eighth value of a sample chosen by the values' hash,
   so they follow from the data alone: a task that runs again gets the same.
+  What is known of a whole group (its size, split points and bucket counts)
+  is small and comes to the distinct values as a broadcast where the number
+  of groups has a stated bound; distinct values are dealt by group and bucket
+  only, never by group alone.
 * ``percent_rank_distributed`` / ``percentile_cont_distributed`` -- built on
   ``value_positions``; exact, one plan whatever the size, and lazy: building
   a query runs no job. Groups are compared null-safe (NULL is a group).
@@ -29,14 +33,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per group, found in two steps of at most STEP comparisons each.
-STEP = 16
-DEFAULT_BUCKETS = STEP * STEP
+# Buckets per group: as many as a shuffle has partitions, within these bounds
+# (a bucket is sorted in one task; split points are found in two steps of
+# about the square root of their number).
+LEAST_BUCKETS, MOST_BUCKETS = 256, 16384
 # Sampled values for each split point (evens out the buckets).
 SAMPLE_PER_BUCKET = 8
 # A value with more than this share of its group's rows is joined back from a
 # broadcast list (at most 1 / share values per group) when there is one group.
 HOT_SHARE = 1 / 1000
+# Groups up to which their sizes, split points and counts are broadcast.
+FEW_GROUPS = 16
 
 
 def _ordered(col: str, ascending: bool) -> Column:
@@ -69,8 +76,18 @@ def _same(left: str, right: str, columns: Sequence[str]) -> Column:
     return cond
 
 
-def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on ``on`` with NULL equal to NULL; the left side's columns and the right's others."""
+def _default_buckets(df: DataFrame) -> int:
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MOST_BUCKETS, max(LEAST_BUCKETS, parts))
+
+
+def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", small: bool = False) -> DataFrame:
+    """Join on ``on`` with NULL equal to NULL; the left side's columns and the right's others.
+
+    ``small``: the right side's rows have a stated bound, and are broadcast.
+    """
+    if small:
+        right = F.broadcast(right)
     extra = [F.col(f"r.{c}") for c in right.columns if c not in on]
     return left.alias("l").join(right.alias("r"), _same("l", "r", on), how).select("l.*", *extra)
 
@@ -79,24 +96,27 @@ def value_positions(
     df: DataFrame,
     value_col: str,
     group_cols: Sequence[str] = (),
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Per (group, distinct non-null value): ``_n_eq``, ``_n_less``, ``_n_group``.
 
     ``_n_less`` counts rows of the group with a strictly smaller value;
-    ``_n_group`` is the number of non-null rows in the group.
+    ``_n_group`` is the number of non-null rows in the group. ``few_groups``
+    states that there are at most ``FEW_GROUPS`` groups (fixed labels, say).
     """
     groups = list(group_cols)
     v = F.col(value_col)
+    buckets = buckets or _default_buckets(df)
     if not groups:
-        # One group, as a key that follows from the value (a constant would
-        # turn the joins below into joins without a key).
-        one = df.where(v.isNotNull()).withColumn("_all", F.pmod(F.xxhash64(v), F.lit(1)))
-        return value_positions(one, value_col, ["_all"], buckets).drop("_all")
+        # One group. Its key is a column (a literal would be folded away), but
+        # only one-row, sampled and per-bucket results are keyed by it.
+        one = df.where(v.isNotNull()).select(value_col).withColumn("_all", F.pmod(F.xxhash64(v), F.lit(1)))
+        return value_positions(one, value_col, ["_all"], buckets, True).drop("_all")
     distinct = df.where(v.isNotNull()).groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_n_eq"))
     sizes = distinct.groupBy(*groups).agg(F.count(F.lit(1)).alias("_values"))
     every = F.greatest(F.lit(1), (F.col("_values") / (buckets * SAMPLE_PER_BUCKET)).cast("long"))
-    sample = _join(distinct, sizes, groups).where(F.pmod(F.xxhash64(v), every) == 0)
+    sample = _join(distinct, sizes, groups, small=few_groups).where(F.pmod(F.xxhash64(v), every) == 0)
     # About buckets * SAMPLE_PER_BUCKET values of a group, whatever its size.
     splits = sample.groupBy(*groups).agg(F.sort_array(F.collect_list(value_col)).alias("_sample"))
     width = F.greatest(F.lit(1), F.ceil(F.size("_sample") / buckets).cast("int"))
@@ -104,7 +124,7 @@ def value_positions(
     step = max(2, round(buckets**0.5))
     coarse = F.filter("_splits", lambda x, i: F.pmod(i + 1, F.lit(step)) == 0)
     splits = splits.withColumn("_coarse", coarse)
-    placed = _join(distinct, splits, groups, "left")
+    placed = _join(distinct, splits, groups, "left", small=few_groups)
     # How many split points lie below the value: whole steps first, then inside one step.
     jump = F.size(F.filter("_coarse", lambda x: x < v)) * step
     inside = F.size(F.filter(F.slice("_splits", F.col("_jump") + 1, F.lit(step)), lambda x: x < v))
@@ -116,7 +136,7 @@ def value_positions(
     prefix = per_bucket.select(
         *groups, "_bucket", F.coalesce(before, F.lit(0)).alias("_n_before"), F.sum("_n_bucket").over(gw).alias("_n_group")
     )
-    positioned = _join(bucketed, prefix, [*groups, "_bucket"])
+    positioned = _join(bucketed, prefix, [*groups, "_bucket"], small=few_groups)
     bw = Window.partitionBy(*groups, "_bucket").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
     return positioned.select(
         *groups,
@@ -132,15 +152,18 @@ def percent_rank_distributed(
     value_col: str,
     out_col: str,
     group_cols: Sequence[str] = (),
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
+    population: DataFrame | None = None,
 ) -> DataFrame:
     """``PERCENT_RANK() OVER (PARTITION BY groups ORDER BY value)`` for non-null values.
 
     ``(rows strictly smaller) / (n - 1)``; 0 for a one-row group; NULL values
-    get NULL (callers here filter them out beforehand).
+    get NULL (callers here filter them out beforehand). ``population`` has
+    the same groups and values as ``df`` by a cheaper plan (fewer columns or
+    joins), if there is one.
     """
     groups = list(group_cols)
-    pos = value_positions(df, value_col, groups, buckets)
+    pos = value_positions(df if population is None else population, value_col, groups, buckets)
     share = F.when(F.col("_n_group") <= 1, F.lit(0.0)).otherwise(F.col("_n_less") / (F.col("_n_group") - 1))
     ranks = pos.select(*groups, value_col, share.alias("_rank"), (F.col("_n_eq") > F.col("_n_group") * HOT_SHARE).alias("_hot"))
     if groups:
@@ -151,9 +174,10 @@ def percent_rank_distributed(
     hot = F.broadcast(ranks.where("_hot").select(value_col, F.col("_rank").alias("_hot_rank")))
     rows = _join(df, hot, [value_col], "left")
     scatter = F.when(F.col("_hot_rank").isNotNull(), F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) + 1).otherwise(F.lit(0))
-    rows = rows.withColumn("_key", scatter)
-    ranks = ranks.select(value_col, F.col("_rank"), F.when(F.col("_rank") < 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")).alias("_key"))
-    out = _join(rows, ranks, [value_col, "_key"], "left")
+    # One struct is the key, so the scatter takes part in dealing the rows.
+    rows = rows.withColumn("_key", F.struct(F.col(value_col).alias("value"), scatter.alias("scatter")))
+    key = F.struct(F.col(value_col).alias("value"), F.lit(0).cast("long").alias("scatter"))
+    out = rows.join(ranks.select(key.alias("_key"), "_rank"), "_key", "left")
     return out.select(*df.columns, F.coalesce("_hot_rank", "_rank").alias(out_col))
 
 
@@ -163,7 +187,8 @@ def percentile_cont_distributed(
     fraction: float,
     out_col: str,
     group_cols: Sequence[str] = (),
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Exact ``PERCENTILE_CONT(value, fraction)`` per group, without one-task groups.
 
@@ -171,7 +196,7 @@ def percentile_cont_distributed(
     the values at positions ``floor(f*(n-1))`` and ``ceil(f*(n-1))``.
     """
     groups = list(group_cols)
-    pos = value_positions(df, value_col, groups, buckets)
+    pos = value_positions(df, value_col, groups, buckets, few_groups)
     target = F.lit(float(fraction)) * (F.col("_n_group") - 1)
     lo, hi = F.floor(target), F.ceil(target)
     covers = lambda k: (F.col("_n_less") <= k) & (k < F.col("_n_less") + F.col("_n_eq"))

@@ -20,6 +20,7 @@ from pulse.functions.columns import (
     engagement_level,
     engagement_trend,
     safe_div,
+    since,
     sorted_name_list,
     virality_category,
 )
@@ -124,7 +125,11 @@ def viral_coefficient_scores(
         "vote_average",
     ]
     if with_percentile:
-        j = percent_rank_distributed(j, "viral_coefficient", "_pr")
+        # The same rows by their keys: the inner joins find one row for each key, or none.
+        scored = metrics.where(F.col("viral_coefficient").isNotNull()).select("movie_id", "calculation_date", "viral_coefficient")
+        days = snapshots.select("movie_id", F.col("snapshot_date").alias("calculation_date"))
+        scored = scored.join(movies.select("movie_id"), "movie_id", "left_semi").join(days, ["movie_id", "calculation_date"], "left_semi")
+        j = percent_rank_distributed(j, "viral_coefficient", "_pr", population=scored)
         cols.append((F.col("_pr") * 100).alias("viral_score_percentile"))
     cols.append(virality_category("viral_coefficient").alias("virality_category"))
     return j.select(*cols)
@@ -346,7 +351,7 @@ def viral_vs_nonviral(
         F.avg(F.when(F.col("revenue") > 0, F.col("revenue"))).alias("avg_revenue"),
     )
     median = percentile_cont_distributed(
-        vc, "vote_velocity_7d", 0.5, "median_vote_velocity", ["viral_status"]
+        vc, "vote_velocity_7d", 0.5, "median_vote_velocity", ["viral_status"], few_groups=True
     )
     return agg.join(median, "viral_status", "left").orderBy("viral_status")
 
@@ -400,9 +405,9 @@ def genre_viral_performance(
     th: Thresholds = DEFAULT_THRESHOLDS,
 ) -> DataFrame:
     """Per genre over the last 30 days: distinct titles, score stats, highly viral share."""
-    scores = viral_coefficient_scores(metrics, movies, snapshots, with_percentile=False).where(
-        F.col("calculation_date") >= F.date_sub(F.lit(as_of), th.genre_window_days)
-    )
+    start = F.date_sub(F.lit(as_of), th.genre_window_days)
+    metrics, snapshots = since(metrics, "calculation_date", start), since(snapshots, "snapshot_date", start)
+    scores = viral_coefficient_scores(metrics, movies, snapshots, with_percentile=False)
     g = scores.select(
         "movie_id", "viral_coefficient", "vote_velocity_7d", "virality_category"
     ).join(movies.select("movie_id", "genres"), "movie_id")

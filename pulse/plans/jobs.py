@@ -11,6 +11,10 @@ comes back to the driver. Tables live in a ``Warehouse``:
                                date they cover
 * ``rejected_records``      -- what a run did not take, partitioned by ``run_date``
 
+The jobs run on a ``Warehouse`` or on a ``RunStore``, where all of a job's
+writes become visible at one point and each upsert rewrites only the months
+and buckets that it touches (``_merge_snapshots``).
+
 Metric refresh after loading date D: the titles with a snapshot on or after
 D are the only ones whose derived or aggregated values can change (all
 frames look backward), and the partitions from D on contain exactly those
@@ -29,11 +33,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulse import schemas
 from pulse.config import DEFAULT_THRESHOLDS, Thresholds
-from pulse.operators import ingest
+from pulse.operators import ingest, records
 from pulse.operators.metrics import BASE_COLUMNS, aggregated_metrics, derived_metrics
+from pulse.plans.runs import RunStore, iso
 from pulse.plans.warehouse import Warehouse
 
 MOVIES = "movies"
@@ -41,6 +47,7 @@ SNAPSHOTS = "movie_daily_snapshots"
 METRICS = "movie_metrics_aggregated"
 TAIL = "movie_snapshot_tail"
 REJECTS = "rejected_records"
+RECENT = "movie_recent_snapshots"
 
 
 @dataclass
@@ -60,20 +67,34 @@ def _details(wh: Warehouse, raw: DataFrame, run_date: _dt.date, rep: JobReport)
     reject table (one partition per run date) and is counted in the report.
 
     Jobs quarantine: a bad record does not stop the good ones, and none is
-    dropped without a row in the reject table.
+    dropped without a row in the reject table. Records that come as text
+    (``records.read_records``) are typed after the dedupe; fields that nobody
+    declared become columns.
     """
     good, malformed = ingest.split_malformed(raw)
     details = wh.stage(ingest.dedupe_keep_last(good), "details")
+    if records.RECORD in raw.columns:
+        details = typed_details(wh, details)
     rejects = ingest.rejected_records(details, malformed, run_date)
     staged = wh.stage(rejects, "rejects")
     wh.overwrite_partitions(REJECTS, staged, ["run_date"], reads_target=False)
-    counts = staged.where("violation <> 'release_date is not a date'").groupBy("target_table").agg(F.count_distinct(F.coalesce("id", F.xxhash64("record"))).alias("n"))
+    counts = staged.where("violation NOT LIKE '% is not a date' AND violation NOT LIKE '% is not of its type'").groupBy("target_table").agg(F.count_distinct(F.coalesce("id", F.xxhash64("record"))).alias("n"))
     for r in counts.collect():  # one row per target table
         rep.counts[f"rejected_{r['target_table']}"] = r["n"]
     return details
 
 
+def typed_details(wh: Warehouse, kept: DataFrame) -> DataFrame:
+    """The kept records' columns, staged; a field that the tables have as an added column keeps its type."""
+    stored = [f for name in (MOVIES, SNAPSHOTS) if wh.exists(name) for f in wh.read(name).schema.fields]
+    added = records.added_fields(kept, T.StructType(stored))
+    return wh.stage(records.typed(kept, added), "typed-details")
+
+
 def load_movies(wh: Warehouse, incoming: DataFrame) -> int:
+    """Upsert the dimension; the number of rows written."""
+    if isinstance(wh, RunStore):
+        return sum(wh.merge(MOVIES, incoming).values())
     existing = wh.read(MOVIES, schemas.MOVIES)
     merged = ingest.upsert_movies(existing, incoming)
     n = _observed_write(merged, "movies_rows", lambda d, c: wh.replace(MOVIES, d, counter=c))
@@ -241,12 +262,14 @@ def load_and_refresh(
 ) -> dict[str, int]:
     """Upsert one date's snapshots and refresh the metrics, in as few writes as possible.
 
-    On the newest date the upserted rows of that date and the tail are all
+    On a ``RunStore``, see ``_merge_snapshots``. Otherwise, on the newest date the upserted rows of that date and the tail are all
     the metrics need: the day's rows with their derived columns are computed
     and staged once, the date partition is overwritten from the stage, and
     the metric partition and the new tail are computed from the stage and the
     old tail. A late date upserts its partition and takes the full refresh.
     """
+    if isinstance(wh, RunStore):
+        return _merge_snapshots(wh, incoming, run_date, th)
     tail = _usable_tail(wh, run_date, th)
     if tail is None:
         stale = _first_stale(wh, run_date)
@@ -285,6 +308,79 @@ def load_and_refresh(
     return {"snapshots": n_snap, "metric_rows": n_metrics, "derived_rows": n_snap}
 
 
+def _rows_around(store: RunStore, incoming: DataFrame, run_date: _dt.date, th: Thresholds) -> DataFrame:
+    """The incoming rows and the stored rows of the same titles that lie at most the longest
+    look-back before or after them.
+
+    On the newest date they come from the titles' newest rows; a late date
+    reads the titles' histories.
+    """
+    d, most = F.lit(run_date), tail_depth(th) - 1
+    newest = iso(store.fact("newest"))
+    ids = incoming.select("movie_id")
+    if newest is None or (run_date >= newest and (store.fact("depth") or 0) > most):
+        stored = _recent_rows(store)
+    else:
+        stored = store.read(SNAPSHOTS).select(*BASE_COLUMNS)
+    stored = stored.join(ids, "movie_id", "left_semi").where(F.col("snapshot_date") != d)
+    side = F.col("snapshot_date") > d
+    away = F.abs(F.date_diff("snapshot_date", d))
+    near = F.row_number().over(Window.partitionBy("movie_id", side).orderBy(away))
+    near_rows = stored.withColumn("_near", near).where(F.col("_near") <= most)
+    return near_rows.select(*BASE_COLUMNS).unionByName(incoming.select(*BASE_COLUMNS))
+
+
+def _recent_rows(store: RunStore) -> DataFrame:
+    return store.read(RECENT).select("movie_id", F.explode("recent").alias("_r")).select("movie_id", "_r.*").select(*BASE_COLUMNS)
+
+
+def recent_of(rows: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """Each title's newest rows, newest first, as one row."""
+    parts = F.struct(*(c for c in BASE_COLUMNS if c != "movie_id"))
+    return build_tail(rows, th).groupBy("movie_id").agg(F.sort_array(F.collect_list(parts), asc=False).alias("recent"))
+
+
+def _recent_after(store: RunStore, incoming: DataFrame, th: Thresholds) -> DataFrame:
+    """The newest rows of the incoming titles (of all titles, if the stored ones are not deep enough)."""
+    if store.fact("newest") is not None and (store.fact("depth") or 0) < tail_depth(th):
+        old = store.read(SNAPSHOTS).select(*BASE_COLUMNS)
+    else:
+        old = _recent_rows(store).join(incoming.select("movie_id"), "movie_id", "left_semi")
+    keep = old.join(incoming.select(*ingest.SNAPSHOT_KEY), ingest.SNAPSHOT_KEY, "left_anti")
+    return recent_of(keep.unionByName(incoming.select(*BASE_COLUMNS)), th)
+
+
+def _merge_snapshots(store: RunStore, incoming: DataFrame, run_date: _dt.date, th: Thresholds) -> dict[str, int]:
+    """Upsert one date's snapshots and all that follows from them.
+
+    A row reaches its title's next rows, as many as the longest look-back (14
+    by default), and no others: exactly these (title, date) keys get new
+    derived columns and metrics, and only their months are rewritten, however
+    late the date is. Then the titles' newest rows follow.
+    """
+    d = F.lit(run_date)
+    with store.run():
+        incoming = store.stage(incoming.where(F.col("snapshot_date") == d), "incoming")
+        rows = store.stage(_rows_around(store, incoming, run_date, th), "around")
+        derived = derived_metrics(rows, th).where(F.col("snapshot_date") >= d).select(*schemas.column_names(schemas.SNAPSHOTS))
+        added, stored_added = ([c for c in _added_columns(x) if c != "month"] for x in (incoming, store.read(SNAPSHOTS)))
+        if added or stored_added:
+            keys = rows.where(F.col("snapshot_date") > d).select(*ingest.SNAPSHOT_KEY)
+            later = store.read(SNAPSHOTS).select(*ingest.SNAPSHOT_KEY, *stored_added).join(keys, ingest.SNAPSHOT_KEY, "left_semi")
+            values = later.unionByName(incoming.select(*ingest.SNAPSHOT_KEY, *added), allowMissingColumns=True)
+            derived = derived.join(values, ingest.SNAPSHOT_KEY, "left")
+        metric_rows = aggregated_metrics(rows, None, th).where(F.col("calculation_date") >= d)
+        recent = store.stage(_recent_after(store, incoming, th), "recent")
+        snapshots = store.merge(SNAPSHOTS, derived)
+        metrics = store.merge(METRICS, metric_rows)
+        store.merge(RECENT, recent)
+        newest = iso(store.fact("newest"))
+        store.note("newest", max(run_date, newest or run_date).isoformat())
+        store.note("depth", tail_depth(th))
+    touched = {k: v["replaced"] + v["inserted"] for k, v in (("derived_rows", snapshots), ("metric_rows", metrics))}
+    return {"snapshots": incoming.count(), **touched}
+
+
 def run_bootstrap(
     wh: Warehouse,
     raw: DataFrame,
@@ -295,19 +391,22 @@ def run_bootstrap(
 ) -> JobReport:
     """First load: the n most popular titles -> dimension, snapshots, metrics."""
     rep = JobReport()
-    details = _details(wh, raw, snapshot_date, rep)
-    catalog = details.select(
-        F.col("id").alias("movie_id"), "popularity", "adult", "video"
-    )
-    top = ingest.top_n_popular(catalog, n).select(F.col("movie_id").alias("id"))
-    chosen = details.join(top, "id", "left_semi")
-    rep.counts["movies"] = load_movies(wh, ingest.transform_movies(chosen, loaded_at))
-    rep.counts.update(
-        load_and_refresh(wh, ingest.transform_snapshots(chosen, snapshot_date, loaded_at), snapshot_date, th)
-    )
+    with wh.run():
+        details = _details(wh, raw, snapshot_date, rep)
+        catalog = details.select(F.col("id").alias("movie_id"), "popularity", "adult", "video")
+        top = ingest.top_n_popular(catalog, n).select(F.col("movie_id").alias("id"))
+        _load_both(wh, details.join(top, "id", "left_semi"), snapshot_date, loaded_at, th, rep)
     return rep
 
 
+def _load_both(wh, details: DataFrame, snapshot_date, loaded_at, th, rep: JobReport) -> None:
+    """Upsert the dimension and the date's snapshots, with all columns of the records, and refresh."""
+    added = records.added_columns(details)
+    rep.counts["movies"] = load_movies(wh, ingest.transform_movies(details, loaded_at, added=added))
+    rows = ingest.transform_snapshots(details, snapshot_date, loaded_at, added=added)
+    rep.counts.update(load_and_refresh(wh, rows, snapshot_date, th))
+
+
 def run_daily(
     wh: Warehouse,
     raw: DataFrame,
@@ -322,13 +421,11 @@ def run_daily(
     """
     start = snapshot_date - _dt.timedelta(days=1)
     rep = JobReport()
-    # Keep-last first (partial aggregation), then the semi join: an id with a
-    # flood of arrivals is one row before it meets the join.
-    details = ingest.changed_entities(_details(wh, raw, snapshot_date, rep), changes, start, snapshot_date)
-    rep.counts["movies"] = load_movies(wh, ingest.transform_movies(details, loaded_at))
-    rep.counts.update(
-        load_and_refresh(wh, ingest.transform_snapshots(details, snapshot_date, loaded_at), snapshot_date, th)
-    )
+    with wh.run():
+        # Keep-last first (partial aggregation), then the semi join: an id with a
+        # flood of arrivals is one row before it meets the join.
+        details = ingest.changed_entities(_details(wh, raw, snapshot_date, rep), changes, start, snapshot_date)
+        _load_both(wh, details, snapshot_date, loaded_at, th, rep)
     return rep
 
 
@@ -340,12 +437,12 @@ def run_weekly(
     th: Thresholds = DEFAULT_THRESHOLDS,
 ) -> JobReport:
     """Fresh snapshots for every tracked title (dimension untouched) -> metrics."""
-    movies = wh.read(MOVIES, schemas.MOVIES)
-    tracked = movies.select(F.col("movie_id").alias("id"))
     rep = JobReport()
-    details = _details(wh, raw, snapshot_date, rep).join(tracked, "id", "left_semi")
-    fresh = ingest.transform_snapshots(details, snapshot_date, loaded_at)
-    rep.counts.update(load_and_refresh(wh, fresh, snapshot_date, th))
+    with wh.run():
+        tracked = wh.read(MOVIES, schemas.MOVIES).select(F.col("movie_id").alias("id"))
+        details = _details(wh, raw, snapshot_date, rep).join(tracked, "id", "left_semi")
+        fresh = ingest.transform_snapshots(details, snapshot_date, loaded_at, added=records.added_columns(details))
+        rep.counts.update(load_and_refresh(wh, fresh, snapshot_date, th))
     return rep
 
 
@@ -356,6 +453,11 @@ def seed_warehouse(
     th: Thresholds = DEFAULT_THRESHOLDS,
 ) -> None:
     """Write an existing state: dimension, snapshots with derived columns, metric backfill."""
+    with wh.run():
+        _seed(wh, movies, base_snapshots, th)
+
+
+def _seed(wh: Warehouse, movies: DataFrame, base_snapshots: DataFrame, th: Thresholds) -> None:
     wh.replace(MOVIES, movies.select(*schemas.column_names(schemas.MOVIES)))
     wh.replace(
         SNAPSHOTS,
@@ -366,4 +468,10 @@ def seed_warehouse(
     # Metrics and tail from the stored snapshots: the base rows are derived once.
     stored = wh.read(SNAPSHOTS)
     wh.replace(METRICS, aggregated_metrics(stored, None, th), ["calculation_date"], ["movie_id"])
+    if isinstance(wh, RunStore):
+        wh.replace(RECENT, recent_of(stored, th))
+        newest = stored.agg(F.max("snapshot_date")).first()[0]
+        wh.note("newest", newest.isoformat() if newest else None)
+        wh.note("depth", tail_depth(th))
+        return
     _write_tail(wh, build_tail(stored, th), max(_stored_dates(wh), default=None), th)

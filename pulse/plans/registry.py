@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulse import schemas
-from pulse.operators import examples, ingest, metrics, momentum, quality
+from pulse.operators import examples, ingest, metrics, momentum, quality, records
 from pulse.plans import jobs, views
+from pulse.plans.runs import RunStore
 from pulse.plans.tables import Tables, fixture_tables, stored_fixture_tables
 from pulse.plans.warehouse import Warehouse
 from pulse.session import scratch_path
@@ -195,6 +196,134 @@ def _job_weekly(fx: Fixture) -> DataFrame:
     return m.select(*schemas.column_names(schemas.METRICS))
 
 
+# -- jobs on the run store ----------------------------------------------------
+
+
+def _run_store(fx: Fixture, name: str, snapshots: DataFrame | None = None) -> RunStore:
+    store = RunStore(fx.spark, scratch_path(fx.spark, name))
+    jobs.seed_warehouse(store, fx.customer_movies(), fx.events_snapshots() if snapshots is None else snapshots)
+    return store
+
+
+def _daily_store(fx: Fixture, name: str) -> RunStore:
+    store = _run_store(fx, name)
+    jobs.run_daily(store, landed_for_jobs(fx), fx.changes(), RUN_DATE, LOADED_AT)
+    return store
+
+
+def _job_dimension(fx: Fixture) -> DataFrame:
+    return _daily_store(fx, "run-dimension").read(jobs.MOVIES).select(*schemas.column_names(schemas.MOVIES))
+
+
+def _job_derived(fx: Fixture) -> DataFrame:
+    """The run date's snapshots with their derived columns after a daily run."""
+    rows = _daily_store(fx, "run-derived").read(jobs.SNAPSHOTS).where(F.col("snapshot_date") == F.lit(RUN_DATE))
+    return rows.select(*schemas.column_names(schemas.SNAPSHOTS))
+
+
+def _job_recent(fx: Fixture) -> DataFrame:
+    """Each title's newest rows after a daily run."""
+    return jobs._recent_rows(_daily_store(fx, "run-recent"))
+
+
+LATE_DATE = RUN_DATE - _dt.timedelta(days=10)
+
+
+def _late_snapshots(fx: Fixture) -> DataFrame:
+    """Snapshots of every third title that arrive ten days late."""
+    ids = fx.events_snapshots().select("movie_id").distinct().where("movie_id % 3 = 0")
+    return ids.select(
+        "movie_id",
+        F.lit(LATE_DATE).alias("snapshot_date"),
+        F.lit(500.25).alias("popularity"),
+        (F.col("movie_id") + 7).alias("vote_count"),
+        F.lit(5.0).alias("vote_average"),
+        F.lit(LOADED_AT.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp").alias("ingestion_timestamp"),
+    )
+
+
+def _job_late_date(fx: Fixture) -> DataFrame:
+    """All derived columns and metrics after rows that came late."""
+    store = _run_store(fx, "run-late")
+    jobs.load_and_refresh(store, _late_snapshots(fx), LATE_DATE)
+    m = store.read(jobs.METRICS).select(*schemas.column_names(schemas.METRICS)).withColumnRenamed("calculation_date", "snapshot_date")
+    return store.read(jobs.SNAPSHOTS).select(*schemas.column_names(schemas.SNAPSHOTS)).join(m, ingest.SNAPSHOT_KEY)
+
+
+class _Killed(Exception):
+    pass
+
+
+def _job_killed(fx: Fixture) -> DataFrame:
+    """A daily run that dies between two tables, and the same run again: the newest metrics as
+    they are read after each."""
+    store = _run_store(fx, "run-killed")
+    merge = store.merge
+
+    def dying(name: str, rows: DataFrame):
+        if name == jobs.METRICS:
+            raise _Killed
+        return merge(name, rows)
+
+    newest = F.col("calculation_date") >= F.lit(RUN_DATE)
+    seen = []
+    for phase in ("killed", "again"):
+        store.merge = dying if phase == "killed" else merge
+        try:
+            jobs.run_daily(store, landed_for_jobs(fx), fx.changes(), RUN_DATE, LOADED_AT)
+        except _Killed:
+            pass
+        rows = store.read(jobs.METRICS).where(newest).select(F.lit(phase).alias("phase"), *schemas.column_names(schemas.METRICS))
+        seen.append(rows)
+    return seen[0].unionByName(seen[1])
+
+
+def _variant_lines(fx: Fixture) -> DataFrame:
+    """Records as JSON text: some fields null, some missing, some undeclared."""
+    own = ["id", "arrival_seq", "title", "release_date", "runtime", "video", "popularity", "vote_count", "vote_average"]
+    raw = fx.raw_details()
+    n = F.col("arrival_seq")
+    told = F.when(n % 3 == 0, ',"adult":null,"genres":null').when(n % 3 == 1, F.concat(F.lit(',"adult":'), F.col("adult").cast("string"), F.lit(',"genres":'), F.to_json("genres"))).otherwise("")
+    new = F.when(n % 2 == 0, F.format_string(',"franchise":{"id":%d,"name":"F%d"},"score":%d.5', n % 7, n % 7, n % 10)).otherwise("")
+    return raw.select(F.concat(F.regexp_replace(F.to_json(F.struct(*own)), r"\}$", ""), told, new, F.lit("}")).alias("value"))
+
+
+def _raw_variant_fields(fx: Fixture) -> DataFrame:
+    """A daily run over records with null, missing and undeclared fields: what stands in the
+    dimension and in the snapshots."""
+    path = scratch_path(fx.spark, "landed-text")
+    _variant_lines(fx).write.text(path)
+    store = _run_store(fx, "run-variant")
+    jobs.run_daily(store, records.read_records(fx.spark, path), fx.changes(), RUN_DATE, LOADED_AT)
+    day = store.read(jobs.SNAPSHOTS).where(F.col("snapshot_date") == F.lit(RUN_DATE))
+    day = day.select("movie_id", F.col("franchise.name").alias("snapshot_franchise"), F.col("score").alias("snapshot_score"))
+    movies = store.read(jobs.MOVIES).select("movie_id", "title", "runtime", "adult", "video", "genres", "franchise", "score")
+    return movies.join(day, "movie_id", "left")
+
+
+def _stream_without_order(fx: Fixture) -> DataFrame:
+    """The dimension after records without an arrival number: a title's first record lands before
+    its last, and the stream runs after each landing."""
+    landing = scratch_path(fx.spark, "landing")
+    raw = fx.raw_details().where("id IS NOT NULL")
+    store = _run_store(fx, "run-stream")
+    for order in ("min", "max"):
+        pick = getattr(F, f"{order}_by")(F.struct(*raw.columns), "arrival_seq").alias("r")
+        records_ = raw.groupBy(F.col("id").alias("_id")).agg(pick).select("r.*").drop("arrival_seq")
+        records_.repartition(3).write.mode("append").json(landing)
+        stream_ingest(fx.spark, landing, store, LOADED_AT, max_files_per_trigger=2)
+    return store.read(jobs.MOVIES).select(*schemas.column_names(schemas.MOVIES))
+
+
+def _stream_rejected(fx: Fixture) -> DataFrame:
+    """What the stream does not take: the same as the daily job."""
+    landing = scratch_path(fx.spark, "landing")
+    ingest.land_raw_details(fx.raw_details().repartition(4), landing)
+    store = _run_store(fx, "run-stream-rejects")
+    stream_ingest(fx.spark, landing, store, LOADED_AT, max_files_per_trigger=2, snapshot_date=RUN_DATE)
+    return store.read(jobs.REJECTS).select(*schemas.column_names(schemas.REJECTS)).drop("record")
+
+
 def _stream(fx: Fixture) -> DataFrame:
     landing = scratch_path(fx.spark, "landing")
     # Several files, so the stream runs several micro-batches.
@@ -270,6 +399,14 @@ def queries() -> dict[str, Query]:
     q["schema_evolution_load"] = on_fixture(_schema_evolution_load)
     q["stored_dimension"] = on_fixture(_stored_dimension)
     q["stream_metrics"] = on_fixture(_stream_metrics)
+    q["job_dimension"] = on_fixture(_job_dimension)
+    q["job_derived"] = on_fixture(_job_derived)
+    q["job_recent"] = on_fixture(_job_recent)
+    q["job_late_date"] = on_fixture(_job_late_date)
+    q["job_killed"] = on_fixture(_job_killed)
+    q["raw_variant_fields"] = on_fixture(_raw_variant_fields)
+    q["stream_without_order"] = on_fixture(_stream_without_order)
+    q["stream_rejected"] = on_fixture(_stream_rejected)
     q["job_weekly"] = on_fixture(_job_weekly)
     q["stream_ingest"] = on_fixture(_stream)
     # B: derived per-snapshot metrics

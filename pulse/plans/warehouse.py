@@ -27,7 +27,8 @@ same code works on a local disk or on shared cluster storage.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +63,11 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
 
+    @contextmanager
+    def run(self) -> Iterator[Warehouse]:
+        """The writes of one job (each commits on its own here; see ``runs.RunStore``)."""
+        yield self
+
     # -- file system -------------------------------------------------------
     def _fs_path(self, path: str):
         jvm = self.spark.sparkContext._jvm

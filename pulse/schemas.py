@@ -164,12 +164,31 @@ TAIL = T.StructType(
     ]
 )
 
+# Each title's newest rows in one row (run store).
+RECENT = T.StructType(
+    [
+        T.StructField("movie_id", T.LongType(), False),
+        T.StructField(
+            "recent",
+            T.ArrayType(
+                T.StructType(
+                    [
+                        *(T.StructField(f.name, f.dataType) for f in SNAPSHOT_BASE.fields[1:]),
+                        T.StructField("ingestion_timestamp", T.TimestampType()),
+                    ]
+                )
+            ),
+        ),
+    ]
+)
+
 # Stored tables by name.
 TABLES = {
     "movies": MOVIES,
     "movie_daily_snapshots": SNAPSHOTS,
     "movie_metrics_aggregated": METRICS,
     "movie_snapshot_tail": TAIL,
+    "movie_recent_snapshots": RECENT,
     "raw_latest_state": RAW_DETAILS,
     "rejected_records": REJECTS,
 }
