@@ -205,25 +205,33 @@ def _run_store(fx: Fixture, name: str, snapshots: DataFrame | None = None) -> Ru
     return store
 
 
-def _daily_store(fx: Fixture, name: str) -> RunStore:
-    store = _run_store(fx, name)
-    jobs.run_daily(store, landed_for_jobs(fx), fx.changes(), RUN_DATE, LOADED_AT)
-    return store
+_DAILY: dict[tuple[str, str], RunStore] = {}
+
+
+def _daily_store(fx: Fixture) -> RunStore:
+    """A run store after the daily run, once per session and source folder (what a run leaves is
+    read by several keys)."""
+    key = (fx.spark.sparkContext.applicationId, fx.sf_dir)
+    if key not in _DAILY:
+        store = _run_store(fx, "run-daily")
+        jobs.run_daily(store, landed_for_jobs(fx), fx.changes(), RUN_DATE, LOADED_AT)
+        _DAILY[key] = store
+    return _DAILY[key]
 
 
 def _job_dimension(fx: Fixture) -> DataFrame:
-    return _daily_store(fx, "run-dimension").read(jobs.MOVIES).select(*schemas.column_names(schemas.MOVIES))
+    return _daily_store(fx).read(jobs.MOVIES).select(*schemas.column_names(schemas.MOVIES))
 
 
 def _job_derived(fx: Fixture) -> DataFrame:
     """The run date's snapshots with their derived columns after a daily run."""
-    rows = _daily_store(fx, "run-derived").read(jobs.SNAPSHOTS).where(F.col("snapshot_date") == F.lit(RUN_DATE))
+    rows = _daily_store(fx).read(jobs.SNAPSHOTS).where(F.col("snapshot_date") == F.lit(RUN_DATE))
     return rows.select(*schemas.column_names(schemas.SNAPSHOTS))
 
 
 def _job_recent(fx: Fixture) -> DataFrame:
     """Each title's newest rows after a daily run."""
-    return jobs._recent_rows(_daily_store(fx, "run-recent"))
+    return jobs._recent_rows(_daily_store(fx))
 
 
 LATE_DATE = RUN_DATE - _dt.timedelta(days=10)
