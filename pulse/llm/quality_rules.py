@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from pulse.llm.frames import n_parts, prepare, stored
+from pulse.llm.frames import free_names, n_parts, prepare, stored
 from pulse.llm.text import SPACE, U64, Block, blocks, find_words, gram_hashes, gram_starts, mix
 
 #: Character classes by first byte of a code point (a continuation byte belongs to none).
@@ -65,9 +65,13 @@ class QualityRules:
     #: Jensen-Shannon distances (0 to 1) above which a document fails.
     class_limit: float = 0.3
     word_limit: float = 0.5
-    #: Languages with a reference of their own, those with the most words first;
-    #: documents of others are held against the nearest reference.
-    most_languages: int = 500
+    #: References that every task holds, those of the languages with the most words. Documents
+    #: of other languages are joined to theirs; those without a language are held against the
+    #: nearest of the shared ones.
+    shared_languages: int = 500
+    #: Languages with a reference of their own, those with the most words first (None: all);
+    #: documents of others are held against the nearest shared reference.
+    most_languages: int | None = None
     flush: int = 2_000_000
 
 
@@ -150,9 +154,34 @@ _PART = pa.schema([("lang", pa.string()), ("block", pa.int32()), ("data", pa.bin
 _COUNT = [np.uint64, np.int64]
 
 
-def references(docs: DataFrame, p: QualityRules) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each language: character-class shares, hashes of its common words (sorted), their
-    shares followed by the share of all other words. Counted over all documents with a language."""
+Reference = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _reference(row) -> Reference:
+    """Character-class shares, hashes of the common words (sorted), and their shares followed by
+    the share of all other words, from a row (words, classes, top)."""
+    classes = np.zeros(NO_CLASS)
+    for c in row["classes"] or ():
+        classes[c["word"]] = c["n"]
+    keys = np.array([t["word"] for t in row["top"] or ()], dtype=np.int64).view(U64)
+    order = np.argsort(keys)
+    counts = np.array([t["n"] for t in row["top"] or ()], dtype=float)[order]
+    words = row["words"]
+    return classes / max(classes.sum(), 1), keys[order], np.append(counts, max(words - counts.sum(), 0)) / max(words, 1)
+
+
+def references(docs: DataFrame, p: QualityRules) -> dict[str, Reference]:
+    """The references that every task holds: of the languages with the most words."""
+    return _shared(_reference_table(docs, p), p)
+
+
+def _shared(refs: DataFrame, p: QualityRules) -> dict[str, Reference]:
+    rows = refs.orderBy(F.desc("words"), "lang").limit(p.shared_languages).collect()
+    return {r["lang"]: _reference(r) for r in rows}
+
+
+def _reference_table(docs: DataFrame, p: QualityRules) -> DataFrame:
+    """(lang, words, classes, top) of each language, counted over all its documents."""
     spark = docs.sparkSession
     n_blocks, keep, flush = n_parts(spark), p.common_words, p.flush
     CLASS_BLOCK = -1
@@ -220,27 +249,16 @@ def references(docs: DataFrame, p: QualityRules) -> dict[str, tuple[np.ndarray,
     parts = docs.where("lang IS NOT NULL AND length(text) > 0").select("lang", "text").mapInArrow(run, _PART_DDL)
     parts = parts.repartition(n_blocks, "lang", "block").sortWithinPartitions("lang", "block")
     found = stored(parts.mapInArrow(total, "lang string, block int, word bigint, n bigint, total bigint"), "language-words")
-    totals = found.where(F.col("block") != CLASS_BLOCK).groupBy("lang").agg(F.sum("total").alias("words")).orderBy(F.desc("words"), "lang").limit(p.most_languages)
+    counted = found.where(F.col("block") != CLASS_BLOCK)
+    pair = F.collect_list(F.struct("word", "n"))
+    totals = counted.groupBy("lang").agg(F.sum("total").alias("words"))
     # at most common_words rows of each block and language meet here
-    top = found.where(F.col("block") != CLASS_BLOCK).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("r") <= keep)
-    out = {}
-    for r in totals.collect():
-        out[r["lang"]] = [r["words"], np.zeros(NO_CLASS), [], []]
-    for r in found.where(F.col("block") == CLASS_BLOCK).collect():
-        if r["lang"] in out:
-            out[r["lang"]][1][r["word"]] = r["n"]
-    for r in top.collect():
-        if r["lang"] in out:
-            out[r["lang"]][2].append(r["word"])
-            out[r["lang"]][3].append(r["n"])
-    made = {}
-    for lang, (words, classes, keys, counts) in out.items():
-        keys = np.array(keys, dtype=np.int64).view(U64)
-        order = np.argsort(keys)
-        counts = np.array(counts, dtype=float)[order]
-        shares = np.append(counts, max(words - counts.sum(), 0)) / max(words, 1)
-        made[lang] = (classes / max(classes.sum(), 1), keys[order], shares)
-    return made
+    top = counted.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("r") <= keep)
+    classes = found.where(F.col("block") == CLASS_BLOCK).groupBy("lang").agg(pair.alias("classes"))
+    refs = totals.join(classes, "lang", "left").join(top.groupBy("lang").agg(pair.alias("top")), "lang", "left")
+    if p.most_languages is not None:
+        refs = refs.orderBy(F.desc("words"), "lang").limit(p.most_languages)
+    return stored(refs, "language-references")
 
 
 # -- the operator ------------------------------------------------------------
@@ -261,22 +279,30 @@ def judge(docs: DataFrame, p: QualityRules = QualityRules()) -> DataFrame:
     docs = docs.drop(*(n for n, _ in made))
     columns = docs.columns
     lang_at = columns.index("lang")
-    shared = spark.sparkContext.broadcast(references(docs, p))
+    refs = _reference_table(docs, p)
+    held = _shared(refs, p)
+    others = None if refs.count() <= len(held) else refs.where(~F.col("lang").isin(list(held)))
+    shared = spark.sparkContext.broadcast(held)
 
     def run(batches):
-        refs = shared.value
-        names = list(refs)
         for block in blocks(batches, "text"):
+            langs = block.rows.column(lang_at).to_pylist()
+            if block.rows.num_columns > len(columns):  # each document comes with its language's reference
+                own = block.rows.column(len(columns))
+                first = {x: i for i, x in reversed(list(enumerate(langs)))}
+                refs = {x: _reference(own[i].as_py()) for x, i in first.items() if own[i].is_valid}
+            else:
+                refs = shared.value
             c = count_block(block, p.repeat_window)
             n = len(block)
             base = (c.n_words < p.min_base_words) | (100 * c.n_repeat_words > p.repeat_percent * c.n_words)
-            judged = (c.n_words >= p.min_words) & bool(names)
+            judged = (c.n_words >= p.min_words) & bool(refs)
             d_class, d_word = np.full(n, np.nan), np.full(n, np.nan)
             if judged.any():
-                langs = block.rows.column(lang_at).to_pylist()
                 w = find_words(block.buf, block.off, lower=True)
                 word_doc = w.doc()
-                for lang in names:
+                lost = any(x not in refs for x in langs)
+                for lang in refs if lost else dict.fromkeys(langs):
                     rows = judged & np.array([x == lang or x not in refs for x in langs])
                     if not rows.any():
                         continue
@@ -294,6 +320,14 @@ def judge(docs: DataFrame, p: QualityRules = QualityRules()) -> DataFrame:
             nulls = np.isnan(d_class)
             out = [c.n_words, c.word_chars, c.n_symbols, c.n_dup_lines, c.n_repeat_words]
             out = [pa.array(x.astype(np.int64)) for x in out] + [pa.array(d_class, mask=nulls), pa.array(d_word, mask=nulls), pa.array(base), pa.array(~base & ~fails)]
-            yield pa.RecordBatch.from_arrays([*block.rows.columns, *out], names=[*columns, *(n for n, _ in made)])
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(a, b) for a, b in made)]))
+            yield pa.RecordBatch.from_arrays([*block.rows.columns[: len(columns)], *out], names=[*columns, *(n for n, _ in made)])
+
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(a, b) for a, b in made)])
+    if others is None:
+        return docs.mapInArrow(run, schema)
+    far = F.col("lang").isNotNull() & ~F.col("lang").isin(list(held))
+    key, ref = free_names(docs, "ref_lang", "ref")
+    others = others.select(F.col("lang").alias(key), F.struct("words", "classes", "top").alias(ref))
+    joined = docs.where(far).join(others, F.col("lang") == F.col(key), "left").select(*(docs[c] for c in columns), ref)
+    near = docs.where(~far).unionByName(joined.where(F.col(ref).isNull()).select(columns))
+    return near.mapInArrow(run, schema).unionByName(joined.where(F.col(ref).isNotNull()).mapInArrow(run, schema))
