@@ -3,8 +3,11 @@
 Each round turns every neighbourhood into a star around its smallest node
 (first over larger, then over smaller neighbours), so chains shrink
 geometrically. A node's neighbourhood is never gathered: its minimum is a
-combinable aggregate, joined back to the edges, and a hub's edges stay
-spread over tasks. Rounds are cut with tables in the shared scratch folder.
+combinable aggregate, joined back to the edges. Hubs, the nodes with more than
+a thousandth of the edges, get their minimum from a broadcast list (at most
+2000 rows), so a hub's edges stay where they are; only the others' edges are
+dealt by node. Rounds are cut with tables in the shared scratch folder and go
+on until the stars are settled.
 """
 
 from __future__ import annotations
@@ -17,7 +20,8 @@ from pyspark.sql import functions as F
 from pulse.llm.frames import Forest, batches_of, stored
 
 EDGE = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
-MAX_ROUNDS = 60
+HUB_SHARE = 1000  # a hub has more than one edge end in so many
+LEAST_HUB = 1000
 _FLUSH = 500_000
 
 
@@ -45,11 +49,14 @@ def _contract(batches):
         yield from batches_of(EDGE, list(spanning(*(np.concatenate(x) for x in zip(*held)))))
 
 
-def _stars(edges: DataFrame, larger: bool) -> DataFrame:
-    """One contraction: rows (src > dst) to rows (src > dst)."""
+def _stars(edges: DataFrame, larger: bool, most: int) -> DataFrame:
+    """One contraction: rows (src > dst) to rows (src > dst). A node with more than ``most``
+    edges is a hub."""
     both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))) if larger else edges
-    least = both.groupBy("src").agg(F.min("dst").alias("low")).withColumn("low", F.least("src", "low"))
-    joined = both.join(least, "src")
+    least = both.groupBy("src").agg(F.min("dst").alias("low"), F.count("*").alias("n")).withColumn("low", F.least("src", "low"))
+    hubs = F.broadcast(least.where(F.col("n") > most).select("src", "low"))
+    others = least.where(F.col("n") <= most).select("src", "low")
+    joined = both.join(hubs, "src").unionByName(both.join(hubs.select("src"), "src", "left_anti").join(others, "src"))
     if larger:
         out = joined.where("dst > src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
     else:
@@ -72,11 +79,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     one_way = edges.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
     now = stored(one_way.mapInArrow(_contract, "src bigint, dst bigint").distinct(), "components")
-    for _ in range(MAX_ROUNDS):
-        if _settled(now):
-            break
-        now = stored(_stars(_stars(now, True), False), "components")
-    else:
-        raise RuntimeError("components did not settle")
+    while not _settled(now):
+        most = max(LEAST_HUB, now.count() // HUB_SHARE)
+        now = stored(_stars(_stars(now, True, most), False, most), "components")
     roots = now.select(F.col("dst").alias("node"), F.col("dst").alias("component")).distinct()
     return now.select(F.col("src").alias("node"), F.col("dst").alias("component")).unionByName(roots)

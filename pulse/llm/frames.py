@@ -39,6 +39,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores after it as make it no column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def n_parts(spark: SparkSession) -> int:
     """How many partitions the session gives a shuffle; blocks of work follow it."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

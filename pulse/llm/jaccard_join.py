@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulse.llm.components import components
-from pulse.llm.frames import BLOCK_DDL, BLOCK_SCHEMA, grouped_blocks, n_parts, pack_blocks, prepare, stored, to_blocks
+from pulse.llm.frames import BLOCK_DDL, BLOCK_SCHEMA, free_names, grouped_blocks, n_parts, pack_blocks, prepare, stored, to_blocks
 from pulse.llm.text import U64, Block, blocks, find_words, gram_hashes, mix, sequence_hash
 
 SUB = 4  # blocks per partition: a task holds one at a time
@@ -468,6 +468,12 @@ def jaccard_components(docs: DataFrame, p: JaccardJoin = JaccardJoin()) -> DataF
     their component (null if it has none). Repeated rows each get a row; other
     columns are ignored; an empty table gives no rows.
     """
+    return _members(docs, p).select("doc_id", "n_shingles", "component_id")
+
+
+def _members(docs: DataFrame, p: JaccardJoin) -> DataFrame:
+    """(doc_id, mark, n_shingles, component_id, root) for every row: ``mark`` is ``xxhash64(text)``;
+    ``root`` names the component, null for a row with an empty set."""
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
@@ -489,23 +495,32 @@ def jaccard_components(docs: DataFrame, p: JaccardJoin = JaccardJoin()) -> DataF
     rep = rep.select("node", "r.doc_id", "r.mark", "n_shingles")
     linked = components(_row_links(docs, rep.join(candidate, "node"), p))
     least = linked.join(rep, "node").groupBy("component").agg(F.min("doc_id").alias("low"))
-    lowest = linked.join(least, "component").select("node", "low")
-    lowest = rep.select("node", F.col("doc_id").alias("own")).join(lowest, "node", "left").select("node", F.coalesce("low", "own").alias("component_id"))
+    lowest = linked.join(least, "component").select("node", "low", "component")
+    lowest = rep.select("node", F.col("doc_id").alias("own")).join(lowest, "node", "left").select("node", F.coalesce("low", "own").alias("component_id"), F.coalesce("component", "node").alias("root"))
     joined = members.join(stored(lowest, "jaccard-lowest"), "node", "left")
-    return joined.select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return joined.select("doc_id", "mark", "n_shingles", "root", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, p: JaccardJoin = JaccardJoin()) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of their component.
+    """One row of each component of ``docs``; rows with an empty set all stay.
 
-    Of several rows with one doc_id the least (by its columns in order) stays.
-    Rows with a null doc_id cannot be named by a component: they stay, once
-    for each text. All columns of ``docs`` are returned as they are.
+    The row with the smallest doc_id stays (a null one stands last), then the
+    one with the smallest hash of its text; of rows that agree in both, the
+    least by its columns in order. So rows that share a doc_id are judged by
+    their own texts. All columns of ``docs`` are returned as they are.
     """
-    ids = stored(jaccard_components(docs, p).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.col("component_id") == F.col("doc_id")).alias("first")), "jaccard-ids")
-    once = docs.join(ids.where("n > 1 OR NOT first").select("doc_id"), "doc_id", "left_anti").where("doc_id IS NOT NULL")
-    several = docs.join(ids.where("n > 1 AND first").select("doc_id"), "doc_id", "left_semi")
-    several = several.groupBy(F.col("doc_id").alias("k")).agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
-    unnamed = docs.where("doc_id IS NULL").dropDuplicates(["text"])
+    members = stored(_members(docs, p).select("doc_id", "mark", "root"), "jaccard-members")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("w")
+    won = members.where("root IS NOT NULL").groupBy("root").agg(first).select("root", F.col("w.doc_id").alias("w_id"), F.col("w.mark").alias("w_mark"))
+    judged = members.join(won, "root", "left")
+    stays = F.col("root").isNull() | (F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("mark") == F.col("w_mark")))
+    several = F.col("root").isNotNull() & (F.count("*") > 1)
+    rows = judged.where(stays).groupBy("doc_id", "mark", "root").agg(several.alias("several"))
     cols = docs.columns
-    return once.select(cols).unionByName(several.select(cols)).unionByName(unnamed.select(cols))
+    row_id, row_mark, kept_id, kept_mark, many = free_names(docs, "row_id", "row_mark", "kept_id", "kept_mark", "several")
+    rows = stored(rows.select(F.col("doc_id").alias(kept_id), F.col("mark").alias(kept_mark), F.col("several").alias(many)), "jaccard-kept")
+    marked = docs.select(*cols, F.col("doc_id").cast("bigint").alias(row_id), F.xxhash64("text").alias(row_mark))
+    found = marked.join(rows, F.col(row_id).eqNullSafe(F.col(kept_id)) & (F.col(row_mark) == F.col(kept_mark)))
+    once = found.where(~F.col(many)).select(cols)
+    least = found.where(many).groupBy(row_id, row_mark).agg(F.min(F.struct(*cols)).alias("r")).select("r.*")
+    return once.unionByName(least)

@@ -47,7 +47,8 @@ def test_nulls_empty_repeated_rows_and_other_columns(spark):
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_components(df).collect()), key=key)
     assert got == sorted([(1, 2, 1), (1, 2, 1), (None, 2, 1), (5, 0, 5), (6, 0, 6), (7, 0, 7), (None, 1, None)], key=key)
     kept = sorted(((r["doc_id"], r["text"]) for r in keep_one(df).collect()), key=key)
-    assert kept == sorted([(1, "a b c d e f"), (None, "A B C D E F"), (None, "q r"), (5, None), (6, ""), (7, "")], key=key)
+    # a row without an id that is linked to a named one goes
+    assert kept == sorted([(1, "a b c d e f"), (None, "q r"), (5, None), (6, ""), (7, "")], key=key)
     assert keep_one(df).columns == df.columns
 
 
