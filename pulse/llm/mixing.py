@@ -26,6 +26,10 @@ from pulse.llm.frames import n_parts, prepare, stored
 ORDER_BITS = 31
 
 
+#: Sources up to which what is known of each is broadcast.
+FEW_SOURCES = 10_000
+
+
 @dataclass(frozen=True)
 class Mixing:
     max_repeats: int = 3
@@ -120,6 +124,8 @@ def _closing(taken: DataFrame, keyed: DataFrame, sources: DataFrame, p: Mixing)
     short = short.select(F.col("source").alias("s_source"), (F.col("target") - F.coalesce("had", F.lit(0))).alias("short")).where("short > 0")
     used = taken.groupBy("row_id").agg(F.count("*").cast("int").alias("epoch"))
     free = keyed.join(used, "row_id", "left").withColumn("epoch", F.coalesce("epoch", F.lit(0))).where(F.col("epoch") < p.max_repeats)
+    if sources.count() <= FEW_SOURCES:  # a source may hold a third of all rows: they stay where they are
+        short = F.broadcast(short)
     free = free.join(short, F.col("source").eqNullSafe(F.col("s_source"))).where("size > 0 AND size < 2 * short")
     copy = F.struct("row_id", "doc_id", "size", "epoch")
     best = free.groupBy("source").agg(F.min_by(copy, F.struct(F.abs(F.col("short") - F.col("size")), "place", "doc_id", "row_id")).alias("c"))
@@ -162,10 +168,10 @@ def mix_documents(docs: DataFrame, weights: DataFrame | None = None, p: Mixing =
     number = F.row_number().over(Window.partitionBy(*key).orderBy("row_id"))
     times = sized.select("row_id", *key).withColumn("number", number).join(times.select("row_id", "mix_finish"), "row_id")
     times = times.select(*(F.col(c).alias(f"mix_{c}") for c in [*key, "number"]), "mix_finish")
-    columns = docs.columns
-    rows = docs.withColumn("mix_own_size", size)
-    rows = rows.withColumn("mix_own_number", F.row_number().over(Window.partitionBy("doc_id", "source", "mix_own_size").orderBy("text")))
+    # the row is one struct, so its columns meet no name of the queue's
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", "text", size.alias("size"))
+    rows = rows.withColumn("number", F.row_number().over(Window.partitionBy(*key).orderBy("text"))).drop("text")
     same = F.col("doc_id").eqNullSafe(F.col("mix_doc_id")) & F.col("source").eqNullSafe(F.col("mix_source"))
-    same &= (F.col("mix_own_size") == F.col("mix_size")) & (F.col("mix_own_number") == F.col("mix_number"))
+    same &= (F.col("size") == F.col("mix_size")) & (F.col("number") == F.col("mix_number"))
     mixed = rows.join(times, same).withColumn("mix_at", F.explode("mix_finish"))
-    return mixed.repartitionByRange(n_parts(docs.sparkSession), "mix_at", "source", "doc_id").sortWithinPartitions("mix_at").select(columns)
+    return mixed.repartitionByRange(n_parts(docs.sparkSession), "mix_at", "source", "doc_id").sortWithinPartitions("mix_at").select("row.*")

@@ -138,7 +138,10 @@ def sample(docs: DataFrame, labels: DataFrame, p: QualityKnn = QualityKnn()) ->
     # the window's limit is pushed down: each task passes on per_label rows of a label at most
     few = labels.where("label IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "label").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= p.per_label)
     chosen = F.broadcast(few.select("doc_id", "label"))  # 2 * per_label rows at most
-    return docs.select("doc_id", "text").join(chosen, "doc_id").where("text IS NOT NULL")
+    found = docs.select("doc_id", "text").join(chosen, "doc_id").where("text IS NOT NULL")
+    # a doc_id may stand in many rows
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id", F.xxhash64("text"))
+    return found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= p.per_label).drop("r")
 
 
 def classify(docs: DataFrame, fitted: Fitted | None, p: QualityKnn = QualityKnn()) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulse.llm.frames import BLOCK_DDL, BLOCK_SCHEMA, n_parts, prepare, stored, to_blocks
+from pulse.llm.frames import BLOCK_DDL, BLOCK_SCHEMA, free_names, n_parts, prepare, stored, to_blocks
 from pulse.llm.text import U64, blocks, find_words, gram_hashes, gram_starts, mix
 
 SUB = 8  # blocks per partition: a task holds one at a time
@@ -304,9 +304,10 @@ def remove_repeats(docs: DataFrame, p: SubstringDedup = SubstringDedup()) -> Dat
     width = p.window
     docs = docs.drop("n_words", "n_removed")
     columns = docs.columns
-    spans = stored(repeated_spans(docs, p), "repeated-spans").withColumnsRenamed({"doc_id": "span_doc_id", "mark": "span_mark", "spans": "repeat_spans"})
-    same = F.col("doc_id").eqNullSafe(F.col("span_doc_id")) & (F.xxhash64("text") == F.col("span_mark"))
-    joined = docs.join(spans, same, "left").select(*columns, "repeat_spans")
+    own_id, own_mark, own_spans = free_names(docs, "span_doc_id", "span_mark", "repeat_spans")
+    spans = stored(repeated_spans(docs, p), "repeated-spans").withColumnsRenamed({"doc_id": own_id, "mark": own_mark, "spans": own_spans})
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_mark))
+    joined = docs.join(spans, same, "left").select(*columns, own_spans)
     text_at = columns.index("text")
 
     def cut(block):

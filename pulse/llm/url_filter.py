@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulse.llm.frames import free_names
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -92,6 +94,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, p: UrlFilter = UrlFilter()) -
     """
     pages = pages.drop("host", "path", "rule", "verdict")
     parts = pages.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
-    found = matched(parts, rules, p).withColumnRenamed("host", "m_host").withColumnRenamed("path", "m_path")
-    out = parts.join(found, (F.col("host") == F.col("m_host")) & (F.col("path") == F.col("m_path")), "left")
+    host, path = free_names(parts, "m_host", "m_path")
+    found = matched(parts, rules, p).withColumnRenamed("host", host).withColumnRenamed("path", path)
+    out = parts.join(found, (F.col("host") == F.col(host)) & (F.col("path") == F.col(path)), "left")
     return out.select(*pages.columns, "host", "path", "rule", F.coalesce("verdict", F.lit(p.otherwise)).alias("verdict"))
