@@ -26,8 +26,14 @@ from pyspark.sql.window import Window
 from pulse.llm.frames import n_parts, prepare, stored
 from pulse.llm.text import SPACE, U64, Block, _range_hash, blocks
 
-#: Distinct words that a worker remembers with their ids before it starts anew (about 60 bytes each).
+#: Distinct words that a worker remembers with their ids before it drops those it met least (about 60 bytes each).
 REMEMBER = 800_000
+#: Bytes of text that a task works on at a time.
+BLOCK_BYTES = 1 << 20
+#: Words that are tokenised as one text.
+TOGETHER = 200
+#: White space that separates words.
+WHITE = " \t\n\x0b\x0c\r"
 
 #: Strings that end the search for white space outside ASCII: texts with one of
 #: these (as UTF-8 bytes) are tokenised whole.
@@ -46,9 +52,9 @@ class WordIds:
 
     The tokenizer splits a text where a word is followed by white space, so a
     text's ids are those of its parts (white space and the word after it) one
-    after the other. Each distinct part is tokenised once and remembered by
-    its 64-bit hash. Texts with an added token, or with white space outside
-    ASCII, are tokenised whole.
+    after the other. Each distinct part is tokenised once, many as one text,
+    and remembered by its 64-bit hash. Texts with an added token, or with
+    white space outside ASCII, are tokenised whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,25 +63,70 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = [*added, *OTHER_SPACE, *(bytes([c]) for c in range(0x1C, 0x20))]
-        self.forget()
-
-    def forget(self) -> None:
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: Bytes that each id stands for: a byte-level token has one character for each.
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes_of[i] = len(token)
         self.keys, self.place = np.zeros(0, U64), np.zeros(0, np.int32)  # sorted hashes, and where their ids are listed
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
         self.start = np.zeros(1 << 14, dtype=np.int64)
         self.count = np.zeros(1 << 14, dtype=np.int32)
+        self.met = np.zeros(1 << 14, dtype=np.int32)  # blocks that had the word
         self.used = 0
 
+    def forget(self) -> None:
+        """Drop the half of the words that the fewest blocks had; the others' counts are halved,
+        so words that have not come for long go later on."""
+        met = self.met[self.place]
+        stay = np.sort(np.argsort(-met, kind="stable")[: len(met) // 2])  # by hash, as the keys are
+        old = self.place[stay]
+        count = self.count[old]
+        at = np.cumsum(count, dtype=np.int64) - count
+        self.ids = self.ids[np.repeat(self.start[old] - at, count) + np.arange(int(count.sum()))]
+        self.used = len(self.ids)
+        self.keys, self.place = self.keys[stay], np.arange(len(stay), dtype=np.int32)
+        self.start, self.count, self.met = at, count, met[stay] // 2
+
+    def _tokenised(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all parts one after the other, number of ids of each).
+
+        Parts that begin with white space and end with a word may follow each
+        other in one text: a word is followed by white space there, as it is
+        in documents. The bytes of the ids say where each part ends.
+        """
+        joins = [i for i, x in enumerate(parts) if x[0] in WHITE and x[-1] not in WHITE]
+        alone = sorted(set(range(len(parts))).difference(joins))
+        groups = [joins[i : i + TOGETHER] for i in range(0, len(joins), TOGETHER)] + [[i] for i in alone]
+        out: list = [None] * len(parts)
+        for group in groups:  # one by one: an encoding takes far more memory than its ids
+            encoded = self.tokenizer.encode_batch_fast(["".join([parts[i] for i in group])], add_special_tokens=False)[0]
+            ids = np.array(encoded.ids, dtype=np.uint32)
+            if len(group) == 1:
+                out[group[0]] = ids
+                continue
+            ends = np.cumsum([len(parts[i].encode()) for i in group])
+            token_ends = np.cumsum(self.bytes_of[ids])
+            cut = np.searchsorted(token_ends, ends)
+            if not len(ids) or token_ends[-1] != ends[-1] or (token_ends[np.minimum(cut, len(ids) - 1)] != ends).any():
+                # not a byte-level tokenizer, or one that joins words: part by part
+                for i in group:
+                    out[i] = np.array(self.tokenizer.encode(parts[i], add_special_tokens=False).ids, dtype=np.uint32)
+                continue
+            begin = 0
+            for i, end in zip(group, (cut + 1).tolist()):
+                out[i] = ids[begin:end]
+                begin = end
+        return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
+
     def _learn(self, hashes: np.ndarray, parts: list[str]) -> None:
         """Tokenise parts that are not known (``hashes`` sorted)."""
-        found = [e.ids for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((y for x in found for y in x), np.uint32, int(lengths.sum()))
+        flat, lengths = self._tokenised(parts)
         n = len(self.keys)
         while len(self.ids) < self.used + len(flat):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), 1 << 16), np.uint32)])
         while len(self.start) < n + len(parts):
-            self.start, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.count))
+            self.start, self.count, self.met = (np.concatenate([x, np.zeros(max(len(x), 1 << 14), x.dtype)]) for x in (self.start, self.count, self.met))
         self.ids[self.used : self.used + len(flat)] = flat
         self.start[n : n + len(parts)] = self.used + np.cumsum(lengths) - lengths
         self.count[n : n + len(parts)] = lengths
@@ -86,18 +137,23 @@ class WordIds:
 
     def _places(self, values: np.ndarray, part_of) -> np.ndarray:
         """Where the ids of each of the (sorted) hashes are listed; unknown ones are learnt."""
-        for _ in range(2):
-            at = np.searchsorted(self.keys, values)
-            new = np.ones(len(values), dtype=bool)
-            if len(self.keys):
-                new = self.keys[np.minimum(at, len(self.keys) - 1)] != values
-            if not new.any():
-                return self.place[at]
-            if len(self.keys) and len(self.keys) + int(new.sum()) > REMEMBER:
-                self.forget()
-                new[:] = True
+        at, new = self._unknown(values)
+        if len(self.keys) and len(self.keys) + int(new.sum()) > REMEMBER:
+            self.forget()
+            at, new = self._unknown(values)
+        if new.any():
             self._learn(values[new], part_of(np.flatnonzero(new)))
-        return self.place[np.searchsorted(self.keys, values)]
+            at = np.searchsorted(self.keys, values)
+        place = self.place[at]
+        self.met[place] += 1
+        return place
+
+    def _unknown(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of the hashes among the keys, True where a hash is not there)."""
+        at = np.searchsorted(self.keys, values)
+        if not len(self.keys):
+            return at, np.ones(len(values), dtype=bool)
+        return at, self.keys[np.minimum(at, len(self.keys) - 1)] != values
 
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, each document's first place in them; n + 1) of a block."""
@@ -182,7 +238,7 @@ def pieces(docs: DataFrame, p: Packing, with_ids: bool = False) -> DataFrame:
         encoder = _ENCODERS.get(path)
         if encoder is None:
             encoder = _ENCODERS[path] = WordIds(path)
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK_BYTES):
             ids, first = encoder.encode(block)
             n = len(block)
             all_ids = np.full(len(ids) + n, end, dtype="<u4")
