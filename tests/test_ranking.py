@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -127,3 +128,22 @@ def test_percent_rank_of_matches_full_ranking(spark, skewed):
     got = percent_rank_of(probe, scored, "v", "pr")
     joined = got.alias("g").join(full.alias("f"), "movie_id")
     assert joined.where(F.abs(F.col("g.pr") - F.col("f.pr")) > 1e-12).count() == 0
+
+
+def test_distinct_values_are_not_dealt_by_a_group_alone(spark, skewed):
+    """What is exchanged on the key of one group, or of a few, is aggregated before."""
+    scored = skewed.where(F.col("v").isNotNull())
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df, key in ((percent_rank_distributed(scored, "v", "pr"), "_all"), (percentile_cont_distributed(scored, "v", 0.5, "m", ["g"], few_groups=True), "g")):
+            lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+            at = [i for i, x in enumerate(lines) if re.search(rf"Exchange hashpartitioning\({key}#\d+L?, \d+\)", x)]
+            assert at
+            for i in at:
+                below = lines[i + 1] + lines[i + 2]
+                assert "partial_" in below or "_n_bucket" in below, below
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -1,6 +1,7 @@
 """View semantics on small hand-made tables (cases the fixtures do not reach)."""
 
 import datetime as dt
+import tempfile
 
 from pyspark.sql import functions as F
 
@@ -121,3 +122,18 @@ def test_week_over_week_uses_previous_week_row(spark):
     rows = sorted(momentum.popularity_week_over_week(snaps, mv).collect(), key=lambda r: r.current_week)
     assert [r.current_week for r in rows] == [D("2023-12-31"), D("2024-01-07")]
     assert rows[1].current_week_avg_popularity == 25.0 and rows[1].wow_pct_change == 150.0
+
+
+def test_the_percentile_counts_its_population_without_the_wide_join(spark):
+    """The join with titles and ratings occurs once; the population is read by its keys and score."""
+    from pulse.operators.virality import viral_coefficient_scores
+
+    base = base_snapshots(spark, daily_series(1, "2024-01-01", range(1, 40), range(100, 139)))
+    path = tempfile.mkdtemp(prefix="pulse-plan-")
+    derived_metrics(base).write.parquet(f"{path}/s")
+    aggregated_metrics(base).write.parquet(f"{path}/m")
+    movies(spark, [(1, "t", "2024-01-01")]).write.parquet(f"{path}/d")
+    tables = [spark.read.parquet(f"{path}/{x}") for x in "mds"]
+    plan = viral_coefficient_scores(*tables)._jdf.queryExecution().executedPlan().toString()
+    for wide in ("release_date", "vote_average"):
+        assert plan.count(f"{wide}:") == 1, wide
