@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pulse.llm.packing import Packing, WordIds, pack_documents, plan
@@ -105,3 +106,25 @@ def test_plan_follows_lengths_not_documents():
 
 def test_empty_table(spark):
     assert pack_documents(spark.createDataFrame([], "doc_id bigint, text string"), Packing(tokenizer_path())).collect() == []
+
+
+def test_words_tokenised_together_and_forgotten_by_halves(monkeypatch):
+    import random
+
+    from pulse.llm import packing
+    from pulse.llm.text import blocks
+
+    monkeypatch.setattr(packing, "REMEMBER", 300)
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdeé.,'\"1日") for _ in range(rng.randrange(1, 7)))
+    encoder = WordIds(tokenizer_path())
+    common = [word() for _ in range(40)]
+    for _ in range(12):
+        texts = ["".join(rng.choice([" ", "\n", "  ", "\n\n", "\t"]) + (rng.choice(common) if rng.random() < 0.6 else word()) for _ in range(60)) + rng.choice(["", " ", "\n\n "]) for _ in range(6)] + ["", " ", "x"]
+        batch = pa.record_batch([pa.array(texts)], names=["text"])
+        for block in blocks([batch], "text"):
+            ids, first = encoder.encode(block)
+            for i, text in enumerate(texts):
+                want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+                assert ids[first[i] : first[i + 1]].tolist() == want
+    assert len(encoder.keys) <= 600 and (encoder.keys[1:] > encoder.keys[:-1]).all()
