@@ -11,6 +11,7 @@ from pulse import schemas
 from pulse.config import DEFAULT_THRESHOLDS
 from pulse.operators.metrics import BASE_COLUMNS, aggregated_metrics, derived_metrics
 from pulse.plans import jobs, views
+from pulse.plans.registry import presentable
 from pulse.plans.runs import RunStore
 from pulse.plans.tables import Tables, warehouse_tables
 from tests.conftest import D, base_snapshots, daily_series, movies
@@ -106,8 +107,7 @@ def test_a_run_that_dies_leaves_the_old_state(spark, monkeypatch):
     assert full(w, upserted(base, rows))
     assert held.count() == base.count()  # a reader of the state before still finds its files
     jobs.load_and_refresh(w, rows, D("2024-01-31"))
-    folders = {f for t in os.listdir(w.root) if not t.startswith("_") for f in os.listdir(f"{w.root}/{t}") if f.startswith("run-")}
-    assert not [f for f in folders if f.startswith("run-0000000002") and f not in {x for t in (jobs.SNAPSHOTS, jobs.METRICS, jobs.RECENT, jobs.MOVIES) for x in w.folders(t).values()}] or len(w._pointers()) == 2
+    assert len(w._pointers()) == 2  # what older states alone named is gone
 
 
 def test_two_runs_cannot_become_the_same_one(spark):
@@ -142,10 +142,10 @@ def test_views_on_the_jobs_own_tables(spark):
     dim = movies(spark, [(i, f"t{i}", "2024-01-03", [(1, "Drama"), (2, f"g{i % 2}")]) for i in IDS])
     w.merge(jobs.MOVIES, dim)
     as_of = D("2024-02-29")
-    th = DEFAULT_THRESHOLDS
     mine, lazy = warehouse_tables(w, as_of), Tables(dim, base, as_of)
     for name in ("latest_popularity_metrics", "vote_engagement_timeline", "viral_breakouts", "genre_viral_performance", "viral_coefficient_scores"):
-        assert same(views.report(mine, name), views.report(lazy, name)), name
+        # sums of doubles depend on the order of the rows in their last digits
+        assert same(presentable(views.report(mine, name)), presentable(views.report(lazy, name))), name
     plan = views.report(mine, "genre_viral_performance")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("PartitionFilters: [isnotnull(month") == 2
     old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",)}
@@ -157,7 +157,6 @@ def test_views_on_the_jobs_own_tables(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
-    assert th is DEFAULT_THRESHOLDS
 
 
 def test_jobs_give_the_same_tables_on_both_stores(spark):
