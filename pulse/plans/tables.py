@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pulse.config import DEFAULT_THRESHOLDS, Thresholds
 from pulse.operators.metrics import BASE_COLUMNS, aggregated_metrics, derived_metrics
-from pulse.sources.fixtures import Fixture
+from pulse.sources.fixtures import Fixture, source_files
 
 
 class Tables:
@@ -59,33 +59,9 @@ def fixture_tables(spark: SparkSession, sf_dir: str, th: Thresholds = DEFAULT_TH
 _STORED: dict[tuple[str, str, str], tuple[str, "StoredTables"]] = {}
 
 
-#: Source bytes that one bucket of the stored tables stands for. A bucket is
-#: one scan task and cannot be split.
-BUCKET_BYTES = 64 << 20
-
-
-def _source_files(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, int]]:
-    """(path, length, modification time) of every file of the source tables, folders included."""
-    jvm = spark.sparkContext._jvm
-    out = []
-    for name in ("part", "lineitem"):
-        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
-        files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
-        while files.hasNext():
-            st = files.next()
-            out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
-    return sorted(out)
-
-
 def _source_signature(spark: SparkSession, sf_dir: str) -> str:
     """Changes when any source file does, so a change rebuilds the tables."""
-    return hashlib.sha256(repr(_source_files(spark, sf_dir)).encode()).hexdigest()
-
-
-def _bucket_count(spark: SparkSession, sf_dir: str) -> int:
-    """Buckets by the size of the source, at least one for each task slot."""
-    size = sum(length for _, length, _ in _source_files(spark, sf_dir))
-    return max(spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
+    return hashlib.sha256(repr(source_files(spark, sf_dir, ("part", "lineitem"))).encode()).hexdigest()
 
 
 def _write_bucketed(df: DataFrame, name: str, path: str, order: list[str], buckets: int) -> DataFrame:
@@ -93,7 +69,8 @@ def _write_bucketed(df: DataFrame, name: str, path: str, order: list[str], bucke
 
     Rows are first hash-partitioned into exactly ``buckets`` partitions on the
     bucket key, with the same hash Spark uses for buckets, so every task
-    writes one bucket file, sorted by ``order``.
+    writes one bucket file, sorted by ``order`` (no exchange where ``df`` lies
+    so already, as the fixture's snapshots do).
     """
     # No sortWithinPartitions here: the bucketed writer sorts each task's rows
     # by (bucket, sortBy columns) itself.
@@ -174,7 +151,7 @@ def stored_fixture_tables(
     if held is None or held[0] != signature:
         if held is not None:
             held[1].drop()
-        tables = StoredTables(fixture_tables(spark, sf_dir, th), scratch_path(spark, "tables"), _bucket_count(spark, sf_dir))
+        tables = StoredTables(fixture_tables(spark, sf_dir, th), scratch_path(spark, "tables"), Fixture(spark, sf_dir).title_pieces())
         _STORED[session] = (signature, tables)
     return _STORED[session][1]
 

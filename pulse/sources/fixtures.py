@@ -4,16 +4,20 @@ Main adapter: ``part`` -> movies, ``lineitem`` -> daily snapshots.
 Secondary adapter: ``events`` -> raw detail records, a change feed and a
 second, denser snapshot set; ``customer`` -> an existing movies dimension.
 
-Each adapter is a grouped aggregation (partial aggregation before the shuffle,
-so a hot key is combined map-side) followed, where a running total is needed,
-by one window per title. A title has at most one row per date, so every
-per-title window group is bounded by the number of distinct dates, however
-large the input grows.
+Each snapshot adapter is a grouped aggregation by (title, date) followed, for
+the running total, by one window per title. The rows are dealt by (title, date)
+before they are grouped, into as many partitions as the source's bytes ask for
+(``pieces``): almost every row is a group of its own, and a partial aggregation
+of a whole input split would hold (and spill) nearly all its rows. Rows of one
+(title, date) stream through one task in constant memory. A title has at most
+one row per date after that, so every per-title window group is bounded by the
+number of distinct dates, however large the input grows.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,6 +37,32 @@ FIXTURE_LOADED_AT = _dt.datetime(2001, 11, 4, 12, 0, 0)
 CUSTOMER_LOADED_AT = _dt.datetime(2023, 12, 31, 0, 0, 0)
 
 
+#: Source bytes that one partition of titles stands for (a partition's rows are
+#: grouped and sorted in one task; a bucket of the stored tables is one scan
+#: task and cannot be split), and the most buckets that a table can have.
+PIECE_BYTES = 8 << 20
+MOST_PIECES = 100_000
+
+
+def source_files(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of every file of the named tables, folders included."""
+    jvm = spark.sparkContext._jvm
+    out = []
+    for name in names:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+        while files.hasNext():
+            st = files.next()
+            out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return sorted(out)
+
+
+def pieces(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> int:
+    """Partitions of titles by the bytes of the named tables, at least one for each task slot."""
+    size = sum(length for _, length, _ in source_files(spark, sf_dir, names))
+    return min(MOST_PIECES, max(spark.sparkContext.defaultParallelism, -(-size // PIECE_BYTES)))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -89,12 +119,16 @@ def movies_from_part(part: DataFrame, as_of: _dt.date = FIXTURE_AS_OF) -> DataFr
     )
 
 
-def snapshots_from_lineitem(lineitem: DataFrame) -> DataFrame:
+def snapshots_from_lineitem(lineitem: DataFrame, parts: int | None = None) -> DataFrame:
     """One snapshot per (part, ship day); ``vote_count`` is a running total."""
-    daily = lineitem.groupBy(
-        F.col("l_partkey").alias("movie_id"),
+    rows = lineitem.select(
+        F.col("l_partkey").cast("long").alias("movie_id"),
         F.to_date("l_shipdate").alias("snapshot_date"),
-    ).agg(
+        "l_extendedprice",
+        "l_quantity",
+        "l_shipdate",
+    )
+    daily = _by_day(rows, parts).agg(
         (
             F.floor(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double") / 10)
             / 100
@@ -103,15 +137,18 @@ def snapshots_from_lineitem(lineitem: DataFrame) -> DataFrame:
         (F.avg("l_quantity") / 5).alias("vote_average"),
         F.max("l_shipdate").cast("timestamp").alias("ingestion_timestamp"),
     )
-    return _with_running_votes(daily)
+    return _with_running_votes(daily, parts)
 
 
-def snapshots_from_events(events: DataFrame) -> DataFrame:
+def snapshots_from_events(events: DataFrame, parts: int | None = None) -> DataFrame:
     """One snapshot per (user, event day) of the events stream."""
-    daily = events.groupBy(
-        F.col("user_id").alias("movie_id"),
+    rows = events.select(
+        F.col("user_id").cast("long").alias("movie_id"),
         F.to_date("ts").alias("snapshot_date"),
-    ).agg(
+        "value",
+        "ts",
+    )
+    daily = _by_day(rows, parts).agg(
         F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("popularity"),
         (F.count(F.lit(1)) * 20).alias("votes_today"),
         F.count(F.lit(1)).alias("n"),
@@ -120,17 +157,29 @@ def snapshots_from_events(events: DataFrame) -> DataFrame:
     daily = daily.withColumn(
         "vote_average", F.round(F.col("popularity") / F.col("n") / 60, 6)
     ).drop("n")
-    return _with_running_votes(daily)
+    return _with_running_votes(daily, parts)
+
 
+def _by_day(rows: DataFrame, parts: int | None):
+    """``rows`` grouped by (title, date), dealt by both into ``parts`` partitions."""
+    if parts:
+        rows = rows.repartition(parts, "movie_id", "snapshot_date")
+    return rows.groupBy("movie_id", "snapshot_date")
 
-def _with_running_votes(daily: DataFrame) -> DataFrame:
+
+def _with_running_votes(daily: DataFrame, parts: int | None) -> DataFrame:
+    # Dealt by title once: the running total, all later per-title windows and a
+    # write into as many buckets need no other exchange (movie_id is passed on
+    # as it is; a new column of the same values would hide that).
+    if parts:
+        daily = daily.repartition(parts, "movie_id")
     w = (
         Window.partitionBy("movie_id")
         .orderBy("snapshot_date")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return daily.select(
-        F.col("movie_id").cast("long").alias("movie_id"),
+        "movie_id",
         "snapshot_date",
         F.col("popularity").cast("double").alias("popularity"),
         F.sum("votes_today").over(w).cast("long").alias("vote_count"),
@@ -207,14 +256,22 @@ class Fixture:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
+    def title_pieces(self) -> int:
+        """Partitions of the titles of ``movies`` and their snapshots."""
+        return pieces(self.spark, self.sf_dir, ("part", "lineitem"))
+
+    def event_pieces(self) -> int:
+        """Partitions of the titles of ``customer_movies`` and their snapshots."""
+        return pieces(self.spark, self.sf_dir, ("customer", "events"))
+
     def movies(self) -> DataFrame:
         return movies_from_part(self.table("part"), self.as_of)
 
     def base_snapshots(self) -> DataFrame:
-        return snapshots_from_lineitem(self.table("lineitem"))
+        return snapshots_from_lineitem(self.table("lineitem"), self.title_pieces())
 
     def events_snapshots(self) -> DataFrame:
-        return snapshots_from_events(self.table("events"))
+        return snapshots_from_events(self.table("events"), self.event_pieces())
 
     def raw_details(self) -> DataFrame:
         return raw_details_from_events(self.table("events"))

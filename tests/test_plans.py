@@ -94,3 +94,45 @@ def test_registered_views_answer_sql(spark, tables):
     got = spark.sql("SELECT max(momentum_rank) AS r FROM top_gaining_movies").first()["r"]
     assert 0 < got <= 100
     assert spark.sql("SELECT count(*) AS n FROM movies").first()["n"] == tables.movies.count()
+
+
+def _lineitem(spark, path: str, n: int) -> None:
+    rows = spark.range(n).select(
+        (F.col("id") % 40).alias("l_partkey"),
+        (F.col("id") % 7).cast("double").alias("l_quantity"),
+        (F.col("id") * 1.25).alias("l_extendedprice"),
+        F.timestamp_seconds(F.lit(10**9) + F.col("id") * 40000).alias("l_shipdate"),
+    )
+    rows.write.parquet(f"{path}/lineitem.parquet")
+
+
+def test_the_snapshot_build_deals_rows_by_day_and_by_title_once(spark, tmp_path):
+    from pulse.operators.metrics import derived_metrics
+    from pulse.sources.fixtures import snapshots_from_lineitem
+
+    _lineitem(spark, str(tmp_path), 2000)
+    lineitem = spark.read.parquet(f"{tmp_path}/lineitem.parquet")
+    built = derived_metrics(snapshots_from_lineitem(lineitem, 19))
+    p = plan(built.repartition(19, "movie_id"))
+    assert re.findall(r"Exchange hashpartitioning\((.*?), 19\)", p) == [re.search(r"movie_id#\d+L", p)[0], re.search(r"movie_id#\d+L, snapshot_date#\d+", p)[0]], p
+    assert p.count("Exchange ") == 2
+    # no partial aggregate of whole input splits below the exchange
+    assert p.index("partial_sum") < p.rindex("Exchange ")
+    key = lambda r: (r["movie_id"], r["snapshot_date"])
+    plain = derived_metrics(snapshots_from_lineitem(lineitem))
+    assert sorted(built.collect(), key=key) == sorted(plain.collect(), key=key)
+
+
+def test_buckets_follow_the_bytes_of_the_source(spark, tmp_path, monkeypatch):
+    """A bucket is one task (its rows are grouped and sorted there): more rows, more buckets."""
+    from pulse.sources import fixtures
+
+    _lineitem(spark, str(tmp_path), 4000)
+    spark.createDataFrame([(1,)], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    slots = spark.sparkContext.defaultParallelism
+    assert stored_fixture_tables(spark, str(tmp_path))._buckets == slots
+    size = sum(n for _, n, _ in fixtures.source_files(spark, str(tmp_path), ("part", "lineitem")))
+    monkeypatch.setattr(fixtures, "PIECE_BYTES", size // (3 * slots))
+    assert Fixture(spark, str(tmp_path)).title_pieces() >= 3 * slots
+    monkeypatch.undo()
+    assert fixtures.PIECE_BYTES <= 8 << 20
