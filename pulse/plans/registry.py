@@ -200,7 +200,7 @@ def _job_weekly(fx: Fixture) -> DataFrame:
 
 
 def _run_store(fx: Fixture, name: str, snapshots: DataFrame | None = None) -> RunStore:
-    store = RunStore(fx.spark, scratch_path(fx.spark, name))
+    store = RunStore(fx.spark, scratch_path(fx.spark, name), fx.event_pieces())
     jobs.seed_warehouse(store, fx.customer_movies(), fx.events_snapshots() if snapshots is None else snapshots)
     return store
 

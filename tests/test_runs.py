@@ -196,3 +196,25 @@ def test_deeper_thresholds_rebuild_the_newest_rows(spark):
     got = w.read(jobs.METRICS).where(F.col("calculation_date") == F.lit(D("2024-02-20")))
     assert same(got.select(*want.columns), want)
     assert w.read(jobs.RECENT).where("movie_id = 1").select(F.size("recent")).first()[0] == 26
+
+
+def test_a_run_stores_buckets_follow_the_bytes_of_the_source(spark, tmp_path, monkeypatch):
+    """A bucket is one task: its rows are sorted and joined there."""
+    from pulse.plans import jobs, registry
+    from pulse.sources import fixtures
+
+    spark.range(400).selectExpr(
+        "id AS event_id", "timestamp_seconds(1700000000 + id * 20000) AS ts", "id % 9 AS user_id", "'view' AS event_type", "id * 0.5D AS value", "'{}' AS props"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(9).selectExpr("id AS c_custkey", "'n' AS c_name", "'m' AS c_mktsegment", "1.5D AS c_acctbal").write.parquet(f"{tmp_path}/customer.parquet")
+    slots = spark.sparkContext.defaultParallelism
+    size = sum(n for _, n, _ in fixtures.source_files(spark, str(tmp_path), ("customer", "events")))
+    monkeypatch.setattr(fixtures, "PIECE_BYTES", size // (2 * slots))
+    fx = fixtures.Fixture(spark, str(tmp_path))
+    store = registry._run_store(fx, "run-buckets")
+    assert store._state()["buckets"] == fx.event_pieces() >= 2 * slots
+    assert store.read(jobs.MOVIES).count() == 9
+    key = lambda r: (r["movie_id"], r["snapshot_date"])
+    columns = ["movie_id", "snapshot_date", "popularity", "vote_count"]
+    plain = fixtures.snapshots_from_events(fx.table("events")).select(*columns)
+    assert sorted(store.read(jobs.SNAPSHOTS).select(*columns).collect(), key=key) == sorted(plain.collect(), key=key)
