@@ -114,9 +114,12 @@ def value_positions(
         one = df.where(v.isNotNull()).select(value_col).withColumn("_all", F.pmod(F.xxhash64(v), F.lit(1)))
         return value_positions(one, value_col, ["_all"], buckets, True).drop("_all")
     distinct = df.where(v.isNotNull()).groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_n_eq"))
-    sizes = distinct.groupBy(*groups).agg(F.count(F.lit(1)).alias("_values"))
+    # Sizes and sample read the counts too (never 0): all readers of the distinct values
+    # ask for the same columns, so one aggregation and exchange serves them.
+    counted = F.col("_n_eq") > 0
+    sizes = distinct.groupBy(*groups).agg(F.count_if(counted).alias("_values"))
     every = F.greatest(F.lit(1), (F.col("_values") / (buckets * SAMPLE_PER_BUCKET)).cast("long"))
-    sample = _join(distinct, sizes, groups, small=few_groups).where(F.pmod(F.xxhash64(v), every) == 0)
+    sample = _join(distinct, sizes, groups, small=few_groups).where(counted & (F.pmod(F.xxhash64(v), every) == 0))
     # About buckets * SAMPLE_PER_BUCKET values of a group, whatever its size.
     splits = sample.groupBy(*groups).agg(F.sort_array(F.collect_list(value_col)).alias("_sample"))
     width = F.greatest(F.lit(1), F.ceil(F.size("_sample") / buckets).cast("int"))

@@ -126,10 +126,13 @@ def viral_coefficient_scores(
     ]
     if with_percentile:
         # The same rows by their keys: the inner joins find one row for each key, or none.
-        scored = metrics.where(F.col("viral_coefficient").isNotNull()).select("movie_id", "calculation_date", "viral_coefficient")
+        key = ["movie_id", "calculation_date", "viral_coefficient"]
+        scored = metrics.where(F.col("viral_coefficient").isNotNull()).select(*key)
         days = snapshots.select("movie_id", F.col("snapshot_date").alias("calculation_date"))
         scored = scored.join(movies.select("movie_id"), "movie_id", "left_semi").join(days, ["movie_id", "calculation_date"], "left_semi")
-        j = percent_rank_distributed(j, "viral_coefficient", "_pr", population=scored)
+        # Only these keys are dealt by value and back by title; rows with all columns stay where they lie.
+        ranks = percent_rank_distributed(scored.dropDuplicates(key), "viral_coefficient", "_pr", population=scored)
+        j = j.join(ranks, key, "left")
         cols.append((F.col("_pr") * 100).alias("viral_score_percentile"))
     cols.append(virality_category("viral_coefficient").alias("virality_category"))
     return j.select(*cols)

@@ -23,7 +23,7 @@ from pulse.plans import jobs, views
 from pulse.plans.runs import RunStore
 from pulse.plans.tables import Tables, fixture_tables, stored_fixture_tables
 from pulse.plans.warehouse import Warehouse
-from pulse.session import scratch_path
+from pulse.session import BUCKET_JOINS, DEFAULT_CONF, scratch_path
 from pulse.sources.fixtures import Fixture
 from pulse.streaming.ingest import stream_ingest
 
@@ -52,11 +52,18 @@ def _setup(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def _setup_buckets(spark: SparkSession) -> None:
+    """The stored tables are bucketed by title: a session made elsewhere would exchange both
+    sides of every join on (title, date) again."""
+    _setup(spark)
+    spark.conf.set(BUCKET_JOINS, DEFAULT_CONF[BUCKET_JOINS])
+
+
 def on_tables(fn: Callable[[Tables], DataFrame]) -> Query:
     """A view over the stored tables (written once per session and source folder)."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        _setup(spark)
+        _setup_buckets(spark)
         return presentable(fn(stored_fixture_tables(spark, sf_dir)))
 
     return run
@@ -66,7 +73,7 @@ def on_views(statement: str) -> Query:
     """A SQL statement over the registered views."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        _setup(spark)
+        _setup_buckets(spark)
         views.register_views(spark, stored_fixture_tables(spark, sf_dir))
         return presentable(spark.sql(statement))
 

@@ -14,6 +14,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+BUCKET_JOINS = "spark.sql.requireAllClusterKeysForCoPartition"
+
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -22,7 +24,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Tables bucketed by movie_id co-partition joins on (movie_id, date) too.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    BUCKET_JOINS: "false",
 }
 
 

@@ -123,6 +123,43 @@ def test_the_snapshot_build_deals_rows_by_day_and_by_title_once(spark, tmp_path)
     assert sorted(built.collect(), key=key) == sorted(plain.collect(), key=key)
 
 
+def test_viral_scores_exchange_keys_and_ranks_only(spark, tmp_path):
+    """Whoever made the session: no join on (title, date) exchanges the stored buckets, and no
+    row with all columns is dealt by its value."""
+    from pulse.plans import registry
+
+    _lineitem(spark, str(tmp_path), 2000)
+    spark.range(40).selectExpr(
+        "id AS p_partkey", "concat('t', id) AS p_name", "'b' AS p_brand", "'y' AS p_type", "1 AS p_size"
+    ).write.parquet(f"{tmp_path}/part.parquet")
+    made = {
+        "spark.sql.requireAllClusterKeysForCoPartition": "true",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k) for k in made}
+    for k, v in made.items():
+        spark.conf.set(k, v)
+    try:
+        df = registry.queries()["viral_coefficient_scores"](spark, str(tmp_path))
+        lines = plan(df).split("\n")
+        rows = df.collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    at = [i for i, x in enumerate(lines) if re.search(r"(?<!Reused)Exchange ", x)]
+    assert at
+    for i in at:
+        assert not re.search(r"hashpartitioning\(movie_id#\d+L, calculation_date", lines[i]), lines[i]
+        assert "trend_category#" not in lines[i + 1] and "title#" not in lines[i + 1], lines[i + 1]
+    scores = sorted(r["viral_coefficient"] for r in rows)
+    assert len(scores) > 100
+    for r in rows:  # scores are rounded to 6 places here
+        place = r["viral_score_percentile"] / 100 * (len(scores) - 1)
+        near = [sum(v < r["viral_coefficient"] + d for v in scores) for d in (-1.5e-6, 1.5e-6)]
+        assert near[0] - 0.01 <= place <= near[1] - 1 + 0.01
+
+
 def test_buckets_follow_the_bytes_of_the_source(spark, tmp_path, monkeypatch):
     """A bucket is one task (its rows are grouped and sorted there): more rows, more buckets."""
     from pulse.sources import fixtures

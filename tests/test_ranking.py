@@ -147,3 +147,18 @@ def test_distinct_values_are_not_dealt_by_a_group_alone(spark, skewed):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_distinct_values_are_exchanged_once(spark, skewed):
+    """Sizes, sample and positions read one aggregation of the values."""
+    scored = skewed.where(F.col("v").isNotNull())
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = percent_rank_distributed(scored, "v", "pr")._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    dealt = [x for x in lines if re.search(r"Exchange hashpartitioning\(_all#\d+L?, v#", x)]
+    assert len(dealt) > 1 and len([x for x in dealt if "ReusedExchange" not in x]) == 1, dealt

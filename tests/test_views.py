@@ -137,3 +137,12 @@ def test_the_percentile_counts_its_population_without_the_wide_join(spark):
     plan = viral_coefficient_scores(*tables)._jdf.queryExecution().executedPlan().toString()
     for wide in ("release_date", "vote_average"):
         assert plan.count(f"{wide}:") == 1, wide
+
+
+def test_a_repeated_score_keeps_its_rows_and_counts_them(spark):
+    hist = daily_series(1, "2024-01-01", [10] * 7 + [12, 14], [100] * 7 + [120, 140])
+    snaps, mv, metrics = tables(spark, hist, [(1, "a", "2023-12-01")])
+    twice = metrics.unionAll(metrics.where(F.col("calculation_date") == "2024-01-08"))
+    rows = virality.viral_coefficient_scores(twice, mv, snaps).collect()
+    got = sorted((r.viral_coefficient, r.viral_score_percentile) for r in rows)
+    assert got == [(20.0, 0.0), (20.0, 0.0), (40.0, 100.0)]
