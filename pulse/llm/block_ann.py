@@ -108,6 +108,8 @@ def unpacked(dims: int, ids: bytes, data: bytes, kind) -> tuple[np.ndarray, np.n
 
 def int8_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact integer products of int8 rows: float32 sums stay below 2**24 for 1000 dimensions at a time."""
+    if a.shape[1] <= 1000:
+        return a.astype(np.float32) @ b.astype(np.float32).T
     out = np.zeros((len(a), len(b)))
     for d in range(0, a.shape[1], 1000):
         out += a[:, d : d + 1000].astype(np.float32) @ b[:, d : d + 1000].astype(np.float32).T
@@ -122,22 +124,32 @@ def ordered_product(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
+def _slack(query: Side, other: Side, i, j) -> np.ndarray:
+    """How far the int8 products of queries ``i`` and candidates ``j`` may be from the inner products."""
+    slack = query.rest[i] * other.norm[j] + query.norm_q[i] * other.rest[j]
+    return slack + 1e-9 * (query.norm[i] * other.norm[j] + 1e-300)  # rounding of the float64 terms
+
+
 def tile(query: Side, other: Side, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, candidate row, score) of the pairs that may be among the k nearest.
 
     ``least``: for each query a score that k candidates are known to reach.
     """
-    near = int8_product(query.q, other.q) * query.scale[:, None] * other.scale
-    slack = query.rest[:, None] * other.norm + query.norm_q[:, None] * other.rest
-    slack += 1e-9 * (query.norm[:, None] * other.norm + 1e-300)  # rounding of the float64 terms
-    low = near - slack
-    own = query.ids[:, None] == other.ids
-    low[own] = -np.inf
-    if low.shape[1] > k:
-        reach = np.partition(low, low.shape[1] - k, axis=1)[:, -k]
-        least = np.maximum(least, reach)
-    keep = (near + slack >= least[:, None]) & ~own
-    i, j = np.nonzero(keep)
+    if len(other.ids) > k and not np.isfinite(least).all():
+        low = int8_product(query.q, other.q) * query.scale[:, None] * other.scale
+        low -= _slack(query, other, np.s_[:, None], np.s_[None, :])
+        low[query.ids[:, None] == other.ids] = -np.inf
+        least = np.maximum(least, np.partition(low, low.shape[1] - k, axis=1)[:, -k])
+    # First by the tile's widest slack of each query, in single precision with room for its rounding.
+    most_norm = other.norm.max()
+    wide = query.rest * most_norm + query.norm_q * other.rest.max() + 1e-5 * query.norm * most_norm + 1e-300
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        near = int8_product(query.q, other.q) * (other.scale / other.scale.max()).astype(np.float32)
+        reach = ((least - wide) / query.scale / other.scale.max()).astype(np.float32)
+    i, j = np.nonzero(~(near < reach[:, None]))
+    near = np.einsum("ij,ij->i", query.q[i], other.q[j], dtype=np.float64) * query.scale[i] * other.scale[j]
+    keep = (near + _slack(query, other, i, j) >= least[i]) & (query.ids[i] != other.ids[j])
+    i, j = i[keep], j[keep]
     return i, j, ordered_product(query.x[i], other.x[j])
 
 
@@ -156,6 +168,7 @@ _HIT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa
 
 
 TILE = 2048  # candidates multiplied at a time
+CELL_BYTES = 32 << 20  # candidate blocks that a join keeps while queries pass by
 OPEN = 64  # query blocks whose heaps a task holds before it passes them on
 
 
@@ -204,14 +217,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, p: BlockAnn = BlockAnn()) ->
     prepare(spark)
     candidates = stored(_packed(vectors, p.candidate_block), "ann-candidates")
     asked = stored(_packed(queries, p.query_block), "ann-queries")
-    numbers = candidates.select("block").distinct()
-    count = numbers.agg(F.max("block")).first()[0]
-    if count is None:
+    last, widest = candidates.agg(F.max("block"), F.max(F.octet_length("ids") + F.octet_length("data"))).first()
+    if last is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    c = candidates.select("block", "dims", F.col("ids").alias("c_ids"), F.col("data").alias("c_data"))
+    # Neighbouring blocks are a cell, and every query goes to each cell once: three cells a task
+    # slot, or as many as ``CELL_BYTES`` asks for.
+    cells = max(3 * spark.sparkContext.defaultParallelism, -(-(last + 1) * widest // CELL_BYTES))
+    per_cell = -(-(last + 1) // cells)
+    c = candidates.select(F.floor(F.col("block") / per_cell).alias("cell"), "dims", F.col("ids").alias("c_ids"), F.col("data").alias("c_data"))
     q = asked.select("dims", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
-    q = q.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(count)).cast("array<bigint>")))
-    tiles = q.join(c, ["block", "dims"]).select("dims", "q_ids", "q_data", "c_ids", "c_data")
+    q = q.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(last // per_cell)).cast("array<bigint>")))
+    # The size that Spark states for a repeated side is that of one repetition: without
+    # a hint it would be sent through the driver.
+    tiles = q.hint("merge").join(c, ["cell", "dims"]).select("dims", "q_ids", "q_data", "c_ids", "c_data")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)  # a row is a pair of blocks
     hits = stored(_tiles(tiles, p.neighbours, _kind(queries), _kind(vectors)), "ann-hits")
     prepare(spark)

@@ -49,3 +49,23 @@ def test_empty_sides(spark):
     none = df.limit(0)
     assert nearest(df, none).collect() == [] and nearest(none, df).collect() == [] and nearest(none, none).collect() == []
     assert nearest(df, df).columns == ["query_id", "rank", "vec_id", "score"]
+
+
+def test_repeated_queries_are_not_sent_through_the_driver(spark):
+    from pulse.llm import block_ann
+
+    rng = np.random.default_rng(4)
+    rows = [(i, row.tolist()) for i, row in enumerate(rng.normal(size=(400, 6)).astype(np.float32))]
+    df = usable(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))
+    seen, tiles = [], block_ann._tiles
+    block_ann._tiles = lambda pairs, *a: seen.append(pairs) or tiles(pairs, *a)
+    try:
+        found = nearest(df, df.where("vec_id % 4 = 0"), BlockAnn(neighbours=3, query_block=10, candidate_block=5))
+    finally:
+        block_ann._tiles = tiles
+    assert found.count() == 300
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    # every query block meets every candidate block once
+    blocks, asked = (seen[0].select(c).distinct().count() for c in ("c_ids", "q_ids"))
+    assert seen[0].count() == blocks * asked
