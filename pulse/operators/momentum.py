@@ -4,9 +4,9 @@ Inputs are the stored tables: ``movies`` (dimension), ``snapshots`` (with the
 derived change columns) and ``metrics`` (aggregated, one row per title and
 calculation date). ``as_of`` replaces CURRENT_DATE so results are reproducible.
 
-Joins to ``movies`` are plain equi-joins: Spark broadcasts the dimension when
-its measured size is under the broadcast threshold and sort-merges otherwise;
-no hint is forced. Top-k views rank after the limit (see ``ranking``).
+Joins of stored tables by title are sort-merge joins (``side_by_side``): their
+buckets meet where they lie, and no table goes through the driver. Top-k views
+rank after the limit (see ``ranking``).
 """
 
 from __future__ import annotations
@@ -39,8 +39,17 @@ def latest_per_movie(df: DataFrame, date_col: str) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def side_by_side(table: DataFrame, *columns) -> DataFrame:
+    """Columns of a stored table, to be joined by sort-merge.
+
+    Spark takes a few columns of a table for that share of its compressed files: some
+    MB stand for millions of titles, and without the hint it would broadcast them.
+    """
+    return table.select(*columns).hint("merge")
+
+
 def _titles(movies: DataFrame) -> DataFrame:
-    return movies.select("movie_id", "title", "release_date")
+    return side_by_side(movies, "movie_id", "title", "release_date")
 
 
 def latest_popularity_metrics(snapshots: DataFrame, movies: DataFrame) -> DataFrame:
@@ -87,7 +96,7 @@ def popularity_moving_average(
         F.avg("popularity").over(w).alias("popularity_7d_ma"),
         F.stddev_samp("popularity").over(w).alias("popularity_volatility_7d"),
     )
-    return s.join(movies.select("movie_id", "title"), "movie_id").select(
+    return s.join(side_by_side(movies, "movie_id", "title"), "movie_id").select(
         "movie_id",
         "title",
         "snapshot_date",
@@ -107,7 +116,7 @@ def popularity_week_over_week(snapshots: DataFrame, movies: DataFrame) -> DataFr
     )
     prev = F.lag("avg_popularity", 1).over(Window.partitionBy("movie_id").orderBy("week_start"))
     w = weekly.withColumn("_prev", prev)
-    return w.join(movies.select("movie_id", "title"), "movie_id").select(
+    return w.join(side_by_side(movies, "movie_id", "title"), "movie_id").select(
         "movie_id",
         "title",
         F.col("week_start").alias("current_week"),
@@ -200,7 +209,7 @@ def daily_popularity_momentum_report(
         F.col("weekly_pct_change") > th.gaining_report_min_weekly_pct
     )
     top = lpm.orderBy(F.col("weekly_pct_change").desc(), "movie_id").limit(th.report_limit)
-    genres = movies.select("movie_id", "genres")
+    genres = side_by_side(movies, "movie_id", "genres")
     ordered = top.join(genres, "movie_id").orderBy(F.col("weekly_pct_change").desc(), "movie_id")
     return ordered.select(
         "title",

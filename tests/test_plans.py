@@ -173,3 +173,27 @@ def test_buckets_follow_the_bytes_of_the_source(spark, tmp_path, monkeypatch):
     assert Fixture(spark, str(tmp_path)).title_pieces() >= 3 * slots
     monkeypatch.undo()
     assert fixtures.PIECE_BYTES <= 8 << 20
+
+
+@pytest.mark.parametrize("name", ["top_gaining_movies"])
+def test_stored_tables_are_not_broadcast(spark, tmp_path, name):
+    """However small Spark takes a few columns of a stored table to be, it meets others by title without the driver."""
+    from pulse.plans import registry
+
+    _lineitem(spark, str(tmp_path), 2000)
+    spark.range(40).selectExpr(
+        "id AS p_partkey", "concat('t', id) AS p_name", "'b' AS p_brand", "'y' AS p_type", "1 AS p_size"
+    ).write.parquet(f"{tmp_path}/part.parquet")
+    made = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "10m"}
+    old = {k: spark.conf.get(k) for k in made}
+    for k, v in made.items():
+        spark.conf.set(k, v)
+    try:
+        p = plan(registry.queries()[name](spark, str(tmp_path)))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin [movie_id" in p
+    assert not re.search(r"BroadcastHashJoin \[movie_id#\d+L\]", p)
+    if name != "top_gaining_movies":  # there the keys of 100 rows are
+        assert not re.search(r"BroadcastHashJoin \[movie_id", p)
