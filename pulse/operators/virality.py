@@ -24,7 +24,7 @@ from pulse.functions.columns import (
     sorted_name_list,
     virality_category,
 )
-from pulse.operators.momentum import latest_per_movie
+from pulse.operators.momentum import latest_per_movie, side_by_side
 from pulse.operators.ranking import (
     percent_rank_distributed,
     percent_rank_of,
@@ -63,7 +63,7 @@ def vote_velocity_metrics(
         ),
         F.lead("snapshot_date", 1).over(w).isNull().alias("_is_latest"),
     ).where("_is_latest")
-    return s.join(movies.select("movie_id", "title", "release_date"), "movie_id").select(
+    return s.join(side_by_side(movies, "movie_id", "title", "release_date"), "movie_id").select(
         "movie_id",
         "title",
         "release_date",
@@ -91,14 +91,15 @@ def _metrics_with_context(
         "viral_coefficient",
         "trend_category",
     )
-    snaps = snapshots.select(
+    snaps = side_by_side(
+        snapshots,
         "movie_id",
         F.col("snapshot_date").alias("calculation_date"),
         "vote_count",
         "popularity",
         "vote_average",
     )
-    titles = movies.select("movie_id", "title", "release_date")
+    titles = side_by_side(movies, "movie_id", "title", "release_date")
     return ma.join(titles, "movie_id").join(snaps, ["movie_id", "calculation_date"])
 
 
@@ -128,11 +129,11 @@ def viral_coefficient_scores(
         # The same rows by their keys: the inner joins find one row for each key, or none.
         key = ["movie_id", "calculation_date", "viral_coefficient"]
         scored = metrics.where(F.col("viral_coefficient").isNotNull()).select(*key)
-        days = snapshots.select("movie_id", F.col("snapshot_date").alias("calculation_date"))
-        scored = scored.join(movies.select("movie_id"), "movie_id", "left_semi").join(days, ["movie_id", "calculation_date"], "left_semi")
+        days = side_by_side(snapshots, "movie_id", F.col("snapshot_date").alias("calculation_date"))
+        scored = scored.join(side_by_side(movies, "movie_id"), "movie_id", "left_semi").join(days, ["movie_id", "calculation_date"], "left_semi")
         # Only these keys are dealt by value and back by title; rows with all columns stay where they lie.
         ranks = percent_rank_distributed(scored.dropDuplicates(key), "viral_coefficient", "_pr", population=scored)
-        j = j.join(ranks, key, "left")
+        j = j.join(ranks.hint("merge"), key, "left")
         cols.append((F.col("_pr") * 100).alias("viral_score_percentile"))
     cols.append(virality_category("viral_coefficient").alias("virality_category"))
     return j.select(*cols)
@@ -154,8 +155,8 @@ def top_viral_movies(
     these, before titles and snapshots are joined to the rows that remain.
     """
     scored = metrics.where(F.col("viral_coefficient").isNotNull())
-    known = scored.join(movies.select("movie_id").distinct(), "movie_id", "left_semi").join(
-        snapshots.select("movie_id", F.col("snapshot_date").alias("calculation_date")),
+    known = scored.join(side_by_side(movies, "movie_id").distinct(), "movie_id", "left_semi").join(
+        side_by_side(snapshots, "movie_id", F.col("snapshot_date").alias("calculation_date")),
         ["movie_id", "calculation_date"],
         "left_semi",
     )
@@ -263,7 +264,7 @@ def vote_engagement_timeline(
         ),
         engagement_trend(x, baseline).alias("engagement_trend"),
     )
-    return s.join(movies.select("movie_id", "title"), "movie_id").select(
+    return s.join(side_by_side(movies, "movie_id", "title"), "movie_id").select(
         "movie_id",
         "title",
         "snapshot_date",
@@ -286,7 +287,7 @@ def daily_viral_report(
     tvm = top_viral_movies(metrics, movies, snapshots, th, with_percentile=False).where(
         F.col("viral_rank") <= th.daily_viral_max_rank
     )
-    extra = movies.select("movie_id", "genres", "overview")
+    extra = side_by_side(movies, "movie_id", "genres", "overview")
     return (
         tvm.join(extra, "movie_id")
         .orderBy(F.col("viral_coefficient").desc(), "movie_id")
@@ -329,7 +330,7 @@ def viral_vs_nonviral(
         "calculation_date",
     )
     viral, non_viral = VIRAL_STATUS_LABELS
-    vc = latest.join(movies.select("movie_id", "release_date", "budget", "revenue"), "movie_id").select(
+    vc = latest.join(side_by_side(movies, "movie_id", "release_date", "budget", "revenue"), "movie_id").select(
         F.when(F.col("viral_coefficient") >= th.viral_status_cut, viral)
         .otherwise(non_viral)
         .alias("viral_status"),
@@ -413,7 +414,7 @@ def genre_viral_performance(
     scores = viral_coefficient_scores(metrics, movies, snapshots, with_percentile=False)
     g = scores.select(
         "movie_id", "viral_coefficient", "vote_velocity_7d", "virality_category"
-    ).join(movies.select("movie_id", "genres"), "movie_id")
+    ).join(side_by_side(movies, "movie_id", "genres"), "movie_id")
     exploded = g.select(
         F.explode("genres").alias("_g"),
         "movie_id",

@@ -175,7 +175,7 @@ def test_buckets_follow_the_bytes_of_the_source(spark, tmp_path, monkeypatch):
     assert fixtures.PIECE_BYTES <= 8 << 20
 
 
-@pytest.mark.parametrize("name", ["top_gaining_movies"])
+@pytest.mark.parametrize("name", ["top_gaining_movies", "viral_coefficient_scores", "vote_engagement_timeline"])
 def test_stored_tables_are_not_broadcast(spark, tmp_path, name):
     """However small Spark takes a few columns of a stored table to be, it meets others by title without the driver."""
     from pulse.plans import registry
