@@ -18,7 +18,10 @@ product is never formed whole:
 3. The chains' connected components hold all links. Components become row
    blocks of bounded size, each with its rows' whole sets, and one task
    multiplies a row block with itself, accumulating overlap counts of rows
-   not yet connected. A component beyond the bound is cut into several row
+   not yet connected. Components beyond the bound are mostly rows that share
+   columns with many others by chance; their rows are judged again by whole
+   sets, columns in the order of their counts among them (``_refined``), and
+   fall into smaller ones. One that is still beyond it is cut into several row
    blocks with common pivot rows; rows that then stand outside its largest
    class are multiplied with all its blocks, so no pair that could still
    connect two classes is left out.
@@ -428,11 +431,121 @@ def _links(docs: DataFrame, rows: DataFrame, p: JaccardJoin) -> DataFrame:
     return stored(blocked.mapInArrow(run, "src bigint, dst bigint"), "jaccard-links")
 
 
-def _row_links(docs: DataFrame, rows: DataFrame, p: JaccardJoin) -> DataFrame:
-    """All links that matter among rows (component, node, n_shingles, doc_id, mark)."""
+_WIDE = [np.uint64, np.int64, np.int32, np.int32]  # column, row, row's size, the column's place in the order
+_FREQUENT = 1 << 30  # places from here on are of frequent columns
+
+
+def _whole_rows(docs: DataFrame, rows: DataFrame, p: JaccardJoin, frequent, n_blocks: int) -> DataFrame:
+    """All entries of the rows' sets by column block; frequent columns in ``n_blocks`` more blocks, by row."""
+    k = p.words
+
+    def emit(held):
+        c, r, n = (np.concatenate(x) for x in zip(*held))
+        keys, ranks = frequent.value
+        place = np.zeros(len(c), dtype=np.int32)
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, c), len(keys) - 1)
+            place = np.where(keys[at] == c, _FREQUENT + ranks[at], 0).astype(np.int32)
+        often = place > 0
+        block = (mix(c) % U64(n_blocks)).astype(np.int32)
+        block[often] = n_blocks + (mix(r[often].view(U64)) % U64(n_blocks)).astype(np.int32)
+        yield from pack_blocks(block, [c, r, n, place], BLOCK_SCHEMA)
+
+    def run(batches):
+        held, size = [], 0
+        for block in blocks(batches, "text"):
+            for node, s in zip(block.rows.column(0).to_pylist(), shingle_sets(block, k)):
+                held.append((s, np.full(len(s), node, np.int64), np.full(len(s), len(s), np.int32)))
+                size += len(s)
+            if size >= FLUSH:
+                yield from emit(held)
+                held, size = [], 0
+        if size:
+            yield from emit(held)
+
+    return _texts_of(docs, rows, p).select("node", "text").mapInArrow(run, BLOCK_DDL)
+
+
+def _counted(packed: DataFrame, p: JaccardJoin, n_blocks: int) -> DataFrame:
+    """Entries of columns in which two rows of compatible size stand, blocked by row, with the
+    column's place: its number of rows. A negative size marks entries with another row of
+    compatible size; those of frequent columns, whose rows are spread over blocks, all have one."""
+
+    def run(batches):
+        out = _Gather()
+        for number, (c, r, n, place) in grouped_blocks(batches, _WIDE):
+            if number < n_blocks:
+                c, r, n = _in_order(c, r, n)
+                once = np.ones(len(c), dtype=bool)  # a row may come from several documents
+                once[1:] = (c[1:] != c[:-1]) | (r[1:] != r[:-1])
+                c, r, n = c[once], r[once], n[once]
+                near = _near(c, r, n, p.percent)
+                both = np.append(near, False) | np.insert(near, 0, False)
+                new = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
+                count = np.diff(np.append(new, len(c)))
+                live = np.repeat(np.logical_or.reduceat(both, new), count)
+                place = np.repeat(np.minimum(count, _FREQUENT - 1), count).astype(np.int32)
+                n = np.where(both, -n, n).astype(np.int32)
+                c, r, n, place = c[live], r[live], n[live], place[live]
+            else:
+                n = -n
+            yield from out.add((mix(r.view(U64)) % U64(n_blocks)).astype(np.int32), c, r, n, place)
+        yield from out.done()
+
+    return to_blocks(packed, SUB).mapInArrow(run, BLOCK_DDL)
+
+
+def _rarest(packed: DataFrame, p: JaccardJoin, n_blocks: int) -> DataFrame:
+    """Of rows that share as many columns as a link needs, the first entries, one of which a
+    linked row shares, blocked by column. Columns that ``_counted`` left out come before all
+    others in the order, then rare ones."""
+
+    def run(batches):
+        out = _Gather()
+        for _, (c, r, n, place) in grouped_blocks(batches, _WIDE):
+            order = np.lexsort((c, place, r))
+            c, r, n, place = c[order], r[order], n[order], place[order]
+            once = np.ones(len(c), dtype=bool)
+            once[1:] = (c[1:] != c[:-1]) | (r[1:] != r[:-1])
+            c, r, n, place = c[once], r[once], n[once], place[once]
+            new = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+            count = np.diff(np.append(new, len(r)))
+            size = np.abs(n[new]).astype(np.int64)
+            need = -(-p.percent * size // 100)
+            first = size - need + 1 - (size - count)
+            first[np.add.reduceat((n < 0).astype(np.int64), new) < need] = 0
+            keep = np.arange(len(r)) - np.repeat(new, count) < np.repeat(first, count)
+            c, r, n, often = c[keep], r[keep], np.abs(n[keep]), place[keep] >= _FREQUENT
+            block = (mix(c) % U64(n_blocks)).astype(np.int32)
+            block[often] = n_blocks + (mix(r[often].view(U64)) % U64(n_blocks)).astype(np.int32)
+            yield from out.add(block, c, r, n)
+        yield from out.done()
+
+    return to_blocks(packed, SUB).mapInArrow(run, BLOCK_DDL)
+
+
+def _refined(docs: DataFrame, rows: DataFrame, p: JaccardJoin, frequent, n_blocks: int) -> DataFrame:
+    """(node, component) of rows (node, doc_id, mark) by a smaller graph that still holds all
+    their links; rows that link with none may be missing."""
+    whole = _whole_rows(docs, rows, p, frequent, n_blocks)
+    first = _rarest(_counted(whole, p, n_blocks), p, n_blocks)
+    return components(_candidate_edges(stored(_chains(first, p, n_blocks), "jaccard-chains")))
+
+
+def _sized(rows: DataFrame, p: JaccardJoin) -> DataFrame:
+    """Rows of components of several rows, with the row blocks that each asks for (``parts``)."""
     size = rows.groupBy("component").agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("total")).where("rows > 1")
     parts = F.greatest(F.ceil(F.col("rows") / p.block_rows), F.ceil(F.col("total") / p.block_shingles)).cast("int")
-    rows = stored(rows.join(size.withColumn("parts", parts), "component"), "jaccard-rows")
+    return stored(rows.join(size.withColumn("parts", parts), "component"), "jaccard-rows")
+
+
+def _row_links(docs: DataFrame, rows: DataFrame, p: JaccardJoin, frequent, n_blocks: int) -> DataFrame:
+    """All links that matter among rows (component, node, n_shingles, doc_id, mark)."""
+    rows = _sized(rows, p)
+    large = rows.where("parts > 1").select("node", "n_shingles", "doc_id", "mark")
+    if not large.isEmpty():
+        again = _refined(docs, large.select("node", "doc_id", "mark"), p, frequent, n_blocks)
+        rows = rows.where("parts = 1").unionByName(_sized(large.join(again, "node"), p))
     own = [F.col("node").alias("label"), F.lit(True).alias("checked"), "doc_id", "mark"]
     small = rows.where("parts = 1").select(F.xxhash64("component").alias("key"), "node", *own)
     large = rows.where("parts > 1").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
@@ -453,7 +566,8 @@ def _row_links(docs: DataFrame, rows: DataFrame, p: JaccardJoin) -> DataFrame:
     inner = large.join(out_parts, "component").withColumn("out_part", F.explode(F.sequence(F.lit(0), F.col("out_parts") - 1)))
     keep = [F.xxhash64("component", "part", "out_part").alias("key"), "node", "label"]
     both = outer.select(*keep, F.lit(True).alias("checked"), "doc_id", "mark").unionByName(inner.select(*keep, F.lit(False).alias("checked"), "doc_id", "mark"))
-    return links.unionByName(_links(docs, both, p))
+    # Stored, as Spark would take it for as small as ``large`` and broadcast it.
+    return links.unionByName(_links(docs, stored(both, "jaccard-pairs"), p))
 
 
 # -- the operator ------------------------------------------------------------
@@ -493,7 +607,7 @@ def _members(docs: DataFrame, p: JaccardJoin) -> DataFrame:
     candidate = components(_candidate_edges(chains))
     rep = members.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("r"), F.max("n_shingles").alias("n_shingles"))
     rep = rep.select("node", "r.doc_id", "r.mark", "n_shingles")
-    linked = components(_row_links(docs, rep.join(candidate, "node"), p))
+    linked = components(_row_links(docs, rep.join(candidate, "node"), p, frequent, n_blocks))
     least = linked.join(rep, "node").groupBy("component").agg(F.min("doc_id").alias("low"))
     lowest = linked.join(least, "component").select("node", "low", "component")
     lowest = rep.select("node", F.col("doc_id").alias("own")).join(lowest, "node", "left").select("node", F.coalesce("low", "own").alias("component_id"), F.coalesce("component", "node").alias("root"))

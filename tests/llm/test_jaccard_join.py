@@ -64,3 +64,24 @@ def test_components_of_chains_hubs_loops(spark):
     want = {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 200: 200, 250: 200, 300: 200}
     assert got == want and len(rows) == len(want)
     assert components(spark.createDataFrame([], "src bigint, dst bigint")).collect() == []
+
+
+def test_rows_that_only_share_passages_are_not_compared_with_all(spark, monkeypatch):
+    """A ring of documents, each with a passage of either neighbour, is one graph of shared
+    columns; near copies among them link, and the others go by their whole sets."""
+    from pulse.llm import jaccard_join
+
+    rng = random.Random(12)
+    passages = [prose(rng, 25, 10**6) for _ in range(80)]
+    docs = [(i, f"{p} {prose(rng, 45, 10**6)} {passages[i - 1]}") for i, p in enumerate(passages)]
+    docs += [(100 + i, variant(rng, docs[i][1], 0.02)) for i in range(0, 80, 4)]
+    docs += [(200 + i, "x y z u v w " + " ".join(docs[i][1].split(" ")[: 4 + i])) for i in range(12)]
+    want = brute(docs)
+    assert len({c for _, c in want.values()}) < len(docs) - 10
+    met, links = [], jaccard_join._links
+    monkeypatch.setattr(jaccard_join, "_links", lambda d, rows, p: met.append(rows.count()) or links(d, rows, p))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(6)
+    for p in (JaccardJoin(block_rows=8), JaccardJoin(block_rows=8, frequent_local=2)):
+        met.clear()
+        assert _rows(jaccard_components(df, p)) == sorted((i, *want[i]) for i, _ in docs)
+        assert sum(met) < len(docs)
